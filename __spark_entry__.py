@@ -10,6 +10,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from functools import reduce
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
@@ -41,19 +42,26 @@ from gridlake.registry import (  # noqa: E402
     spec,
 )
 from gridlake.session import ensure_utc  # noqa: E402
-from gridlake.sources.derived import raw_frame  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
+_PLANS: dict = {}
+
+
 def _layers(spark: SparkSession, sf_dir: str) -> Layers:
+    """Lazy plans for one session and data folder, shared by the queries of a
+    run (plan objects only: no data is cached, every action re-reads)."""
     ensure_utc(spark)
-    return Layers.from_testdata(spark, sf_dir, as_of_literal())
+    key = (spark.sparkContext.applicationId, id(spark), sf_dir)
+    if key not in _PLANS:
+        _PLANS.clear()
+        _PLANS[key] = Layers.from_testdata(spark, sf_dir, as_of_literal())
+    return _PLANS[key]
 
 
 def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    ensure_utc(spark)
-    return raw_frame(spark, sf_dir, name)
+    return _layers(spark, sf_dir).raw[name]
 
 
 def entry(spark: SparkSession) -> DataFrame:
@@ -149,28 +157,14 @@ def q_feeder_rollup(spark, sf_dir):
 def q_expectation_metrics(spark, sf_dir):
     """Q1/Q2: every expectation of every Silver and Gold table, counted over
     the rows the rule sees (before drop rules remove violators)."""
-    from functools import reduce
-
-    from gridlake.plans.silver import build_silver
-    from gridlake.registry import RunOptions
     L = _layers(spark, sf_dir)
-    frames = []
-    for s in SPECS:
-        pre = build_silver(L.raw[s.raw_table], s, RunOptions())
-        if any(e.action == "drop" for e in s.expectations):
-            # same table without the drop filter
-            from dataclasses import replace
-            pre = build_silver(L.raw[s.raw_table],
-                               replace(s, expectations=tuple(
-                                   e for e in s.expectations if e.action != "drop")), RunOptions())
-        frames.append(expectation_metrics(pre, s.expectations, s.silver_table))
-    for table, exps in GOLD_EXPECTATIONS.items():
-        frames.append(expectation_metrics(L.gold[table], exps, table))
+    frames = [expectation_metrics(L.silver_typed[s.silver_table], s.expectations, s.silver_table)
+              for s in SPECS]
+    frames += [expectation_metrics(L.gold[t], exps, t) for t, exps in GOLD_EXPECTATIONS.items()]
     return reduce(DataFrame.unionByName, frames)
 
 
 def q_contract_violations(spark, sf_dir):
-    from functools import reduce
     L = _layers(spark, sf_dir)
     frames = [check_contract(L.table(table), cols, table) for (_layer, table), cols in CONTRACTS.items()]
     return reduce(DataFrame.unionByName, frames)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -13,9 +13,9 @@ from gridlake.functions import (
     global_id,
     global_id_nullsafe,
     map_values,
-    null_if_token,
     rating_to_kw,
 )
+from gridlake.functions.columns import null_if_token_sql, q
 from gridlake.registry import NULL_TOKENS_9
 
 
@@ -26,8 +26,8 @@ def normalize_nulls(df: DataFrame, tokens: Iterable[str] = NULL_TOKENS_9,
     tokens = list(tokens)
     targets = set(columns) if columns is not None else {
         f.name for f in df.schema.fields if isinstance(f.dataType, StringType)}
-    return df.select(*[
-        null_if_token(F.col(f"`{c}`"), tokens).alias(c) if c in targets else F.col(f"`{c}`")
+    return df.selectExpr(*[
+        f"{null_if_token_sql(q(c), tokens)} AS {q(c)}" if c in targets else q(c)
         for c in df.columns
     ])
 
@@ -51,19 +51,17 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: str = "_inges
         rest = [c for c in df.columns if c not in keys and c != order]
         tie_breakers = (["_source_file"] if "_source_file" in rest else []) + \
             sorted(c for c in rest if c != "_source_file")
-    part = [F.trim(F.col(k)) if trim_key else F.col(k) for k in keys]
-    ordering = [F.col(order).desc_nulls_last()] + [F.col(c).desc_nulls_last() for c in tie_breakers]
-    w = Window.partitionBy(*part).orderBy(*ordering)
+    part = ", ".join(f"trim({q(k)})" if trim_key else q(k) for k in keys)
+    ordering = ", ".join(f"{q(c)} DESC NULLS LAST" for c in [order, *tie_breakers])
+    rn = f"row_number() OVER (PARTITION BY {part} ORDER BY {ordering}) AS _rn"
 
     def top1(frame: DataFrame) -> DataFrame:
-        return frame.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+        return frame.selectExpr("*", rn).filter("_rn = 1").drop("_rn")
 
     if not keep_null_keys:
         return top1(df)
-    any_null = F.lit(False)
-    for k in keys:
-        any_null = any_null | F.col(k).isNull()
-    return top1(df.filter(~any_null)).unionByName(df.filter(any_null))
+    any_null = " OR ".join(f"{q(k)} IS NULL" for k in keys)
+    return top1(df.filter(f"NOT ({any_null})")).unionByName(df.filter(any_null))
 
 
 def apply_column_map(df: DataFrame, mapping: Mapping[str, str], missing: str = "null") -> DataFrame:

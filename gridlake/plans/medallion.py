@@ -1,25 +1,25 @@
 """Layer composition: raw -> Silver -> Gold -> Platinum.
 
-``Layers`` builds every table lazily as a DataFrame (one Catalyst plan per
-table, nothing executed). ``materialize`` writes each layer as parquet and
-re-reads it, cutting the plan at layer boundaries the way a scheduled
-pipeline would: downstream layers then read compact, typed tables instead
-of re-running the upstream plan, and a lost executor only recomputes the
-stage it was in.
+``Layers`` exposes every table of the model as a lazy DataFrame (one
+Catalyst plan per table; nothing runs until an action). ``materialize``
+writes each layer as parquet and reads it back, cutting lineage at layer
+boundaries the way a scheduled pipeline does: downstream layers read
+compact typed tables instead of re-running upstream plans, and a lost
+executor only recomputes the stage it was in.
 """
 
 from __future__ import annotations
 
-from functools import cached_property
+from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridlake.plans import gold as G
 from gridlake.plans import platinum as P
-from gridlake.plans.silver import silver_tables
-from gridlake.registry import RunOptions
-from gridlake.sources.derived import raw_frames
+from gridlake.plans.silver import build_silver, build_typed
+from gridlake.registry import SPECS, RunOptions
+from gridlake.sources.derived import RAW_TABLES, raw_frame
 
 DEFAULT_AS_OF = "2024-02-15 00:00:00"
 
@@ -28,32 +28,82 @@ def as_of_literal(ts: str = DEFAULT_AS_OF) -> Column:
     return F.lit(ts).cast("timestamp")
 
 
+class LazyTables(Mapping):
+    """Read-only mapping whose values are built on first access. Building a
+    DataFrame analyses its plan on the driver; a query touching one table
+    should not pay for all of them."""
+
+    def __init__(self, factories: dict):
+        self._factories = dict(factories)
+        self._built: dict = {}
+
+    def __getitem__(self, name):
+        if name not in self._built:
+            self._built[name] = self._factories[name]()
+        return self._built[name]
+
+    def __contains__(self, name):
+        return name in self._factories
+
+    def __iter__(self):
+        return iter(self._factories)
+
+    def __len__(self):
+        return len(self._factories)
+
+
 class Layers:
     """All tables of the model as lazy DataFrames over a set of raw tables."""
 
-    def __init__(self, spark: SparkSession, raw: dict, as_of: Column | None = None,
+    def __init__(self, spark: SparkSession, raw: Mapping, as_of: Column | None = None,
                  options: RunOptions | None = None):
         self.spark = spark
         self.raw = raw
         self.as_of = as_of
         self.options = options or RunOptions()
+        o = self.options
+        # Silver rows before expectations (what expectation metrics count)
+        self.silver_typed: Mapping = LazyTables({
+            s.silver_table: (lambda s=s: build_typed(self.raw[s.raw_table], s, o))
+            for s in SPECS if s.raw_table in raw})
+        self.silver: Mapping = LazyTables({
+            s.silver_table: (lambda s=s: build_silver(
+                None, s, o, typed=self.silver_typed[s.silver_table]))
+            for s in SPECS if s.raw_table in raw})
+        self.wire_gold()
+
+    def wire_gold(self) -> None:
+        """(Re)define Gold and Platinum over the current ``silver`` mapping."""
+        sv, a, o, spark = self.silver, self.as_of, self.options, self.spark
+        self.gold: Mapping = LazyTables({
+            "dim_feeder": lambda: G.dim_feeder(sv["u1_circuits_clean"], sv["u2_circuits_clean"], a, o),
+            "fact_installed_der": lambda: G.fact_installed_der(
+                sv["u1_install_der_clean"], sv["u2_install_der_clean"], a, o),
+            "fact_planned_der": lambda: G.fact_planned_der(
+                sv["u1_planned_der_clean"], sv["u2_planned_der_clean"], a, o),
+            "dim_utility": lambda: G.dim_utility(spark, a),
+            "dim_der_type": lambda: G.dim_der_type(spark, a),
+        })
+        self.wire_platinum()
+
+    def wire_platinum(self) -> None:
+        """(Re)define Platinum over the current ``gold`` mapping."""
+        g, a = self.gold, self.as_of
+        self.platinum: Mapping = LazyTables({
+            "v_feeders_by_hc": lambda: P.v_feeders_by_hc(g["dim_feeder"]),
+            "v_der_by_feeder": lambda: P.v_der_by_feeder(g["fact_installed_der"], g["fact_planned_der"]),
+            "v_feeder_map_summary": lambda: P.v_feeder_map_summary(
+                g["dim_feeder"], g["fact_installed_der"], g["fact_planned_der"]),
+            "v_data_quality_report": lambda: P.v_data_quality_report(
+                g["dim_feeder"], g["fact_installed_der"], g["fact_planned_der"], a),
+            "v_ingestion_metadata": lambda: P.v_ingestion_metadata(dict(self.raw), a),
+        })
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: Column | None = None,
                       options: RunOptions | None = None) -> Layers:
-        return cls(spark, raw_frames(spark, sf_dir), as_of, options)
-
-    @cached_property
-    def silver(self) -> dict:
-        return silver_tables(self.raw, self.options)
-
-    @cached_property
-    def gold(self) -> dict:
-        return G.gold_tables(self.silver, self.spark, self.as_of, self.options)
-
-    @cached_property
-    def platinum(self) -> dict:
-        return P.platinum_tables(self.gold, self.raw, self.as_of)
+        raw = LazyTables({n: (lambda n=n: raw_frame(spark, sf_dir, n)) for n in RAW_TABLES})
+        return cls(spark, raw, as_of, options)
 
     def table(self, name: str) -> DataFrame:
         for layer in (self.raw, self.silver, self.gold, self.platinum):
@@ -68,16 +118,17 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def materialize(layers: Layers, root: str) -> Layers:
-    """Write Silver, then Gold (reading Silver back), then Platinum, under
-    ``root`` (a shared folder, e.g. below ``spark.checkpoint.dir``).
-    Returns a Layers whose tables are the stored copies."""
+    """Write Silver, then Gold over the stored Silver, then Platinum over the
+    stored Gold, under ``root`` (a shared folder such as one below
+    ``spark.checkpoint.dir``). Returns a Layers whose tables are the stored
+    copies."""
     spark = layers.spark
     root = root.rstrip("/")
-    silver = {n: _write_read(spark, df, f"{root}/silver/{n}") for n, df in layers.silver.items()}
-    stored = Layers(spark, layers.raw, layers.as_of, layers.options)
-    stored.__dict__["silver"] = silver
-    gold = {n: _write_read(spark, df, f"{root}/gold/{n}") for n, df in stored.gold.items()}
-    stored.__dict__["gold"] = gold
-    plat = {n: _write_read(spark, df, f"{root}/platinum/{n}") for n, df in stored.platinum.items()}
-    stored.__dict__["platinum"] = plat
-    return stored
+    out = Layers(spark, layers.raw, layers.as_of, layers.options)
+    out.silver = {n: _write_read(spark, layers.silver[n], f"{root}/silver/{n}") for n in layers.silver}
+    out.wire_gold()
+    out.gold = {n: _write_read(spark, out.gold[n], f"{root}/gold/{n}") for n in out.gold}
+    out.wire_platinum()
+    out.platinum = {n: _write_read(spark, out.platinum[n], f"{root}/platinum/{n}")
+                    for n in out.platinum}
+    return out

@@ -8,10 +8,9 @@ one shuffle on the key) -> one typed projection -> drop expectations.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, Observation
 
-from gridlake.functions import convert, first_match, map_values, typed_null
+from gridlake.functions.columns import convert_sql, first_match_sql, lit_sql, q
 from gridlake.operators.cleanse import latest_per_key, normalize_nulls
 from gridlake.operators.quality import apply_expectations
 from gridlake.registry import (
@@ -35,44 +34,44 @@ def _source_columns(s: DatasetSpec, present: set) -> list[str]:
     return [c for c in dict.fromkeys(used) if c in present]
 
 
-def _output_columns(s: DatasetSpec, present: set, options: RunOptions) -> list[Column]:
-    out: dict[str, Column] = {}
+_NULL_TYPES = {"text": "STRING", "lower": "STRING", "double": "DOUBLE", "long": "BIGINT",
+               "int": "INT", "bool": "BOOLEAN", "ts": "TIMESTAMP"}
+
+
+def _output_sql(s: DatasetSpec, present: set, options: RunOptions) -> list[str]:
+    """The typed projection as SQL text (one JVM call for the whole list)."""
+    out: dict[str, str] = {}
     for c in s.columns:
         if isinstance(c, Col):
             if c.source in present:
-                expr = convert(F.col(f"`{c.source}`"), c.kind)
+                e = convert_sql(q(c.source), c.kind)
             else:  # column not (yet) delivered by this utility: typed NULL
-                expr = typed_null({"text": "string", "lower": "string", "double": "double",
-                                   "long": "bigint", "int": "int", "bool": "boolean",
-                                   "ts": "timestamp"}[c.kind])
+                e = f"CAST(NULL AS {_NULL_TYPES[c.kind]})"
             if c.name == "nameplate_rating_kw" and options.convert_units and s.rating_unit == "watts":
-                expr = expr / F.lit(1000.0)
-            out[c.name] = expr
+                e = f"({e}) / 1000.0"
+            out[c.name] = e
         elif c.rule == "der_type_wide":
-            out[c.name] = first_match([t for t in s.tech_columns if t in present],
-                                      _wide_names(s))
+            out[c.name] = first_match_sql([t for t in s.tech_columns if t in present],
+                                          der_type_mapping(s.utility_id))
         elif c.rule == "false":
-            out[c.name] = F.lit(False)
+            out[c.name] = "false"
         elif c.rule == "feeder_missing":
-            out[c.name] = out["feeder_id"].isNull()
+            out[c.name] = f"({out['feeder_id']}) IS NULL"
         elif c.rule == "utility":
-            out[c.name] = F.lit(s.utility_id)
+            out[c.name] = lit_sql(s.utility_id)
         elif c.rule == "lineage":
-            out[c.name] = F.col(c.name) if c.name in present else typed_null(_LINEAGE_TYPES[c.name])
+            out[c.name] = q(c.name) if c.name in present else f"CAST(NULL AS {_LINEAGE_TYPES[c.name]})"
         else:
             raise ValueError(c.rule)
     if options.map_types and s.utility_id == "utility_2" and "der_type" in out:
-        out["der_type"] = map_values(out["der_type"], U2_TYPE_TO_CANONICAL)
-    return [expr.alias(name) for name, expr in out.items()]
-
-
-def _wide_names(s: DatasetSpec) -> dict:
-    return der_type_mapping(s.utility_id)
+        pairs = ", ".join(f"{lit_sql(k)}, {lit_sql(v)}" for k, v in U2_TYPE_TO_CANONICAL.items())
+        d = out["der_type"]
+        out["der_type"] = f"coalesce(try_element_at(map({pairs}), {d}), {d})"
+    return [f"{e} AS {q(name)}" for name, e in out.items()]
 
 
-def build_silver(raw: DataFrame, s: DatasetSpec, options: RunOptions | None = None,
-                 observation: Observation | None = None) -> DataFrame:
-    """Raw text table -> Silver table for dataset spec ``s``."""
+def build_typed(raw: DataFrame, s: DatasetSpec, options: RunOptions | None = None) -> DataFrame:
+    """Raw text table -> typed, latest-per-key rows, before expectations."""
     options = options or RunOptions()
     present = set(raw.columns)
     if s.key not in present:
@@ -86,7 +85,15 @@ def build_silver(raw: DataFrame, s: DatasetSpec, options: RunOptions | None = No
         [c for c in _source_columns(s, present) if c != s.key]
     latest = latest_per_key(cleaned, s.key, order="_ingestion_ts", tie_breakers=ties,
                             keep_null_keys=options.keep_null_keys, trim_key=options.trim_key)
-    typed = latest.select(*_output_columns(s, present, options))
+    return latest.selectExpr(*_output_sql(s, present, options))
+
+
+def build_silver(raw: DataFrame, s: DatasetSpec, options: RunOptions | None = None,
+                 observation: Observation | None = None, typed: DataFrame | None = None) -> DataFrame:
+    """Raw text table -> Silver table for dataset spec ``s`` (expectations
+    applied: metrics observed, ``drop`` violators removed)."""
+    if typed is None:
+        typed = build_typed(raw, s, options)
     return apply_expectations(typed, s.expectations, observation)
 
 

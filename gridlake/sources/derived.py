@@ -256,8 +256,32 @@ def raw_sql(d: Derivation, environment: str = ENVIRONMENT) -> str:
     return f"SELECT {', '.join(select_list(d, environment))} FROM {frm}{where}"
 
 
+# A scan smaller than this is left as it is, however few its partitions.
+REBALANCE_MIN_BYTES = 1 << 20
+
+
+def balanced(df: DataFrame, min_bytes: int = REBALANCE_MIN_BYTES) -> DataFrame:
+    """Round-robin a scan whose input splits are fewer than the cluster's
+    task slots, when it is big enough to matter.
+
+    Parquet splits only at row-group boundaries: one large file with a single
+    row group is read by one task, and every narrow operator after it (text
+    derivation, null normalisation, the map-side top-1 sort) would run on
+    that one core. A layout of many files/row groups — the normal case at
+    scale — already has enough splits, and this is a no-op. The check uses
+    the planner's own split count and size estimate; nothing is executed."""
+    spark = df.sparkSession
+    slots = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
+        return df
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(size)) < min_bytes:
+        return df
+    return df.repartition(slots)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
 
 
 def raw_frame(spark: SparkSession, sf_dir: str, name: str,
