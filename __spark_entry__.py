@@ -41,7 +41,10 @@ from gridlake.registry import (  # noqa: E402
     der_type_mapping,
     spec,
 )
-from gridlake.session import ensure_utc  # noqa: E402
+from gridlake.session import ensure_utc, scratch_path  # noqa: E402
+from gridlake.sources.landing import read_landing, write_landing  # noqa: E402
+from gridlake.sources.store import CLUSTER_BY, write_clustered  # noqa: E402
+from gridlake.streaming.bronze import ingest, read_raw_table  # noqa: E402
 
 SF_SMOKE = "/root/testdata/sf0.001"
 
@@ -191,6 +194,60 @@ def q_dq_alerts(spark, sf_dir):
     return dq_alerts(_layers(spark, sf_dir).platinum["v_data_quality_report"])
 
 
+# -- ingestion (Bronze) -------------------------------------------------------
+
+_DROP2_FROM = "landing/utility_1/installed_der/der_1998.csv"  # files from 1998 on: 2nd layout
+_LINEAGE = ("_source_file", "_ingestion_ts", "_utility_id", "_environment")
+
+
+def _land_two_layouts(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
+    """Land u1_install_der_raw as CSV drops in two layouts: the original
+    column order, and (for later files) reversed order plus a new column."""
+    raw = _raw(spark, sf_dir, "u1_install_der_raw")
+    data_cols = [c for c in raw.columns if c not in _LINEAGE]
+    late = F.col("_source_file") >= F.lit(_DROP2_FROM)
+    write_landing(raw.filter(~late).select(*data_cols), landing, files=4)
+    write_landing(raw.filter(late).select(*reversed(data_cols), F.lit("added").alias("Notes")),
+                  landing, files=3)
+    return data_cols + ["Notes"]
+
+
+def q_csv_landing_read(spark, sf_dir):
+    """S1-S6 (batch): header-aware read of mixed-layout CSV drops."""
+    landing = scratch_path(spark, "landing")
+    cols = _land_two_layouts(spark, sf_dir, landing)
+    df = read_landing(spark, landing, "utility_1", columns=cols)
+    return normalize_nulls(df.select(*cols), NULL_TOKENS_8)
+
+
+def q_bronze_stream_ingest(spark, sf_dir):
+    """S1-S7 (streaming): file-source stream -> append-only parquet raw table
+    with availableNow; the table read back holds every landed row once."""
+    landing = scratch_path(spark, "landing")
+    cols = _land_two_layouts(spark, sf_dir, landing)
+    table, ckpt = scratch_path(spark, "bronze"), scratch_path(spark, "bronze-ckpt")
+    ingest(spark, landing, "utility_1", table, ckpt, columns=cols)
+    return normalize_nulls(read_raw_table(spark, table).select(*cols), NULL_TOKENS_8)
+
+
+def q_clustered_hc_lookup(spark, sf_dir):
+    """S10/S11 + F10: store v_feeders_by_hc range-clustered on
+    max_hosting_capacity_mw, then run the hosting-capacity lookup against
+    the stored copy (the predicate reaches the parquet scan)."""
+    path = scratch_path(spark, "v_feeders_by_hc")
+    view = _layers(spark, sf_dir).platinum["v_feeders_by_hc"]
+    write_clustered(view, path, CLUSTER_BY["v_feeders_by_hc"], files=4)
+    return P.feeders_by_hc(spark.read.parquet(path), min_hc=500.0)
+
+
+def q_clustered_der_lookup(spark, sf_dir):
+    """S10 + F11: v_der_by_feeder clustered on feeder_id, point lookup."""
+    path = scratch_path(spark, "v_der_by_feeder")
+    view = _layers(spark, sf_dir).platinum["v_der_by_feeder"]
+    write_clustered(view, path, CLUSTER_BY["v_der_by_feeder"], files=4)
+    return P.der_for_feeder(spark.read.parquet(path), "24")
+
+
 def _table_query(name: str) -> Callable[[SparkSession, str], DataFrame]:
     def run(spark, sf_dir):
         return _layers(spark, sf_dir).table(name)
@@ -231,6 +288,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "der_for_feeder_lookup": q_der_for_feeder_lookup,
         "stale_datasets": q_stale_datasets,
         "dq_alerts": q_dq_alerts,
+        "csv_landing_read": q_csv_landing_read,
+        "bronze_stream_ingest": q_bronze_stream_ingest,
+        "clustered_hc_lookup": q_clustered_hc_lookup,
+        "clustered_der_lookup": q_clustered_der_lookup,
     })
     return out
 

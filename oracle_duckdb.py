@@ -397,17 +397,25 @@ FROM u1_planned_der_raw""", ["u1_planned_der_raw"])
         return expectation_metrics_sql(o)
     if name == "contract_violations":
         return contract_violations_sql(o)
-    if name == "feeders_by_hc_lookup":
+    if name in ("feeders_by_hc_lookup", "clustered_hc_lookup"):
         return o.query("SELECT * FROM v_feeders_by_hc WHERE max_hosting_capacity_mw >= 500.0",
                        ["v_feeders_by_hc"])
     if name == "feeders_by_hc_utility_lookup":
         return o.query("SELECT * FROM v_feeders_by_hc WHERE max_hosting_capacity_mw >= 0.0 "
                        "AND utility_id = 'utility_2'", ["v_feeders_by_hc"])
-    if name == "der_for_feeder_lookup":
+    if name in ("der_for_feeder_lookup", "clustered_der_lookup"):
         return o.query("SELECT * FROM v_der_by_feeder WHERE feeder_id = '24'", ["v_der_by_feeder"])
     if name == "stale_datasets":
         return o.query("SELECT * FROM v_ingestion_metadata WHERE is_stale", ["v_ingestion_metadata"])
     if name == "dq_alerts":
         return o.query("SELECT * FROM v_data_quality_report WHERE installed_null_feeder_pct > 5.0",
                        ["v_data_quality_report"])
+    if name in ("csv_landing_read", "bronze_stream_ingest"):
+        cols = [c for c in raw_columns("u1_install_der_raw")
+                if c not in ("_source_file", "_ingestion_ts", "_utility_id", "_environment")]
+        src = ("SELECT " + ", ".join(cols) + ", CASE WHEN _source_file >= "
+               "'landing/utility_1/installed_der/der_1998.csv' THEN 'added' END AS Notes "
+               "FROM u1_install_der_raw")
+        o.add("q_landed", src, ["u1_install_der_raw"])
+        return o.query(normalize_sql("q_landed", cols + ["Notes"], NULL_TOKENS_8), ["q_landed"])
     raise KeyError(name)
