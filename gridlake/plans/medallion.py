@@ -19,7 +19,9 @@ from gridlake.plans import gold as G
 from gridlake.plans import platinum as P
 from gridlake.plans.silver import build_silver, build_typed
 from gridlake.registry import SPECS, RunOptions
+from gridlake.session import scratch_path
 from gridlake.sources.derived import RAW_TABLES, raw_frame
+from gridlake.sources.store import write_balanced
 
 DEFAULT_AS_OF = "2024-02-15 00:00:00"
 
@@ -101,8 +103,18 @@ class Layers:
 
     @classmethod
     def from_testdata(cls, spark: SparkSession, sf_dir: str, as_of: Column | None = None,
-                      options: RunOptions | None = None) -> Layers:
-        raw = LazyTables({n: (lambda n=n: raw_frame(spark, sf_dir, n)) for n in RAW_TABLES})
+                      options: RunOptions | None = None, stage_raw: bool = True) -> Layers:
+        """Model over raw tables derived from the driver's tables. With
+        ``stage_raw`` each raw table is written once (on first use) as a
+        parquet Bronze table in the shared checkpoint folder and read from
+        there — the shape of a real deployment, where Bronze is stored — so
+        queries sharing a raw table do not re-derive it, and its lineage is
+        cut."""
+        def factory(name):
+            if not stage_raw:
+                return lambda: raw_frame(spark, sf_dir, name)
+            return lambda: stage(raw_frame(spark, sf_dir, name), scratch_path(spark, f"bronze-{name}"))
+        raw = LazyTables({n: factory(n) for n in RAW_TABLES})
         return cls(spark, raw, as_of, options)
 
     def table(self, name: str) -> DataFrame:
@@ -117,6 +129,13 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+def stage(df: DataFrame, path: str) -> DataFrame:
+    """Write ``df`` as balanced parquet files at ``path`` and return the
+    stored table."""
+    write_balanced(df, path)
+    return df.sparkSession.read.parquet(path)
+
+
 def materialize(layers: Layers, root: str) -> Layers:
     """Write Silver, then Gold over the stored Silver, then Platinum over the
     stored Gold, under ``root`` (a shared folder such as one below
