@@ -69,12 +69,18 @@ def test_no_cartesian_or_nested_loop_joins(spark):
 
 
 def test_scans_are_pruned_and_filters_pushed(spark):
-    df = E.queries()["v_feeders_by_hc"](spark, SF_SMALL)
-    plan = df._jdf.queryExecution().executedPlan().toString()
+    from gridlake.sources.derived import raw_frame
+    circuits = _plan(raw_frame(spark, SF_SMALL, "u1_circuits_raw"))
     # the lineitem scan reads only the columns the circuits derivation uses
-    assert "l_returnflag" not in plan and "l_tax" not in plan
-    inst = E.queries()["fact_installed_der"](spark, SF_SMALL)
-    assert "PushedFilters: [IsNotNull(o_orderstatus), EqualTo(o_orderstatus,F)]" in _plan(inst)
+    assert "l_returnflag" not in circuits and "l_tax" not in circuits
+    assert "EqualTo(o_orderstatus,F)" in _plan(raw_frame(spark, SF_SMALL, "u1_install_der_raw"))
+    # Silver reads only the raw columns it needs from the stored Bronze table
+    silver = _plan(E.queries()["u2_install_der_clean"](spark, SF_SMALL))
+    read_schema = silver.split("ReadSchema: ", 1)[1].split("\n", 1)[0]
+    assert "DER_ID" in read_schema and "_environment" not in read_schema
+    # a lookup on a utility never touches the other utility's branch
+    lookup = _plan(E.queries()["feeders_by_hc_utility_lookup"](spark, SF_SMALL))
+    assert "lineitem" not in lookup and "u1_circuits_raw" not in lookup
 
 
 def test_oracle_sql_files_exist():
