@@ -236,7 +236,8 @@ def q_clustered_hc_lookup(spark, sf_dir):
     the stored copy (the predicate reaches the parquet scan)."""
     path = scratch_path(spark, "v_feeders_by_hc")
     view = _layers(spark, sf_dir).platinum["v_feeders_by_hc"]
-    write_clustered(view, path, CLUSTER_BY["v_feeders_by_hc"], files=4)
+    cols, tiebreak = CLUSTER_BY["v_feeders_by_hc"]
+    write_clustered(view, path, cols, files=4, tiebreak=tiebreak)
     return P.feeders_by_hc(spark.read.parquet(path), min_hc=500.0)
 
 
@@ -244,7 +245,8 @@ def q_clustered_der_lookup(spark, sf_dir):
     """S10 + F11: v_der_by_feeder clustered on feeder_id, point lookup."""
     path = scratch_path(spark, "v_der_by_feeder")
     view = _layers(spark, sf_dir).platinum["v_der_by_feeder"]
-    write_clustered(view, path, CLUSTER_BY["v_der_by_feeder"], files=4)
+    cols, tiebreak = CLUSTER_BY["v_der_by_feeder"]
+    write_clustered(view, path, cols, files=4, tiebreak=tiebreak)
     return P.der_for_feeder(spark.read.parquet(path), "24")
 
 

@@ -21,7 +21,10 @@ TARGET_FILE_BYTES = 128 << 20
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    try:
+        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    except Exception:  # planner not reachable: assume one target-sized file
+        return TARGET_FILE_BYTES
 
 
 def file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES, max_files: int = 100_000) -> int:
@@ -33,20 +36,23 @@ def write_balanced(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None,
-                    mode: str = "overwrite") -> None:
+                    mode: str = "overwrite", tiebreak: Sequence[str] = ()) -> None:
+    """Range-cluster on ``columns``. ``tiebreak`` (a unique column) is
+    appended to the range key: when one value holds a large share of the
+    rows, the sampled range bounds can then cut inside that value, so it is
+    spread over several files instead of one oversized task and file."""
     n = files or file_count(df)
-    (df.repartitionByRange(n, *columns).sortWithinPartitions(*columns)
-     .write.mode(mode).parquet(path))
+    key = [*columns, *tiebreak]
+    df.repartitionByRange(n, *key).sortWithinPartitions(*key).write.mode(mode).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-# Clustering columns of the serving tables (the lookup keys they exist for).
+# Clustering of the serving tables: (lookup columns, unique tie-break).
 CLUSTER_BY = {
-    "u1_circuits_raw": ("_utility_id",),
-    "v_feeders_by_hc": ("max_hosting_capacity_mw",),
-    "v_der_by_feeder": ("feeder_id",),
-    "v_feeder_map_summary": ("utility_id", "feeder_id"),
+    "v_feeders_by_hc": (("max_hosting_capacity_mw",), ("global_feeder_id",)),
+    "v_der_by_feeder": (("feeder_id",), ("der_id",)),
+    "v_feeder_map_summary": (("utility_id", "feeder_id"), ("global_feeder_id",)),
 }
