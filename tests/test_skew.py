@@ -1,0 +1,76 @@
+"""A key holding a third of all rows must not reach one reducer as a third
+of the data: measured from the shuffle metrics of the executed plan."""
+
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from gridlake.operators import feeder_rollup, latest_per_key
+from gridlake.operators.aggregate import exact_sum
+
+MAPS = 4
+
+
+def shuffle_records(df) -> list[int]:
+    """Execute ``df`` and return records written by each shuffle exchange."""
+    df.collect()
+    out = []
+
+    def walk(node):
+        name = node.nodeName()
+        if name == "Exchange":
+            m = node.metrics().get("shuffleRecordsWritten")
+            if m.isDefined():
+                out.append(int(m.get().value()))
+        if name == "AdaptiveSparkPlan":
+            walk(node.executedPlan())
+        elif "QueryStage" in node.getClass().getSimpleName():
+            walk(node.plan())
+        kids = node.children()
+        for i in range(kids.size()):
+            walk(kids.apply(i))
+    walk(df._jdf.queryExecution().executedPlan())
+    return out
+
+
+def skewed(spark, n=30_000):
+    # one third of the rows share key HOT; the rest are unique
+    return (spark.range(0, n, 1, MAPS)
+            .select(F.when(F.col("id") % 3 == 0, F.lit("HOT"))
+                    .otherwise(F.concat(F.lit("k"), F.col("id").cast("string"))).alias("key"),
+                    (F.lit(dt.datetime(2024, 1, 1)).cast("timestamp")
+                     + F.make_interval(secs=F.col("id").cast("decimal(18,6)"))).alias("_ingestion_ts"),
+                    F.col("id")))
+
+
+def test_hot_key_crosses_the_shuffle_once_per_map_task(spark):
+    df = skewed(spark)
+    out = latest_per_key(df, "key")
+    written = shuffle_records(out)
+    unique = 30_000 - 10_000
+    assert written and max(written) <= unique + MAPS, written
+    got = {r.key: r.id for r in out.collect()}
+    assert got["HOT"] == 29_997 and len(got) == unique + 1
+
+
+def test_hot_feeder_is_pre_aggregated(spark):
+    seg = skewed(spark).select(
+        F.when(F.col("key") == "HOT", F.lit(1)).otherwise(F.col("id") % 1000 + 2).cast("long").alias("feeder_id"),
+        F.col("id").alias("section_id"), F.lit(13.2).alias("voltage_kv"),
+        F.lit(5.0).alias("feeder_max_hc_mw"), F.lit(1.0).alias("feeder_min_hc_mw"),
+        F.lit(None).cast("timestamp").alias("hca_date"), F.lit("F").alias("feeder_name"),
+        "_ingestion_ts")
+    out = feeder_rollup(seg)
+    written = shuffle_records(out)
+    # at most one partial row per (map task, feeder): 1001 feeders x 4 maps
+    assert written and max(written) <= 1001 * MAPS, written
+    hot = out.filter("feeder_id = 1").first()
+    assert hot.segment_count == 10_000
+
+
+def test_hot_group_sum_is_pre_aggregated(spark):
+    df = skewed(spark).select(F.when(F.col("key") == "HOT", "HOT").otherwise("other").alias("g"),
+                              (F.col("id") / 100).alias("v"))
+    out = df.groupBy("g").agg(exact_sum("v").alias("s"))
+    written = shuffle_records(out)
+    assert written and max(written) <= 2 * MAPS, written
