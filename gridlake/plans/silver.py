@@ -49,6 +49,10 @@ def _output_sql(s: DatasetSpec, present: set, options: RunOptions) -> list[str]:
                 e = f"CAST(NULL AS {_NULL_TYPES[c.kind]})"
             if c.name == "nameplate_rating_kw" and options.convert_units and s.rating_unit == "watts":
                 e = f"({e}) / 1000.0"
+            if (c.name == "feeder_id" and options.canonical_feeder_ids and c.source in present
+                    and s.utility_id == "utility_1" and s.dataset != "circuits"):
+                # same integral reading the feeder dimension applies to its ids
+                e = f"coalesce(CAST({convert_sql(q(c.source), 'long')} AS STRING), {e})"
             out[c.name] = e
         elif c.rule == "der_type_wide":
             out[c.name] = first_match_sql([t for t in s.tech_columns if t in present],

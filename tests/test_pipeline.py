@@ -196,3 +196,21 @@ def test_materialize_roundtrip(spark, layers):
         b = sorted(map(tuple, stored.table(name).collect()), key=repr)
         assert a == b
     assert len(SPECS) == len(stored.silver)
+
+
+def test_intent_options(spark, layers):
+    from gridlake.registry import RunOptions
+    opts = RunOptions(null_safe_ids=True, convert_units=True, map_types=True, trim_key=True,
+                      canonical_feeder_ids=True)
+    alt = Layers(spark, dict(layers.raw), as_of_literal(AS_OF), opts)
+    i = rows_by(alt.silver["u1_install_der_clean"], "project_id")
+    assert i["P1"].nameplate_rating_kw == 1.0                 # watts -> kW
+    assert i["P2"].feeder_id == "1"                           # "1.0" now joins feeder 1
+    u2 = rows_by(alt.silver["u2_install_der_clean"], "der_id")
+    assert u2["D1"].der_type == "Steam Turbine" and u2["D2"].der_type == "Energy Storage"
+    # padded " 10" collapses into "10" when keys are trimmed
+    assert alt.silver["u1_circuits_clean"].filter("section_id = 10").count() == 1
+    m = {(r.utility_id, r.feeder_id): r for r in alt.platinum["v_feeder_map_summary"].collect()}
+    assert m[("utility_1", "1")].installed_der_count == 2
+    f = rows_by(alt.gold["fact_installed_der"], "der_id")
+    assert f["P3"].global_feeder_id is None and f["P1"].global_der_id == "utility_1::P1"
