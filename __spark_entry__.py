@@ -58,7 +58,8 @@ def _layers(spark: SparkSession, sf_dir: str) -> Layers:
     ensure_utc(spark)
     key = (spark.sparkContext.applicationId, id(spark), sf_dir)
     if key not in _PLANS:
-        _PLANS.clear()
+        while len(_PLANS) >= 4:          # keep the most recent few data folders
+            _PLANS.pop(next(iter(_PLANS)))
         _PLANS[key] = Layers.from_testdata(spark, sf_dir, as_of_literal())
     return _PLANS[key]
 
