@@ -22,8 +22,6 @@ from gridlake.registry import GLOBAL_ID_SEP
 # accepts; the fraction is truncated, as that cast does.
 _INTEGRAL = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
 
-TRUE_WORDS = ("t", "true", "y", "yes", "1")
-
 
 def q(name: str) -> str:
     """Quote an identifier for SQL text."""
@@ -54,8 +52,13 @@ def null_if_token_sql(c: str, tokens: Iterable[str]) -> str:
 
 
 def integral_sql(c: str, type_name: str) -> str:
+    # Fast path: a plain (optionally signed, padded) integer is what try_cast
+    # already accepts, so most values never reach the regex. Otherwise the
+    # integral part of a ``12.9``-style value is extracted (no match -> ''
+    # -> NULL), exactly as the legacy cast truncates.
     pat = lit_sql(_INTEGRAL)
-    return f"CASE WHEN {c} RLIKE {pat} THEN try_cast(regexp_extract({c}, {pat}, 1) AS {type_name}) END"
+    return (f"coalesce(try_cast({c} AS {type_name}), "
+            f"try_cast(regexp_extract({c}, {pat}, 1) AS {type_name}))")
 
 
 def convert_sql(c: str, kind: str) -> str:
@@ -108,8 +111,8 @@ def convert(col, kind: str) -> Column:
     if kind == "double":
         return c.try_cast("double")
     if kind in ("long", "int"):
-        return F.when(c.rlike(_INTEGRAL), F.regexp_extract(c, _INTEGRAL, 1)
-                      .try_cast("bigint" if kind == "long" else "int"))
+        t = "bigint" if kind == "long" else "int"
+        return F.coalesce(c.try_cast(t), F.regexp_extract(c, _INTEGRAL, 1).try_cast(t))
     if kind == "bool":
         return c.try_cast("boolean")
     if kind == "ts":
