@@ -69,8 +69,11 @@ def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def entry(spark: SparkSession) -> DataFrame:
-    """Flagship: the per-feeder map summary over the whole model at sf0.001."""
-    return _layers(spark, SF_SMOKE).platinum["v_feeder_map_summary"]
+    """Flagship: the per-feeder map summary over the whole model at sf0.001
+    (one query, so the raw tables are read in place rather than staged)."""
+    ensure_utc(spark)
+    layers = Layers.from_testdata(spark, SF_SMOKE, as_of_literal(), stage_raw=False)
+    return layers.platinum["v_feeder_map_summary"]
 
 
 # -- library operators ------------------------------------------------------
