@@ -52,3 +52,26 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = checkpoint_root(spark).rstrip("/")
     return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def cluster_conf(input_bytes: int, total_cores: int, target_partition_bytes: int = 128 << 20) -> dict:
+    """Settings for a cluster run sized from the expected input volume.
+
+    Shuffle partitions start high enough that each holds about
+    ``target_partition_bytes`` of the largest shuffle (the raw-table dedup,
+    roughly the input size) and at least 3 waves of tasks; AQE then
+    coalesces small ones and splits skewed ones, so a hot key or file never
+    becomes one oversized task. Scan splits of 256 MB keep task counts
+    manageable on very large inputs without making tasks spill.
+    """
+    partitions = max(3 * total_cores, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.session.timeZone": "UTC",
+    }
