@@ -1,0 +1 @@
+"""Structured Streaming ingestion of landing folders into raw tables."""
