@@ -21,7 +21,6 @@ from gridlake.plans.silver import build_silver, build_typed
 from gridlake.registry import SPECS, RunOptions
 from gridlake.session import scratch_path
 from gridlake.sources.derived import RAW_TABLES, raw_frame
-from gridlake.sources.store import write_balanced
 
 DEFAULT_AS_OF = "2024-02-15 00:00:00"
 
@@ -130,9 +129,10 @@ def _write_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
 
 
 def stage(df: DataFrame, path: str) -> DataFrame:
-    """Write ``df`` as balanced parquet files at ``path`` and return the
-    stored table."""
-    write_balanced(df, path)
+    """Write ``df`` as parquet at ``path`` and return the stored table. The
+    derived raw tables are narrow projections of evenly split scans, so the
+    files follow those splits; no extra shuffle is spent on rebalancing."""
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
