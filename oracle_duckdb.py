@@ -18,7 +18,6 @@ from gridlake.registry import (
     U2_TYPE_TO_CANONICAL,
     CONTRACTS,
     Col,
-    Derived,
     der_type_mapping,
     spec,
 )
@@ -26,9 +25,6 @@ from gridlake.sources.derived import DERIVATIONS, derivation, raw_sql
 
 AS_OF = "TIMESTAMP '2024-02-15 00:00:00'"
 _INTEGRAL = r"^\s*([+-]?[0-9]+)(\.[0-9]*)?\s*$"
-_DUCK_TYPE = {"string": "VARCHAR", "long": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
-              "float": "FLOAT", "boolean": "BOOLEAN", "timestamp": "TIMESTAMP", "date": "DATE",
-              "binary": "BLOB"}
 
 
 def _lit(s: str) -> str:
