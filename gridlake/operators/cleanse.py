@@ -51,17 +51,18 @@ def latest_per_key(df: DataFrame, key: str | Sequence[str], order: str = "_inges
         rest = [c for c in df.columns if c not in keys and c != order]
         tie_breakers = (["_source_file"] if "_source_file" in rest else []) + \
             sorted(c for c in rest if c != "_source_file")
-    part = ", ".join(f"trim({q(k)})" if trim_key else q(k) for k in keys)
+    part = [f"trim({q(k)})" if trim_key else q(k) for k in keys]
     ordering = ", ".join(f"{q(c)} DESC NULLS LAST" for c in [order, *tie_breakers])
-    rn = f"row_number() OVER (PARTITION BY {part} ORDER BY {ordering}) AS _rn"
-
-    def top1(frame: DataFrame) -> DataFrame:
-        return frame.selectExpr("*", rn).filter("_rn = 1").drop("_rn")
-
-    if not keep_null_keys:
-        return top1(df)
-    any_null = " OR ".join(f"{q(k)} IS NULL" for k in keys)
-    return top1(df.filter(f"NOT ({any_null})")).unionByName(df.filter(any_null))
+    if keep_null_keys:
+        # Every row with a NULL key becomes its own group (keyed by its scan
+        # position, stable across task retries), so all of them survive in
+        # the same single pass, and they never gather in one task.
+        any_null = " OR ".join(f"{q(k)} IS NULL" for k in keys)
+        df = df.selectExpr("*", f"CASE WHEN {any_null} THEN monotonically_increasing_id() END AS _nk")
+        part.append("_nk")
+    rn = f"row_number() OVER (PARTITION BY {', '.join(part)} ORDER BY {ordering}) AS _rn"
+    out = df.selectExpr("*", rn).filter("_rn = 1").drop("_rn")
+    return out.drop("_nk") if keep_null_keys else out
 
 
 def apply_column_map(df: DataFrame, mapping: Mapping[str, str], missing: str = "null") -> DataFrame:

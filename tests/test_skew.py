@@ -74,3 +74,16 @@ def test_hot_group_sum_is_pre_aggregated(spark):
     out = df.groupBy("g").agg(exact_sum("v").alias("s"))
     written = shuffle_records(out)
     assert written and max(written) <= 2 * MAPS, written
+
+
+def test_kept_null_keys_are_one_pass_and_spread(spark):
+    df = skewed(spark).select(F.when(F.col("key") == "HOT", F.lit(None)).otherwise(F.col("key")).alias("key"),
+                              "_ingestion_ts", "id")
+    out = latest_per_key(df, "key", keep_null_keys=True)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Range (") == 1          # the input is read once
+    assert out.count() == 30_000               # 10,000 NULL-key rows + 20,000 unique keys
+    # the shuffle key carries the per-row synthetic group, so NULL-key rows
+    # hash to all reducers instead of forming one group
+    exchange = [ln for ln in plan.splitlines() if "Exchange hashpartitioning" in ln]
+    assert exchange and all("_nk" in ln for ln in exchange), exchange
