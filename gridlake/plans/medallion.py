@@ -21,6 +21,7 @@ from gridlake.plans.silver import build_silver, build_typed
 from gridlake.registry import SPECS, RunOptions
 from gridlake.session import scratch_path
 from gridlake.sources.derived import RAW_TABLES, raw_frame
+from gridlake.sources.store import CLUSTER_BY, write_balanced, write_clustered
 
 DEFAULT_AS_OF = "2024-02-15 00:00:00"
 
@@ -123,8 +124,14 @@ class Layers:
         raise KeyError(name)
 
 
-def _write_read(spark: SparkSession, df: DataFrame, path: str) -> DataFrame:
-    df.write.mode("overwrite").parquet(path)
+def store_table(spark: SparkSession, df: DataFrame, path: str, name: str = "") -> DataFrame:
+    """Store one table (range-clustered when it is a serving view with lookup
+    keys, otherwise AQE-balanced files) and return the stored copy."""
+    if name in CLUSTER_BY:
+        cols, tiebreak = CLUSTER_BY[name]
+        write_clustered(df, path, cols, tiebreak=tiebreak)
+    else:
+        write_balanced(df, path)
     return spark.read.parquet(path)
 
 
@@ -144,10 +151,11 @@ def materialize(layers: Layers, root: str) -> Layers:
     spark = layers.spark
     root = root.rstrip("/")
     out = Layers(spark, layers.raw, layers.as_of, layers.options)
-    out.silver = {n: _write_read(spark, layers.silver[n], f"{root}/silver/{n}") for n in layers.silver}
+    out.silver = {n: store_table(spark, layers.silver[n], f"{root}/silver/{n}", n)
+                  for n in layers.silver}
     out.wire_gold()
-    out.gold = {n: _write_read(spark, out.gold[n], f"{root}/gold/{n}") for n in out.gold}
+    out.gold = {n: store_table(spark, out.gold[n], f"{root}/gold/{n}", n) for n in out.gold}
     out.wire_platinum()
-    out.platinum = {n: _write_read(spark, out.platinum[n], f"{root}/platinum/{n}")
+    out.platinum = {n: store_table(spark, out.platinum[n], f"{root}/platinum/{n}", n)
                     for n in out.platinum}
     return out
