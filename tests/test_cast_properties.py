@@ -46,3 +46,29 @@ def test_integral_cast_agrees_everywhere(spark, values):
     want = [model(v) for v in values]
     assert got == want
     assert oracle == want
+
+
+token_texts = st.lists(
+    st.one_of(
+        st.sampled_from(["NULL", "null", "N/A", "n/a", "NA", "na", "None", "none", "", "Null", "x"]),
+        st.text(alphabet="NnAa/lUuoe \t", max_size=7),
+        st.none(),
+    ),
+    min_size=50, max_size=200)
+
+
+@settings(max_examples=4, deadline=None)
+@given(token_texts, st.sampled_from(["nine", "eight"]))
+def test_null_tokens_agree_everywhere(spark, values, which):
+    from gridlake.operators import normalize_nulls
+    from gridlake.registry import NULL_TOKENS_8, NULL_TOKENS_9
+    from oracle_duckdb import normalize_sql
+    tokens = NULL_TOKENS_9 if which == "nine" else NULL_TOKENS_8
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r.s for r in normalize_nulls(df, tokens).collect()]
+    con = duckdb.connect()
+    sql = normalize_sql("(SELECT ?::VARCHAR AS s)", ["s"], tokens)
+    oracle = [con.execute(sql, [v]).fetchone()[0] for v in values]
+    want = [None if v is None or v.strip(" ") in tokens else v for v in values]
+    assert got == want
+    assert oracle == want
