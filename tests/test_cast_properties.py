@@ -72,3 +72,31 @@ def test_null_tokens_agree_everywhere(spark, values, which):
     want = [None if v is None or v.strip(" ") in tokens else v for v in values]
     assert got == want
     assert oracle == want
+
+
+FLAG_TEXTS = ["0", "1", "2", "-1", "0.0", "0.5", "true", "yes", "", " 1 ", "1e2", "abc", None]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.lists(st.sampled_from(FLAG_TEXTS), min_size=14, max_size=14),
+                min_size=30, max_size=120))
+def test_first_match_agrees_everywhere(spark, rows):
+    from gridlake.registry import U1_COLUMN_TO_CANONICAL, U1_TECH_COLUMNS
+    from oracle_duckdb import first_match_sql
+    cols = list(U1_TECH_COLUMNS)
+    df = spark.createDataFrame([tuple(r) for r in rows], ", ".join(f"{c} string" for c in cols))
+    got = [r.t for r in df.select(GF.first_match(cols, U1_COLUMN_TO_CANONICAL).alias("t")).collect()]
+    con = duckdb.connect()
+    sql = (f"SELECT {first_match_sql(cols, U1_COLUMN_TO_CANONICAL)} FROM (SELECT "
+           + ", ".join(f"?::VARCHAR AS {c}" for c in cols) + ")")
+    oracle = [con.execute(sql, list(r)).fetchone()[0] for r in rows]
+
+    def positive(t):
+        try:
+            return t is not None and float(t) > 0
+        except ValueError:
+            return False
+    want = [next((U1_COLUMN_TO_CANONICAL[c] for c, t in zip(cols, r) if positive(t)), None)
+            for r in rows]
+    assert got == want
+    assert oracle == want
