@@ -100,3 +100,29 @@ def test_first_match_agrees_everywhere(spark, rows):
             for r in rows]
     assert got == want
     assert oracle == want
+
+
+date_parts = st.tuples(st.sampled_from([1999, 2000, 2023, 2024, 2100]), st.integers(0, 13),
+                       st.integers(0, 32), st.integers(0, 25), st.integers(0, 61),
+                       st.integers(0, 61), st.integers(0, 3))
+
+
+def render(p):
+    y, m, d, h, mi, s, form = p
+    return [f"{y:04d}-{m:02d}-{d:02d}", f"{y:04d}-{m:02d}-{d:02d} {h:02d}:{mi:02d}:{s:02d}",
+            f"{m:02d}/{d:02d}/{y:04d}", f"{y:04d}-{m:02d}-{d:02d}T{h:02d}:{mi:02d}:{s:02d}"][form]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(date_parts, min_size=50, max_size=300))
+def test_timestamp_parse_agrees_with_oracle(spark, parts):
+    """Dates in the delivered shapes, valid or not (Feb 30, month 13, hour
+    24, US order): Spark and the oracle SQL parse the same values."""
+    values = [render(p) for p in parts]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r.t for r in df.select(GF.lenient_ts("s").alias("t")).collect()]
+    con = duckdb.connect()
+    oracle = [con.execute(f"SELECT {convert_sql('s', 'ts')} FROM (SELECT ?::VARCHAR AS s)", [v])
+              .fetchone()[0] for v in values]
+    assert got == oracle
+    assert all(g is None for v, g in zip(values, got) if "/" in v)
