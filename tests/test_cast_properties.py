@@ -126,3 +126,25 @@ def test_timestamp_parse_agrees_with_oracle(spark, parts):
               .fetchone()[0] for v in values]
     assert got == oracle
     assert all(g is None for v, g in zip(values, got) if "/" in v)
+
+
+BOOL_WORDS = ["t", "true", "y", "yes", "1", "f", "false", "n", "no", "0", "TRUE", "Yes", "N",
+              " yes ", "2", "1.0", "", "maybe", "on", "off", None]
+
+
+@settings(max_examples=4, deadline=None)
+@given(st.lists(st.sampled_from(BOOL_WORDS), min_size=30, max_size=150))
+def test_boolean_parse_agrees_everywhere(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r.b for r in df.select(GF.lenient_bool("s").alias("b")).collect()]
+    con = duckdb.connect()
+    oracle = [con.execute(f"SELECT {convert_sql('s', 'bool')} FROM (SELECT ?::VARCHAR AS s)", [v])
+              .fetchone()[0] for v in values]
+
+    def rule(v):
+        w = None if v is None else v.strip(" ").lower()
+        return True if w in ("t", "true", "y", "yes", "1") else (
+            False if w in ("f", "false", "n", "no", "0") else None)
+    want = [rule(v) for v in values]
+    assert got == want
+    assert oracle == want
