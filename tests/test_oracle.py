@@ -11,6 +11,8 @@ import __spark_entry__ as E
 from tests.conftest import SF_SMALL
 
 TABLES = "region nation customer supplier part orders lineitem events".split()
+SPARK_TO_DUCK = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+                 "boolean": "BOOLEAN", "timestamp": "TIMESTAMP"}
 
 
 @pytest.fixture(scope="module")
@@ -50,6 +52,9 @@ def test_query_matches_oracle(spark, duck, name):
     got = [tuple(r[c] for c in cols) for r in df.select(*cols).collect()]
     rel = duck.sql(E.oracle_sql()[name])
     assert sorted(rel.columns) == cols
+    spark_types = {f.name: SPARK_TO_DUCK.get(f.dataType.simpleString(), f.dataType.simpleString())
+                   for f in df.schema.fields}
+    assert spark_types == {c: str(t) for c, t in zip(rel.columns, rel.types)}
     idx = {c: i for i, c in enumerate(rel.columns)}
     want = [tuple(r[idx[c]] for c in cols) for r in rel.fetchall()]
     assert canon(got) == canon(want)
