@@ -90,3 +90,15 @@ def test_scans_are_pruned_and_filters_pushed(spark):
 
 def test_oracle_sql_files_exist():
     assert os.path.exists(os.path.join(os.path.dirname(E.__file__), "oracle_duckdb.py"))
+
+
+def test_oracle_does_not_depend_on_duckdb_time_zone():
+    names = ["v_ingestion_metadata", "dim_feeder", "fact_planned_der", "lenient_casts"]
+    results = []
+    for tz in ("UTC", "America/New_York", "Asia/Kolkata"):
+        con = duckdb.connect()
+        con.execute(f"SET TimeZone='{tz}'")
+        for t in TABLES:
+            con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMALL}/{t}.parquet')")
+        results.append({n: canon(con.execute(E.oracle_sql()[n]).fetchall()) for n in names})
+    assert results[0] == results[1] == results[2]
