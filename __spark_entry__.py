@@ -46,6 +46,11 @@ from gridlake.sources.landing import read_landing, write_landing  # noqa: E402
 from gridlake.sources.store import CLUSTER_BY, file_count, write_clustered  # noqa: E402
 from gridlake.streaming.bronze import ingest, read_raw_table  # noqa: E402
 
+try:                                    # the subpackage can be absent: all else works without it
+    from gridlake.llm import queries as llm  # noqa: E402
+except ImportError:
+    llm = None
+
 SF_SMOKE = "/root/testdata/sf0.001"
 
 
@@ -301,6 +306,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clustered_hc_lookup": q_clustered_hc_lookup,
         "clustered_der_lookup": q_clustered_der_lookup,
     })
+    if llm is not None:
+        out.update(llm.queries())
     return out
 
 
@@ -312,4 +319,6 @@ def oracle_sql() -> dict[str, str]:
             out[name] = sql_for(name)
         except KeyError:
             pass  # no SQL form: rows-only check
+    if llm is not None:
+        out.update(llm.oracle_sql())
     return out
