@@ -13,7 +13,7 @@ from ..session import scratch_path
 
 #: Texts are worked on in slices of about this many bytes, so a task's memory
 #: does not grow with the batch (one longer text makes a slice of its own).
-SLICE_BYTES = 1 << 20
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 1 << 12
 
 _P = 0x9E3779B97F4A7C15
 _M64 = (1 << 64) - 1
@@ -24,9 +24,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def store(df: DataFrame, name: str) -> DataFrame:
+def store(df: DataFrame, name: str, rows: int | None = None, per_file: int = 100_000) -> DataFrame:
     """Write to the cluster's shared folder and read back: cuts lineage, and
-    survives lost executors."""
+    survives lost executors. ``rows``, a bound on the result's rows, keeps the
+    small tables of an iteration in few files: ``per_file`` rows in each."""
+    if rows is not None:
+        df = df.coalesce(rows // per_file + 1)
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
@@ -122,7 +125,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
     row = 0
     while row < len(column):
         last = int(np.searchsorted(at, at[row] + SLICE_BYTES, side="right")) - 1
-        last = min(max(last, row + 1), len(column))
+        last = min(max(last, row + 1), row + SLICE_ROWS, len(column))
         yield row, last, Texts(data[at[row]:at[last]], (at[row:last + 1] - at[row]).astype(np.int64))
         row = last
 
@@ -148,9 +151,9 @@ def lists(flat: pa.Array, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(at), flat)
 
 
-def components(edges: DataFrame, name: str = "components") -> DataFrame:
-    """Connected components of ``edges (a long, b long)``: each node with the
-    smallest node of its component, as (node, comp).
+def components(edges: DataFrame, rows: int, name: str = "components") -> DataFrame:
+    """Connected components of ``edges (a long, b long)``, at most ``rows``:
+    each node with the smallest node of its component, as (node, comp).
 
     Alternates the two star steps: every node's larger neighbours, then its
     smaller ones, are hung on its smallest neighbour. A node's minimum is
@@ -158,8 +161,7 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     and a hub's links meet its minimum in a join that can be split.
     """
     def hang(links: DataFrame, smaller: bool) -> DataFrame:
-        low = links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
-        low = store(low, f"{name}-low")
+        low = store(links.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), f"{name}-low", 2 * rows)
         near = links.join(low, "u")
         if smaller:
             near = near.filter("v < u").select(F.col("v").alias("x"), "m").union(
@@ -175,13 +177,14 @@ def components(edges: DataFrame, name: str = "components") -> DataFrame:
     def mark(e: DataFrame) -> tuple:
         return tuple(e.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
 
-    now = store(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name)
+    now = store(edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), name, rows)
     seen = mark(now)
     while seen[0]:
-        now = store(hang(both(now), False), name)
-        now = store(hang(now.select(F.col("a").alias("u"), F.col("b").alias("v")), True), name)
+        now = store(hang(both(now), False), name, 2 * rows)
+        now = store(hang(now.select(F.col("a").alias("u"), F.col("b").alias("v")), True), name, 2 * rows)
         last, seen = seen, mark(now)
         if seen == last:
             break
-    return now.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("comp")).union(
+    # every node but the roots now has one link, to its root
+    return now.select(F.col("a").alias("node"), F.col("b").alias("comp")).union(
         now.select(F.col("b").alias("node"), F.col("b").alias("comp")).distinct())

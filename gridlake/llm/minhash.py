@@ -10,12 +10,13 @@ is uniform, so each register sees an independent exponential stream), which is
 followed only as far as the smallest arrivals of a set of its size can lie.
 
 Texts with one set are one node. Registers in bands of ``ROWS`` name buckets;
-the nodes of a bucket are compared with a few pivots per round, and only while
-they are not known to be connected, so a large group costs about one pair for
-each member and bucket, yet every two nodes of a bucket that stay apart are
-compared in the end. A pair's similarity is first estimated by maximum
-likelihood from the numbers of larger, smaller and equal registers, and pairs
-clearly below the threshold are dropped; the rest are decided on full sets.
+a bucket's nodes are dealt by hash into blocks of some ``BLOCK`` nodes, and
+every block meets every block of its bucket, so no bucket is capped and none
+comes into one task. For the pairs of two blocks the similarity is estimated
+by maximum likelihood from the numbers of larger, smaller and equal registers.
+Pairs clearly below the threshold are dropped; the others are decided on full
+sets, from the likeliest on, unless links found before already connect them,
+so what leaves a task is a forest of verified links and never all pairs.
 """
 
 from __future__ import annotations
@@ -25,61 +26,68 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _P, Texts, components, longs, lists, map_texts, mix, store
+from .common import _P, Texts, components, longs, map_texts, mix, store
 
 SHINGLE = 5
-ROWS, BANDS = 7, 32
+ROWS, BANDS = 6, 26
 REGISTERS = ROWS * BANDS
 BASE = 1.02
 #: Arrivals followed for each register and set on average: one stays empty
-#: with probability exp(-14).
-ARRIVALS = 14
+#: with probability exp(-9).
+ARRIVALS = 9
 LOWEST = -400
 #: Pairs whose estimate is this far below the threshold (over five standard
 #: deviations of the estimate) are not verified.
-MARGIN = 0.14
+MARGIN = 0.16
+#: Nodes of a bucket that are compared in one piece, about.
+BLOCK = 48
 
 
-def shingles(texts: Texts, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct shingle hashes, ascending, and the number of them in each
-    text. Fewer words than ``size``: the whole sequence is the one shingle."""
+_PLACE = [int(mix(np.array([k + 1], dtype=np.uint64))[0]) | 1 for k in range(SHINGLE)]
+_HASH_BITS = np.uint64(52)
+
+
+def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles as 52-bit hashes, ascending within each text, and the
+    number of them in each text. Fewer words than a shingle: the whole
+    sequence is the one shingle."""
     h = texts.hashes(lower=True)
     n = np.diff(texts.first)
-    per = np.where(n >= size, n - size + 1, (n > 0).astype(np.int64))
-    doc = np.repeat(np.arange(len(n)), per)
-    at = np.arange(len(doc)) - np.repeat(np.cumsum(per) - per, per) + texts.first[:-1][doc]
-    length = np.minimum(n, size)[doc]
-    value = np.zeros(len(doc), dtype=np.uint64)
-    for k in range(size):
-        own = at[length > k] if len(n) and n.min() < size else at
-        part = mix(h[own + k] + np.uint64((k + 1) * _P & (1 << 64) - 1)) if len(own) else h[:0]
-        if len(own) == len(at):
-            value = mix(value ^ part)
-        else:
-            value[length > k] = mix(value[length > k] ^ part)
-    order = np.lexsort((value, doc))
-    value, doc = value[order], doc[order]
-    new = np.ones(len(doc), dtype=bool)
-    new[1:] = (value[1:] != value[:-1]) | (doc[1:] != doc[:-1])
-    value, doc = value[new], doc[new]
-    return value, np.bincount(doc, minlength=len(n)).astype(np.int64)
+    doc = texts.doc()
+    full = np.zeros(len(h), dtype=np.uint64)
+    whole = max(len(h) - SHINGLE + 1, 0)
+    for k in range(SHINGLE):
+        full[:whole] += h[k:whole + k] * np.uint64(_PLACE[k])
+    inside = np.zeros(len(h), dtype=bool)
+    inside[:whole] = doc[:whole] == doc[SHINGLE - 1:]
+    for i in np.flatnonzero((n > 0) & (n < SHINGLE)):
+        at = texts.first[i]
+        own = sum(int(h[at + k]) * _PLACE[k] for k in range(n[i])) + int(n[i])
+        full[at], inside[at] = own & (1 << 64) - 1, True
+    value = (mix(full[inside]) >> np.uint64(64 - 52)) | (doc[inside].astype(np.uint64) << _HASH_BITS)
+    value = np.sort(value)
+    new = np.ones(len(value), dtype=bool)
+    new[1:] = value[1:] != value[:-1]
+    value = value[new]
+    counts = np.bincount((value >> _HASH_BITS).astype(np.int64), minlength=len(n)).astype(np.int64)
+    return value & np.uint64((1 << 52) - 1), counts
 
 
 def registers(value: np.ndarray, counts: np.ndarray, m: int = REGISTERS) -> np.ndarray:
     """The sketch of each set, given as flat distinct hashes and set sizes."""
     doc = np.repeat(np.arange(len(counts)), counts)
     least = np.full(len(counts) * m, np.inf)
-    limit = ARRIVALS / np.maximum(counts, 1)[doc]
-    seed, x, step = value, np.zeros(len(value)), 0
+    limit = (ARRIVALS * m / np.maximum(counts, 1))[doc]
+    seed, x, step, doc = value, np.zeros(len(value)), 0, doc * m
     while len(seed):
         step += 1
         r = mix(seed + np.uint64(step * _P & (1 << 64) - 1))
-        x = x - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53) / m
-        near = x < limit
+        x = x - np.log(((r >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0 ** -53)
+        near = np.flatnonzero(x < limit)
         seed, x, limit, doc, r = seed[near], x[near], limit[near], doc[near], r[near]
-        np.minimum.at(least, doc * m + (mix(r) % np.uint64(m)).astype(np.int64), x)
+        np.minimum.at(least, doc + ((r * np.uint64(_P)) >> np.uint64(32)).astype(np.int64) % m, x)
     with np.errstate(divide="ignore"):
-        k = np.floor(1 - np.log(least) / np.log(BASE))
+        k = np.floor(1 - np.log(least / m) / np.log(BASE))
     return np.maximum(k, LOWEST).astype(np.int16).reshape(-1, m)
 
 
@@ -131,7 +139,7 @@ def _node(value: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _sets(rows: pa.RecordBatch, texts: Texts) -> dict:
     value, counts = shingles(texts)
     at = np.concatenate([[0], np.cumsum(counts)])
-    return {"node": longs(_node(value, counts)), "want": rows.column("want"),
+    return {"node": longs(_node(value, counts)), **{c: rows.column(c) for c in ("want", "n_shingles", "registers")},
             "elements": pa.array([value[at[i]:at[i + 1]].tobytes() for i in range(len(counts))], type=pa.binary())}
 
 
@@ -142,75 +150,97 @@ def _bands(batches):
         yield pa.RecordBatch.from_pydict({"bucket": longs(band_names(reg).ravel()), "node": longs(np.repeat(node, BANDS))})
 
 
-def _similar(percent: int):
-    def run(batches):
-        for batch in batches:
-            na, nb = (batch.column(c).to_numpy().astype(np.float64) for c in ("na", "nb"))
-            ra, rb = (np.frombuffer(b"".join(batch.column(c).to_pylist()), dtype=np.int16).reshape(-1, REGISTERS) for c in ("ra", "rb"))
-            fits = 100 * np.minimum(na, nb) >= percent * np.maximum(na, nb)
-            fits &= likely_similarity(ra, rb, na, nb) >= percent / 100 - MARGIN if len(na) else fits
-            yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(pa.array(fits)) for c in ("a", "b")})
-    return run
-
-
-def _verified(percent: int):
+class _Nodes:
+    """The nodes of a block, or of two."""
+
+    def __init__(self, *blocks: pa.StructArray):
+        field = {c: [x for b in blocks for x in b.field(c).to_pylist()] for c in ("node", "n_shingles", "registers", "elements")}
+        self.node, self.n = np.array(field["node"], dtype=np.int64), np.array(field["n_shingles"], dtype=np.float64)
+        self.reg = np.frombuffer(b"".join(field["registers"]), dtype=np.int16).reshape(-1, REGISTERS)
+        self.set = [np.frombuffer(x, dtype=np.uint64) for x in field["elements"]]
+        self.root = list(range(len(self.node)))
+
+    def find(self, i: int) -> int:
+        while self.root[i] != i:
+            self.root[i] = self.root[self.root[i]]
+            i = self.root[i]
+        return i
+
+    def links(self, i: np.ndarray, j: np.ndarray, percent: int) -> list[tuple[int, int]]:
+        """Verified links among the pairs (i, j) that connect all that are
+        connected by them. Pairs are tried from the likeliest on; those already
+        connected, or clearly not similar, need no verification."""
+        n = self.n
+        fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
+        i, j = i[fits], j[fits]
+        same = (self.reg[i] == self.reg[j]).sum(1) if len(i) else np.zeros(0)
+        near = same >= (percent / 100 - 2 * MARGIN) * REGISTERS
+        i, j = i[near], j[near]
+        if not len(i):
+            return []
+        likely = likely_similarity(self.reg[i], self.reg[j], n[i], n[j])
+        out = []
+        for k in np.argsort(-likely, kind="stable"):
+            if likely[k] < percent / 100 - MARGIN:
+                break
+            x, y = int(i[k]), int(j[k])
+            if self.find(x) == self.find(y):
+                continue
+            both = len(np.intersect1d(self.set[x], self.set[y], assume_unique=True))
+            if 100 * both >= percent * (len(self.set[x]) + len(self.set[y]) - both):
+                self.root[self.find(x)] = self.find(y)
+                out.append((int(self.node[x]), int(self.node[y])))
+        return out
+
+
+def _linked(percent: int):
+    """Links inside each block, or across the two blocks of a row."""
     def run(batches):
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column("sa"), batch.column("sb")):
-                x, y = (np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in (x, y))
-                both = len(x) + len(y) - len(np.union1d(x, y))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            keep = pa.array(keep, type=pa.bool_())
-            yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(keep) for c in ("a", "b")})
+            out = []
+            columns = [c for c in ("members", "others") if c in batch.schema.names]
+            for row in range(batch.num_rows):
+                blocks = [batch.column(c).slice(row, 1).flatten() for c in columns]
+                nodes = _Nodes(*blocks)
+                if len(blocks) == 1:
+                    i, j = np.triu_indices(len(nodes.node), 1)
+                else:
+                    i, j = np.indices((len(blocks[0]), len(blocks[1]))).reshape(2, -1)
+                    j = j + len(blocks[0])
+                out += nodes.links(i, j, percent)
+            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], type=pa.int64()), "b": pa.array([y for _, y in out], type=pa.int64())})
     return run
 
 
-def _links(documents: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
-    """Labels (node, comp) of the nodes that have a link to another node."""
+def _links(documents: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, int]:
+    """Verified links (a, b) that connect the nodes as all their links do, and
+    their number."""
+    n_nodes = nodes.count()
     names = store(nodes.mapInArrow(_bands, "bucket long, node long"), "bands")
-    shared = store(names.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-                   .filter("lo < hi").select("bucket"), "buckets")
-    active = store(names.join(shared, "bucket"), "active")
-    wanted = nodes.join(store(active.select("node").distinct(), "wanted"), "node").select(
-        F.col("node").alias("want"), F.col("rep").alias("rep"), "n_shingles", "registers")
-    wanted = store(wanted, "wanted")
-    found = documents.select(F.col("doc_id").alias("doc_id"), "text").join(
-        wanted.select("want", "rep"), F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "want")
-    sets = store(map_texts(found, _sets, "node long, want long, elements binary")
-                 .filter("node = want").dropDuplicates(["node"]).select("node", "elements"), "sets")
-    sketches = wanted.select(F.col("want").alias("node"), "n_shingles", "registers")
-    edges, labels, pivots_per_bucket, turn = None, None, 1, 0
-    while True:
-        turn += 1
-        if labels is None:
-            now = active.withColumn("comp", F.col("node"))
-        else:
-            now = active.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-        now = store(now.select("bucket", "node", "comp"), "now")
-        apart = store(now.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                      .filter("lo < hi").select("bucket"), "apart")
-        now = store(now.join(apart, "bucket"), "open")
-        salt = F.pmod(F.xxhash64("node", F.lit(turn)), F.lit(pivots_per_bucket))
-        pivots = store(now.groupBy("bucket", salt.alias("salt")).agg(F.min("node").alias("pivot"), F.min_by("comp", "node").alias("pcomp"))
-                       .select("bucket", "pivot", "pcomp"), "pivots")
-        pairs = store(now.join(pivots, "bucket").filter("comp <> pcomp").select(
-            F.least("node", "pivot").alias("a"), F.greatest("node", "pivot").alias("b")).distinct(), "pairs")
-        if pairs.isEmpty():
-            return labels
-        def side(df, key, **names):
-            return df.select(F.col("node").alias(key), *[F.col(c).alias(n) for c, n in names.items()])
-        likely = store(pairs.join(side(sketches, "a", n_shingles="na", registers="ra"), "a")
-                       .join(side(sketches, "b", n_shingles="nb", registers="rb"), "b")
-                       .mapInArrow(_similar(percent), "a long, b long"), "likely")
-        linked = (likely.join(side(sets, "a", elements="sa"), "a").join(side(sets, "b", elements="sb"), "b")
-                  .mapInArrow(_verified(percent), "a long, b long"))
-        linked = store(linked, "edges")
-        edges = linked if edges is None else edges.union(linked)
-        labels = store(components(edges), "labels")
-        active = store(now.select("bucket", "node").join(pivots.select("bucket", F.col("pivot").alias("node")),
-                                                         ["bucket", "node"], "left_anti"), "active")
-        pivots_per_bucket = min(4 * pivots_per_bucket, 1024)
+    # buckets of the same nodes are one bucket
+    shared = names.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"),
+                                         F.sum(F.shiftright("node", 8)).alias("sum")).filter("lo < hi")
+    shared = store(shared.groupBy("lo", "hi", "n", "sum").agg(F.min("bucket").alias("bucket")).select("bucket", "n"),
+                   "buckets", n_nodes * BANDS // 2)
+    active = store(names.join(shared, "bucket"), "active", n_nodes * BANDS, 250_000)
+    n_active = active.count()
+    wanted = nodes.join(active.select(F.col("node").alias("some")).distinct(), F.col("node") == F.col("some")).select(
+        F.col("node").alias("want"), "rep", "n_shingles", "registers")
+    wanted = store(wanted, "wanted", min(n_nodes, n_active), 20_000)
+    found = documents.select("doc_id", "text").join(
+        wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "want", "n_shingles", "registers")
+    sets = store(map_texts(found, _sets, "node long, want long, n_shingles long, registers binary, elements binary")
+                 .filter("node = want").drop("want").dropDuplicates(["node"]), "sets", min(n_nodes, n_active), 10_000)
+    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
+    blocks = active.join(sets, "node").groupBy("bucket", block.alias("block"), (F.col("n") > BLOCK).alias("several")).agg(
+        F.collect_list(F.struct("node", "n_shingles", "registers", "elements")).alias("members"))
+    blocks = store(blocks, "blocks", n_active, 4000)
+    large = blocks.filter("several")
+    across = large.select("bucket", "block", "members").join(
+        large.select("bucket", F.col("block").alias("other"), F.col("members").alias("others")), "bucket").filter("block < other")
+    linked = store(blocks.select("members").mapInArrow(_linked(percent), "a long, b long").union(
+        across.select("members", "others").mapInArrow(_linked(percent), "a long, b long")), "links")
+    return linked, linked.count()
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -233,15 +263,14 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
                                "doc_id long, node long, n_shingles long, registers binary"), "sketches")
     some = sketched.filter("n_shingles > 0")
     reps = some.groupBy("node").agg(F.min("doc_id").alias("rep"))
-    nodes = store(some.select("node", "n_shingles", "registers").dropDuplicates(["node"]).join(reps, "node"), "nodes")
-    labels = _links(documents, nodes, percent)
-    if labels is not None:
-        nodes = nodes.select("node", "rep").join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    else:
-        nodes = nodes.select("node", "rep", F.col("node").alias("comp"))
-    nodes = store(nodes, "labelled")
-    least = store(nodes.groupBy("comp").agg(F.min("rep").alias("component_id")), "least")
-    names = store(nodes.join(least, "comp").select("node", "component_id"), "names")
+    nodes = store(some.select("node", "n_shingles", "registers").dropDuplicates(["node"]).join(reps, "node"), "nodes",
+                  sketched.count(), 20_000)
+    n_nodes = nodes.count()
+    edges, n_edges = _links(documents, nodes, percent)
+    nodes = nodes.select("node", "rep").join(components(edges, n_edges), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    nodes = store(nodes, "labelled", n_nodes)
+    least = store(nodes.groupBy("comp").agg(F.min("rep").alias("component_id")), "least", n_nodes)
+    names = store(nodes.join(least, "comp").select("node", "component_id"), "names", n_nodes)
     rows = sketched.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
     out = rows.filter("node is not null").join(names, "node").select("doc_id", "n_shingles", "component_id").union(
         rows.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
