@@ -127,41 +127,57 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     return {"langs": names, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "of": np.array(of), "floor": np.array(floor)}
 
 
+def _judge(low: list[str], model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of lower-cased texts: index of the language (-1: none), score, cosine
+    and whether the text is rejected."""
+    centres, of = model["centres"], model["of"]
+    counts, letters = _grams(low)
+    n, known = len(low), letters > 0
+    if not model["langs"]:
+        return np.full(n, -1), np.zeros(n), np.zeros(n), np.ones(n, dtype=bool)
+    every = _weigh(counts, model["idf"]) @ centres.T
+    cos = np.stack([every[:, of == k].max(1) for k in range(len(model["langs"]))], axis=1)
+    best = cos.argmax(1)
+    top = cos[np.arange(n), best].astype(np.float64)
+    score = 1 / np.exp(20 * (cos - top[:, None])).sum(1)
+    rejected = ~known | (top < model["floor"][best] * np.sqrt(np.minimum(letters / FULL, 1)))
+    return np.where(known, best, -1), np.where(known, np.clip(score, 0, 1), 0.0), np.where(known, top, 0.0), rejected
+
+
 def predict(documents: DataFrame, model: dict) -> DataFrame:
     """doc_id, lang_pred, score, cosine, rejected for each row."""
-    names, idf, centres, of, floor = (model[k] for k in ("langs", "idf", "centres", "of", "floor"))
-
     def run(batches):
         for batch in batches:
             at = 0
             for low in _texts(batch.column("text")):
-                g, letters = _grams(low)
-                n = len(low)
-                if len(names):
-                    cos = np.full((n, len(names)), -1.0, dtype=np.float32)
-                    every = _weigh(g, idf) @ centres.T
-                    for k in range(len(names)):
-                        cos[:, k] = every[:, of == k].max(1)
-                    best = cos.argmax(1)
-                    top = cos[np.arange(n), best]
-                    soft = np.exp(20 * (cos - top[:, None]))
-                    score = 1 / soft.sum(1)
-                    known = letters > 0
-                    rejected = ~known | (top < floor[best] * np.sqrt(np.minimum(letters / FULL, 1)))
-                else:
-                    known, rejected, top, score, best = np.zeros(n, bool), np.ones(n, bool), np.zeros(n), np.zeros(n), np.zeros(n, int)
+                best, score, cosine, rejected = _judge(low, model)
                 yield pa.RecordBatch.from_pydict({
-                    "doc_id": batch.column("doc_id").slice(at, n).cast(pa.int64()),
-                    "lang_pred": pa.array([names[b] if k else "und" for b, k in zip(best, known)], type=pa.string()),
-                    "score": pa.array(np.where(known, np.clip(score, 0, 1), 0.0).astype(np.float64)),
-                    "cosine": pa.array(np.where(known, top, 0.0).astype(np.float64)),
-                    "rejected": pa.array(rejected)})
-                at += n
+                    "doc_id": batch.column("doc_id").slice(at, len(low)).cast(pa.int64()),
+                    "lang_pred": pa.array([model["langs"][b] if b >= 0 else "und" for b in best], type=pa.string()),
+                    "score": pa.array(score.astype(np.float64)), "cosine": pa.array(cosine), "rejected": pa.array(rejected)})
+                at += len(low)
 
     return documents.select("doc_id", "text").mapInArrow(
         run, "doc_id long, lang_pred string, score double, cosine double, rejected boolean")
 
 
+def keep_identified(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
+    """The rows of documents, with all their columns, whose text is not
+    rejected by the model that ``identify`` learns from them."""
+    model = _learn(documents, sample)
+
+    def run(batches):
+        for batch in batches:
+            rejected = [_judge(low, model)[3] for low in _texts(batch.column("text"))]
+            yield batch.filter(pa.array(~np.concatenate(rejected))) if rejected else batch
+
+    return documents.mapInArrow(run, documents.schema)
+
+
+def _learn(documents: DataFrame, sample: int) -> dict:
+    return fit(documents.filter(~held_out()).select("text", "lang", F.col("doc_id").alias("key")), sample)
+
+
 def identify(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """Learns from the rows of ``documents (doc_id, text, lang)`` that are not
     held out and have a lang, and returns for each row: doc_id, held_out,
@@ -173,6 +189,5 @@ def identify(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     * null doc_id: never held out; repeated rows: each is judged;
     * extra columns are not read; an empty table gives an empty result.
     """
-    train = documents.filter(~held_out()).select("text", "lang", F.col("doc_id").alias("key"))
-    out = predict(documents, fit(train, sample))
+    out = predict(documents, _learn(documents, sample))
     return out.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "cosine", "rejected")

@@ -275,3 +275,10 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     out = rows.filter("node is not null").join(names, "node").select("doc_id", "n_shingles", "component_id").union(
         rows.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
     return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def drop_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
+    """The rows of documents, with all their columns, that their group keeps."""
+    kept = near_duplicates(documents, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = store(kept, "kept")
+    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")

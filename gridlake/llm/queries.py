@@ -16,11 +16,21 @@ def op2_language(spark, sf_dir):
     return identify(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark, sf_dir):
+    from .spaced import contamination
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_quality(spark, sf_dir):
     from .qda import classify
     return classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_lm_score(spark, sf_dir):
+    from .pseudo import score
+    return score(table(spark, sf_dir, "documents"))
+
+
 def op6_mixing(spark, sf_dir):
     from .mixing import mix_sources
     return mix_sources(table(spark, sf_dir, "documents"))
@@ -42,8 +52,19 @@ def op9_substring_dedup(spark, sf_dir):
     return dedup_substrings(table(spark, sf_dir, "documents"))
 
 
+def op10_html(spark, sf_dir):
+    from .dom import extract
+    return extract(table(spark, sf_dir, "pages"))
+
+
+def pipeline(spark, sf_dir):
+    import corpus_pipeline
+    return corpus_pipeline.run(spark, sf_dir)
+
+
 def queries():
-    return {f.__name__: f for f in (op1_minhash, op2_language, op4_quality, op6_mixing, op7_quality_rules, op8_warc, op9_substring_dedup)}
+    return {f.__name__: f for f in (
+        op1_minhash, op2_language, op3_decontamination, op4_quality, op5_lm_score, op6_mixing, op7_quality_rules, op8_warc, op9_substring_dedup, op10_html, pipeline)}
 
 
 def oracle_sql():

@@ -24,8 +24,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import _IP, _P, _pow, Texts, lists, longs, map_texts, mix, store
+from .common import _IP, _P, _pow, Texts, lists, longs, map_texts, mix, slices, store
 
 WINDOW = 50
 ROUNDS = 2
@@ -239,3 +240,27 @@ def dedup_substrings(documents: DataFrame) -> DataFrame:
         "doc_id", "n_words",
         F.when(F.col("whole"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
         F.when(F.col("whole"), F.lit(_NOTHING)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"))
+
+
+def remove_repeats(documents: DataFrame) -> DataFrame:
+    """The rows of documents with all their columns, text without the words
+    that ``dedup_substrings`` removes. A changed text has its words joined by
+    one space, and n_chars (if there) its new length; rows that lose all their
+    words go."""
+    def name(batches):
+        for batch in batches:
+            seq = [_text_name(t.hashes(), t) for _, _, t in slices(batch.column("text"))]
+            yield batch.append_column("_seq", longs(np.concatenate(seq) if seq else np.zeros(0, np.uint64)))
+
+    schema = StructType(documents.schema.fields + [StructField("_seq", LongType())])
+    rows, cuts = repeated_passages(documents)
+    whole = rows.filter("whole").select(F.col("doc_id").alias("_id"), F.col("seq").alias("_s")).distinct()
+    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("seq").alias("_s"), F.col("kept").alias("_kept"))
+    changes = store(cuts.union(whole.select("_id", "_s", F.lit("").alias("_kept"))), "changes")
+    out = documents.mapInArrow(name, schema).join(
+        changes, (F.col("doc_id") == F.col("_id")) & (F.col("_seq") == F.col("_s")), "left")
+    out = out.filter("_kept is null or _kept <> ''").withColumn("text", F.coalesce("_kept", "text"))
+    if "n_chars" in documents.columns:
+        kind = documents.schema["n_chars"].dataType
+        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+    return out.select(documents.columns)
