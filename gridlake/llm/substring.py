@@ -1,19 +1,19 @@
 """Removal of long repeated passages, found by recompression.
 
-Each text's word sequence is compressed in rounds. A round first freezes runs
-of one symbol under the name of that symbol, then joins neighbours a b where a
-falls in the left and b in the right half of the names under the round's
-partition. Names are hashes of what they stand for, so every task gives one
-run or pair one name, and equal passages get equal symbols except next to
-their ends: a round changes at most two symbols at each end. What is left
-inside a window of ``WINDOW`` equal words is long enough to hold at least one
-chosen symbol, the smallest name among those starting in ``_span(rounds)``
-consecutive words; frozen runs are always chosen.
-
-Chosen symbols that occur in two different texts show where long repeats can
-be. The windows around them, and no others, are named by their whole word
-sequence, and a window is removed from each document but the first it is in.
-Exact copies of a whole text are settled by one name for the text.
+Each text's word sequence is compressed in rounds. A round first freezes the
+units of runs of one symbol, then joins neighbours a b where a falls in the
+left and b in the right half of the names under the round's partition. Names
+are hashes of what they stand for, so every task gives one pair one name, and
+equal passages get equal symbols except next to their ends: a round changes at
+most two symbols at each end. What is left inside a window of ``WINDOW`` equal
+words is long enough to hold at least one chosen symbol, one of the smallest
+name among those that start in ``_span()`` consecutive words.
+
+A chosen symbol stands for the ``LENGTH`` words from its start. Those that occur
+in two different texts show where long repeats can be: the windows around
+them, and no others, are named by their whole word sequence, and a window is
+removed from each document but the first it is in. Exact copies of a whole
+text are settled by one name for the text.
 """
 
 from __future__ import annotations
@@ -30,46 +30,37 @@ from .common import _IP, _P, _pow, Texts, lists, longs, map_texts, mix, slices,
 
 WINDOW = 50
 ROUNDS = 2
+LENGTH = 16
 _TOP = np.uint64((1 << 64) - 1)
 
 
-def _span(rounds: int = ROUNDS, window: int = WINDOW) -> int:
-    """Consecutive start words among which a symbol is chosen: the window
-    without two symbols at each end for each round (sizes 1, 2, 4, ...), and
-    without the last symbol's own words."""
-    return window - 4 * (2 ** rounds - 1) - 2 ** rounds + 1
+def _span(rounds: int = ROUNDS, window: int = WINDOW, length: int = LENGTH) -> int:
+    """Consecutive start words among which a symbol is chosen: those of the
+    window without two symbols at each end for each round (sizes 1, 2, 4,
+    ...), from which the symbol and the words it stands for are still inside."""
+    edge = 2 * (2 ** rounds - 1)
+    return min(window - edge - 2 ** rounds, window - length) - edge + 1
 
 
 def recompress(name: np.ndarray, doc: np.ndarray, rounds: int = ROUNDS):
-    """Symbols of word sequences: (name, first word, words, frozen)."""
-    at, size = np.arange(len(name)), np.ones(len(name), dtype=np.int64)
-    frozen = np.zeros(len(name), dtype=bool)
+    """Symbols of word sequences: (name, first word, text)."""
+    at, frozen = np.arange(len(name)), np.zeros(len(name), dtype=bool)
     for turn in range(1, rounds + 1):
         if not len(name):
             break
-        # runs
-        same = np.zeros(len(name), dtype=bool)
-        same[1:] = (name[1:] == name[:-1]) & (doc[1:] == doc[:-1]) & ~frozen[1:] & ~frozen[:-1]
-        head = np.flatnonzero(~same)
-        count = np.diff(np.append(head, len(name)))
-        size = np.add.reduceat(size, head)
-        name, at, doc, frozen = name[head], at[head], doc[head], frozen[head].copy()
-        run = count > 1
-        name = np.where(run, mix(name ^ np.uint64(0xA5A5A5A5A5A5A5A5)), name)
-        frozen |= run
-        # pairs
-        left = (mix(name + np.uint64(turn * _P & (1 << 64) - 1)) >> np.uint64(63)).astype(bool)
-        pair = np.zeros(len(name), dtype=bool)
-        pair[:-1] = left[:-1] & ~left[1:] & (doc[1:] == doc[:-1]) & ~frozen[:-1] & ~frozen[1:]
-        second = np.zeros(len(name), dtype=bool)
-        second[1:] = pair[:-1]
-        i = np.flatnonzero(pair)
-        name, size = name.copy(), size.copy()
+        near = doc[1:] == doc[:-1]
+        same = near & (name[1:] == name[:-1])
+        frozen[1:] |= same
+        frozen[:-1] |= same
+        left = (mix(name + np.uint64(turn * _P & (1 << 64) - 1)) >> np.uint64(63)).astype(bool) & ~frozen
+        right = ~left & ~frozen
+        i = np.flatnonzero(left[:-1] & right[1:] & near)
+        name = name.copy()
         name[i] = mix(mix(name[i] + np.uint64(turn)) ^ (name[i + 1] * np.uint64(_P)))
-        size[i] += size[i + 1]
-        keep = ~second
-        name, at, doc, size, frozen = name[keep], at[keep], doc[keep], size[keep], frozen[keep]
-    return name, at, doc, size, frozen
+        keep = np.ones(len(name), dtype=bool)
+        keep[i + 1] = False
+        name, at, doc, frozen = name[keep], at[keep], doc[keep], frozen[keep]
+    return name, at, doc
 
 
 def _sliding(a: np.ndarray, n: int, op) -> np.ndarray:
@@ -82,20 +73,15 @@ def _sliding(a: np.ndarray, n: int, op) -> np.ndarray:
     return out
 
 
-def choose(name, at, doc, frozen, words: int, first: np.ndarray, span: int) -> np.ndarray:
-    """Which symbols are chosen: frozen ones, and each that is the smallest
-    among those that start in some ``span`` consecutive words."""
-    pad = span
-    place = at + (doc + 1) * pad                     # texts are set apart, so no window sees two of them
-    line = np.full(words + (len(first) + 1) * pad, _TOP, dtype=np.uint64)
-    plain = ~frozen
-    line[place[plain]] = name[plain]
+def choose(name: np.ndarray, at: np.ndarray, doc: np.ndarray, words: int, texts: int, span: int) -> np.ndarray:
+    """Which symbols are chosen: each that has the smallest name among those
+    that start in some ``span`` consecutive words."""
+    place = at + (doc + 1) * span                    # texts are set apart, so no stretch sees two of them
+    line = np.full(words + (texts + 2) * span, _TOP, dtype=np.uint64)
+    line[place] = name
     least = _sliding(line, span, np.minimum)
-    most = _sliding(least, span, np.maximum)         # most[i]: over windows that start at i .. i+span-1
-    out = frozen.copy()
-    # windows that hold `place` start at place-span+1 .. place; those that reach over a text's end hold nothing of the next
-    out[plain] |= most[np.maximum(place[plain] - span + 1, 0)] == name[plain]
-    return out
+    most = _sliding(least, span, np.maximum)         # most[i]: over the stretches that start at i .. i+span-1
+    return most[place - span + 1] == name
 
 
 def _text_name(h: np.ndarray, texts: Texts) -> np.ndarray:
@@ -109,37 +95,36 @@ def _text_name(h: np.ndarray, texts: Texts) -> np.ndarray:
 
 def _pass(rows: pa.RecordBatch, texts: Texts) -> dict:
     h = texts.hashes()
-    name, at, doc, size, frozen = recompress(h, texts.doc())
     n = np.diff(texts.first)
-    span = _span()
-    take = choose(name, at, doc, frozen, len(h), texts.first, span) & (n[doc] >= WINDOW)
-    name, at, doc, size, frozen = (x[take] for x in (name, at, doc, size, frozen))
-    at = at - texts.first[:-1][doc]
-    # starts of the windows to look at: those that hold the symbol, or meet the run
-    lo = np.where(frozen, at - WINDOW + 1, at + size - WINDOW)
-    hi = np.where(frozen, at + size - 1, at)
-    lo, hi = np.maximum(lo, 0), np.minimum(hi, n[doc] - WINDOW)
-    counts = np.bincount(doc, minlength=len(n))
+    name, at, doc = recompress(h, texts.doc())
+    end = texts.first[1:][doc]
+    take = choose(name, at, doc, len(h), len(n), _span()) & (at + LENGTH <= end) & (n[doc] >= WINDOW)
+    at, doc = at[take], doc[take]
+    sums = np.zeros(len(h) + 1, dtype=np.uint64)
+    np.cumsum(h * _pow(_P, len(h)), out=sums[1:])
+    symbol = mix((sums[at + LENGTH] - sums[at]) * _pow(_IP, len(h) + 1)[at])
     sha = [hashlib.sha256(b" ".join(texts.bytes_of(i).split())).hexdigest() for i in range(len(texts))]
+    counts = np.bincount(doc, minlength=len(n))
     return {
         "doc_id": rows.column("doc_id").cast(pa.int64()), "n_words": longs(n), "seq": longs(_text_name(h, texts)),
-        "sha": pa.array(sha), "symbols": lists(longs(name), counts),
-        "lo": lists(pa.array(lo.astype(np.int32)), counts), "hi": lists(pa.array(hi.astype(np.int32)), counts),
+        "sha": pa.array(sha, type=pa.string()), "symbols": lists(longs(symbol), counts),
+        "places": lists(pa.array((at - texts.first[:-1][doc]).astype(np.int32)), counts),
     }
 
 
 def _windows(rows: pa.RecordBatch, texts: Texts) -> dict:
-    """The names of the windows that start in the given intervals."""
+    """The names of the windows that hold the words of the given symbols."""
     h = texts.hashes()
     n = len(h)
     sums = np.zeros(n + 1, dtype=np.uint64)
     np.cumsum(h * _pow(_P, n), out=sums[1:])
-    lo, hi = rows.column("lo"), rows.column("hi")
+    places = rows.column("places")
     edge = np.zeros(n + 1, dtype=np.int64)
-    count = np.diff(np.asarray(lo.offsets))
-    base = np.repeat(texts.first[:-1], count)
-    np.add.at(edge, base + lo.flatten().to_numpy(), 1)
-    np.add.at(edge, base + hi.flatten().to_numpy() + 1, -1)
+    doc = np.repeat(np.arange(len(texts)), np.diff(np.asarray(places.offsets)))
+    at = places.flatten().to_numpy()
+    base, words = texts.first[:-1][doc], np.diff(texts.first)[doc]
+    np.add.at(edge, base + np.maximum(at + LENGTH - WINDOW, 0), 1)
+    np.add.at(edge, base + np.minimum(at, words - WINDOW) + 1, -1)
     s = np.flatnonzero(np.cumsum(edge)[:n] > 0)
     name = mix((sums[s + WINDOW] - sums[s]) * _pow(_IP, n + 1)[s])
     doc = texts.doc()[s]
@@ -181,23 +166,21 @@ def repeated_passages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     some words otherwise; one row for each (doc_id, seq)."""
     documents = documents.select("doc_id", "text")
     seen = store(map_texts(documents, _pass, "doc_id long, n_words long, seq long, sha string, "
-                           "symbols array<long>, lo array<int>, hi array<int>"), "symbols")
+                           "symbols array<long>, places array<int>"), "symbols")
     texts = store(seen.groupBy("seq").agg(F.min("doc_id").alias("rep")), "texts")
     rows = seen.select("doc_id", "seq", "n_words", "sha").join(texts, "seq").withColumn(
         "whole", (F.col("n_words") >= WINDOW) & F.coalesce(F.col("doc_id") > F.col("rep"), F.lit(False)))
     rows = store(rows, "rows")
-    each = seen.select("doc_id", "seq", F.explode(F.arrays_zip("symbols", "lo", "hi")).alias("x")).select(
-        "doc_id", "seq", F.col("x.symbols").alias("symbol"), F.col("x.lo").alias("lo"), F.col("x.hi").alias("hi"))
+    each = seen.select("doc_id", "seq", F.explode(F.arrays_zip("symbols", "places")).alias("x")).select(
+        "doc_id", "seq", F.col("x.symbols").alias("symbol"), F.col("x.places").alias("place"))
     shared = store(each.groupBy("symbol").agg(F.min("seq").alias("a"), F.max("seq").alias("b"))
                    .filter("a <> b").select("symbol"), "shared")
-    near = each.join(shared, "symbol").groupBy("doc_id", "seq").agg(
-        F.collect_list("lo").alias("lo"), F.collect_list("hi").alias("hi"))
-    near = store(near, "near")
+    near = store(each.join(shared, "symbol").groupBy("doc_id", "seq").agg(F.collect_list("place").alias("places")), "near")
     first = rows.filter("not whole").select("doc_id", "seq").distinct()
     near = store(near.join(first, [near.doc_id.eqNullSafe(first.doc_id), near.seq == first.seq], "left_semi"), "look")
     found = documents.join(near.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).select(
-        "doc_id", "seq", "text", "lo", "hi")
-    found = store(map_texts(found, _own, "doc_id long, seq long, text string, lo array<int>, hi array<int>")
+        "doc_id", "seq", "text", "places")
+    found = store(map_texts(found, _own, "doc_id long, seq long, text string, places array<int>")
                   .dropDuplicates(["doc_id", "seq"]), "look")
     windows = store(map_texts(found, _windows, "window long, doc_id long, seq long, start int"), "windows")
     origin = store(windows.groupBy("window").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi"))
@@ -213,7 +196,7 @@ def repeated_passages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
 def _own(rows: pa.RecordBatch, texts: Texts) -> dict:
     """Rows whose text is the one named (an id can have several texts)."""
     own = pa.array(_text_name(texts.hashes(), texts).view(np.int64) == rows.column("seq").to_numpy())
-    return {c: rows.column(c).filter(own) for c in ("doc_id", "seq", "text", "lo", "hi")}
+    return {c: rows.column(c).filter(own) for c in ("doc_id", "seq", "text", "places")}
 
 
 _NOTHING = hashlib.sha256(b"").hexdigest()
