@@ -76,7 +76,8 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     hits = store(hits.distinct(), "hits")
     near = store(hits.join(items.withColumnRenamed("item_id", "of"), F.col("item_id").eqNullSafe(F.col("of"))).select(
         F.col("doc_id").alias("id"), "item_id", "start", "item"), "near")
-    both = texts.join(near, F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
+    # texts are dealt by id at any size: what is found grows with them
+    both = texts.join(near.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
     low, high = F.greatest(F.lit(0), -F.col("start")), F.least(F.size("item"), F.size("h") - F.col("start"))
     agree = F.transform(F.sequence(low, high - 1), lambda i: (F.get(F.col("h"), i + F.col("start")) == F.get(F.col("item"), i)).cast("int"))
     seen = both.filter(low < high).withColumn("agree", agree).withColumn("most", _best(F.col("agree")))
