@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import hashlib
 import struct
+from itertools import islice
 
 import pyarrow as pa
 import zstandard
@@ -31,11 +32,12 @@ ARCHIVE_BYTES = 16 << 20
 SAMPLE, SAMPLE_BYTES = 400, 1 << 14
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 6
+#: records that a task holds at once
+ROWS_AT_ONCE = 64
 #: fixed values of the formats
 DICTIONARY_MAGIC = 0x184D2A5D
 GAP = struct.pack("<II", 0x184D2A50, 0).decode("ascii")
 DATE = "2026-01-01T00:00:00Z"
-_ABSENT = -1
 
 
 def plan(pages: DataFrame) -> DataFrame:
@@ -120,13 +122,12 @@ def write(planned: DataFrame, path: str) -> None:
         pack = zstandard.ZstdCompressor(level=LEVEL, dict_data=known, write_checksum=True)
         lead = struct.pack("<II", DICTIONARY_MAGIC, len(words)) + words
         for batch in batches:
-            columns = batch.schema.names
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in columns}
-                frame = pack.compress(record(row))
-                if lead:
-                    frame, lead = lead + frame, b""
-                yield pa.RecordBatch.from_pydict({"frame": pa.array([frame], type=pa.binary())})
+            columns = [batch.column(c) for c in batch.schema.names]
+            for a in range(0, batch.num_rows, ROWS_AT_ONCE):
+                part = [c.slice(a, ROWS_AT_ONCE).to_pylist() for c in columns]
+                out = [pack.compress(record(dict(zip(batch.schema.names, row)))) for row in zip(*part)]
+                out[0], lead = lead + out[0], b""
+                yield pa.RecordBatch.from_pydict({"frame": pa.array(out, type=pa.binary())})
 
     dealt = planned.repartition(archives, F.xxhash64("payload_digest", "page_id", "url"))
     dealt.mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option(
@@ -156,19 +157,19 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     def run(batches):
         for batch in batches:
             for content in batch.column("content"):
-                for raw in records(content.as_buffer()):
-                    row = parse(raw)
-                    yield pa.RecordBatch.from_pydict({
-                        "page_id": pa.array([row["page_id"]], type=pa.int64()), "url": pa.array([row["url"]], type=pa.string()),
-                        "record_type": pa.array([row["record_type"]]), "payload_bytes": pa.array([row["payload_bytes"]], type=pa.int64()),
-                        "payload_digest": pa.array([row["payload_digest"]]), "refers_to": pa.array([row["refers_to"]], type=pa.int64()),
-                        "payload": pa.array([row["payload"]], type=pa.binary())})
+                found = (parse(raw) for raw in records(content.as_buffer()))
+                while part := list(islice(found, ROWS_AT_ONCE)):
+                    yield pa.RecordBatch.from_pylist(part, schema=_FIELDS)
 
     files = spark.read.format("binaryFile").load(path).select("content")
     return files.mapInArrow(run, "page_id long, url string, record_type string, payload_bytes long, "
                             "payload_digest string, refers_to long, payload binary")
 
 
+_FIELDS = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()), ("payload_bytes", pa.int64()),
+                     ("payload_digest", pa.string()), ("refers_to", pa.int64()), ("payload", pa.binary())])
+
+
 def round_trip(pages: DataFrame, path: str) -> DataFrame:
     """Write ``pages (page_id, url, html)`` as archives under path and read
     them back: page_id, payload_bytes, payload_digest, record_type, refers_to.
