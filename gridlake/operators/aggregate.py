@@ -4,6 +4,9 @@ Sums of measurements are computed exactly in DECIMAL(38,6) and returned as
 DOUBLE: a double sum depends on the order rows meet in, which changes with
 partitioning, so the same data would give last-bit differences run to run.
 A decimal sum is associative, so results are identical at any parallelism.
+Values that the decimal does not hold exactly (NaN, infinities, huge or tiny
+ones) are summed as doubles beside it, in the same pass, and added: nothing is
+left out.
 """
 
 from __future__ import annotations
@@ -14,16 +17,23 @@ from pyspark.sql import functions as F
 EXACT = "decimal(38,6)"
 
 
+#: Larger values stay doubles, so that 10^12 of them cannot overflow the sum.
+EXACT_BELOW = 1e20
+
+
 def exact_sum(col) -> Column:
+    """Sum of the non-NULL values; NULL if there are none."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.try_cast(EXACT)).cast("double")
+    d = c.try_cast(EXACT)
+    held = F.coalesce((F.abs(c) < EXACT_BELOW) & (d.cast("double") == c.cast("double")), F.lit(False))
+    exact, rest = F.sum(F.when(held, d)).cast("double"), F.sum(F.when(~held, c.cast("double")))
+    return F.coalesce(exact + rest, exact, rest)
 
 
 def exact_avg(col) -> Column:
     """Average over non-NULL values, via the exact sum."""
     c = F.col(col) if isinstance(col, str) else col
-    d = c.try_cast(EXACT)
-    return F.try_divide(F.sum(d).cast("double"), F.count(d))
+    return F.try_divide(exact_sum(c), F.count(c))
 
 
 def count_true(col) -> Column:

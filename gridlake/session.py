@@ -37,11 +37,14 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_root(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder. Only when the session names
-    none (local runs, tests) is a private temporary folder created and set."""
+    """The cluster's shared checkpoint folder (``spark.checkpoint.dir``). Only
+    a local session that names none (tests) gets a private temporary folder:
+    on a cluster the machines would not see each other's files."""
     sc = spark.sparkContext
     root = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all machines share")
         root = tempfile.mkdtemp(prefix="gridlake-ckpt-")
         sc.setCheckpointDir(root)
         root = sc.getCheckpointDir() or root

@@ -256,29 +256,18 @@ def raw_sql(d: Derivation, environment: str = ENVIRONMENT) -> str:
     return f"SELECT {', '.join(select_list(d, environment))} FROM {frm}{where}"
 
 
-# A scan smaller than this is left as it is, however few its partitions.
-REBALANCE_MIN_BYTES = 1 << 20
-
-
-def balanced(df: DataFrame, min_bytes: int = REBALANCE_MIN_BYTES) -> DataFrame:
+def balanced(df: DataFrame) -> DataFrame:
     """Spread a scan whose input splits are fewer than the cluster's task
-    slots over all slots, when it is big enough to matter.
+    slots over all slots.
 
     Parquet splits only at row-group boundaries: one large file with a single
     row group is read by one task, and every narrow operator after it (text
     derivation, null normalisation, the map-side top-1 sort) would run on
     that one core. A layout of many files/row groups — the normal case at
     scale — already has enough splits, and this is a no-op. The check uses
-    the planner's own split count and size estimate; nothing is executed."""
-    spark = df.sparkSession
-    try:
-        slots = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= slots:
-            return df
-        size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # planner not reachable (e.g. a remote client): leave as is
-        return df
-    if size < min_bytes:
+    the planner's own split count; nothing is executed."""
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= slots:
         return df
     # Hash on the row's scan position: spreads rows evenly like round-robin
     # but needs no pre-shuffle sort (round-robin sorts every map partition to

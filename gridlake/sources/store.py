@@ -21,14 +21,11 @@ TARGET_FILE_BYTES = 128 << 20
 
 def estimated_bytes(df: DataFrame) -> int:
     """The optimizer's size estimate of ``df`` (no job is run)."""
-    try:
-        return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    except Exception:  # planner not reachable: assume one target-sized file
-        return TARGET_FILE_BYTES
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
-def file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES, max_files: int = 100_000) -> int:
-    return max(1, min(max_files, math.ceil(estimated_bytes(df) / target_bytes)))
+def file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    return max(1, math.ceil(estimated_bytes(df) / target_bytes))
 
 
 def write_balanced(df: DataFrame, path: str, mode: str = "overwrite") -> None:

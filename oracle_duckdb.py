@@ -201,10 +201,11 @@ FROM (SELECT project_id AS der_id, feeder_id, _utility_id AS utility_id, der_typ
 
     # -- Platinum -----------------------------------------------------------
     def _platinum(self):
-        exact = "CAST(SUM(TRY_CAST({c} AS DECIMAL(38,6))) AS DOUBLE)"
-        avg = ("CASE WHEN COUNT(TRY_CAST({c} AS DECIMAL(38,6))) = 0 THEN NULL ELSE "
-               "CAST(SUM(TRY_CAST({c} AS DECIMAL(38,6))) AS DOUBLE) / "
-               "COUNT(TRY_CAST({c} AS DECIMAL(38,6))) END")
+        held = "(abs({c}) < 1e20 AND CAST(TRY_CAST({c} AS DECIMAL(38,6)) AS DOUBLE) IS NOT DISTINCT FROM CAST({c} AS DOUBLE))"
+        some = "CAST(SUM(CASE WHEN " + held + " THEN TRY_CAST({c} AS DECIMAL(38,6)) END) AS DOUBLE)"
+        rest = "SUM(CASE WHEN NOT " + held + " THEN CAST({c} AS DOUBLE) END)"
+        exact = "coalesce(" + some + " + " + rest + ", " + some + ", " + rest + ")"
+        avg = "CASE WHEN COUNT({c}) = 0 THEN NULL ELSE " + exact + " / COUNT({c}) END"
         self.add("v_feeders_by_hc", """
 SELECT global_feeder_id, feeder_id, utility_id, feeder_name, voltage_kv, max_hosting_capacity_mw,
        min_hosting_capacity_mw, hca_refresh_date, segment_count, has_hosting_capacity

@@ -112,3 +112,20 @@ def test_exact_sum_is_order_independent(spark):
     sums = {df.repartition(n).agg(exact_sum("x").alias("s")).first().s for n in (1, 3, 7)}
     assert len(sums) == 1
     assert abs(sums.pop() - sum(vals)) < 1e-6
+
+
+def test_exact_sums_leave_nothing_out(spark):
+    import math
+
+    from gridlake.operators.aggregate import exact_avg
+
+    def run(values):
+        df = spark.createDataFrame([(v,) for v in values], "x double")
+        return tuple(df.agg(exact_sum("x"), exact_avg("x")).first())
+
+    assert run([1e33, 2e33, None]) == (3e33, 1.5e33)
+    assert run([4e-7, 4e-7]) == (8e-7, 4e-7)
+    assert run([0.1] * 10) == (1.0, 0.1)
+    assert run([float("inf"), 1.0]) == (math.inf, math.inf)
+    assert all(math.isnan(v) for v in run([float("nan"), 1.0, 4e-7, 1e33]))
+    assert run([None]) == (None, None)

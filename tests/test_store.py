@@ -51,14 +51,14 @@ def test_hot_value_spreads_over_files(spark, tmp_dir):
     assert max(n for *_, n in ranges) < 2000 + 500      # no file holds the whole hot value
 
 
-def test_balanced_spreads_only_large_single_split_scans(spark, tmp_dir):
+def test_balanced_spreads_single_split_scans(spark, tmp_dir):
     from gridlake.sources.derived import balanced
     path = os.path.join(tmp_dir, "one")
     spark.range(0, 200_000).selectExpr("id", "repeat('x', 20) AS pad").coalesce(1) \
         .write.parquet(path)
     one = spark.read.parquet(path)
     assert one.rdd.getNumPartitions() == 1
-    spread = balanced(one, min_bytes=1 << 10)
+    spread = balanced(one)
     assert spread.rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
     assert spread.count() == 200_000
-    assert balanced(one, min_bytes=1 << 40).rdd.getNumPartitions() == 1   # small: untouched
+    assert balanced(spread).rdd.getNumPartitions() == spread.rdd.getNumPartitions()   # enough splits: untouched
