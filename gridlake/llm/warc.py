@@ -40,12 +40,15 @@ GAP = struct.pack("<II", 0x184D2A50, 0).decode("ascii")
 DATE = "2026-01-01T00:00:00Z"
 
 
+def payloads(pages: DataFrame) -> DataFrame:
+    return pages.select("page_id", "url", F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload")).withColumn(
+        "payload_bytes", F.length("payload").cast("long")).withColumn("payload_digest", F.sha1("payload"))
+
+
 def plan(pages: DataFrame) -> DataFrame:
     """Each page with payload, payload_bytes, payload_digest, record_type and
     refers_to."""
-    known = store(pages.select("page_id", F.col("url").alias("url"), F.encode(F.coalesce("html", F.lit("")), "UTF-8").alias("payload"))
-                  .withColumn("payload_bytes", F.length("payload").cast("long"))
-                  .withColumn("payload_digest", F.sha1("payload")), "pages")
+    known = payloads(pages)
     large = known.filter(F.col("payload_bytes") >= REVISIT_FROM)
     last = store(large.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("last")), "last")
     keys = ["payload_digest", "payload_bytes"]
@@ -56,13 +59,14 @@ def plan(pages: DataFrame) -> DataFrame:
         "refers_to", F.when(again, F.col("last"))).drop("last")
 
 
-def dictionary(planned: DataFrame) -> bytes:
-    """A dictionary from the records with the smallest hashes; raw content
-    where there is too little to build one from."""
-    key = F.xxhash64(F.lit("warc"), "payload_digest")
-    rows = planned.filter("record_type = 'response'").select(
-        key.alias("key"), F.substring("payload", 1, SAMPLE_BYTES).alias("part")).orderBy("key", "part").limit(SAMPLE).collect()
-    parts = [bytes(r.part) for r in rows]
+def dictionary(pages: DataFrame) -> bytes:
+    """A dictionary from the payloads with the smallest hashes; raw content
+    where there is too little to build one from. The hashes are chosen first,
+    so that no more than the sample comes to the driver."""
+    rows = payloads(pages).select(F.xxhash64(F.lit("warc"), "payload_digest").alias("key"), "payload")
+    keys = [r.key for r in rows.select("key").distinct().orderBy("key").limit(SAMPLE).collect()]
+    found = rows.filter(F.col("key").isin(keys)).groupBy("key").agg(F.min(F.substring("payload", 1, SAMPLE_BYTES)).alias("part"))
+    parts = [bytes(r.part) for r in sorted(found.collect(), key=lambda r: r.key)]
     try:
         return zstandard.train_dictionary(DICTIONARY_BYTES, parts).as_bytes()
     except (zstandard.ZstdError, ValueError):
@@ -110,12 +114,12 @@ def parse(raw: bytes) -> dict:
             "payload_digest": digest, "refers_to": int(to) if to else None, "payload": payload}
 
 
-def write(planned: DataFrame, path: str) -> None:
+def write(pages: DataFrame, path: str) -> None:
     """Write the records as archives of about ``ARCHIVE_BYTES`` under path."""
-    planned = store(planned, "planned")
-    total = planned.agg(F.sum(F.when(F.col("record_type") == "response", F.col("payload_bytes")).otherwise(0) + 500)).first()[0] or 0
+    planned = plan(pages)
+    total = payloads(pages).agg(F.sum(F.col("payload_bytes") + 500)).first()[0] or 0
     archives = max(1, -(-total // ARCHIVE_BYTES))
-    words = dictionary(planned)
+    words = dictionary(pages)
 
     def frames(batches):
         known = zstandard.ZstdCompressionDict(words) if words else None
@@ -181,5 +185,5 @@ def round_trip(pages: DataFrame, path: str) -> DataFrame:
     * equal payloads under 1000 bytes are each a response; extra columns are
       not read; an empty table gives an empty result.
     """
-    write(plan(pages), path)
+    write(pages, path)
     return read(pages.sparkSession, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
