@@ -34,6 +34,8 @@ DICTIONARY_BYTES = 1 << 16
 LEVEL = 6
 #: records that a task holds at once
 ROWS_AT_ONCE = 64
+#: bytes of an archive that the reader decompresses at once
+PIECE = 1 << 14
 #: fixed values of the formats
 DICTIONARY_MAGIC = 0x184D2A5D
 GAP = struct.pack("<II", 0x184D2A50, 0).decode("ascii")
@@ -45,18 +47,26 @@ def payloads(pages: DataFrame) -> DataFrame:
         "payload_bytes", F.length("payload").cast("long")).withColumn("payload_digest", F.sha1("payload"))
 
 
-def plan(pages: DataFrame) -> DataFrame:
+def plan(pages: DataFrame, parts: int) -> DataFrame:
     """Each page with payload, payload_bytes, payload_digest, record_type and
-    refers_to."""
+    refers_to, dealt over ``parts`` partitions.
+
+    The revisits are found on ids and digests alone; payloads move once, dealt
+    by digest and page so that copies of one payload spread over all parts."""
     known = payloads(pages)
-    large = known.filter(F.col("payload_bytes") >= REVISIT_FROM)
-    last = store(large.groupBy("payload_digest", "payload_bytes").agg(F.max("page_id").alias("last")), "last")
     keys = ["payload_digest", "payload_bytes"]
-    small = known.filter(F.col("payload_bytes") < REVISIT_FROM).withColumn("last", F.col("page_id"))
-    out = large.join(last, keys).select("page_id", "url", "payload", *keys, "last").unionByName(small)
-    again = F.coalesce(F.col("page_id") < F.col("last"), F.lit(False))
-    return out.withColumn("record_type", F.when(again, "revisit").otherwise("response")).withColumn(
-        "refers_to", F.when(again, F.col("last"))).drop("last")
+    large = known.filter(F.col("payload_bytes") >= REVISIT_FROM).select(*keys, "page_id")
+    last = large.groupBy(*keys).agg(F.max("page_id").alias("last"), F.min("page_id").alias("least")).filter(
+        "least < last").drop("least")
+    again = store(large.join(last, keys).filter("page_id < last").distinct(), "revisits")
+    # a null id is dealt by its url; it matches nothing that is used below
+    at = [*keys, "at"]
+    pages = known.withColumn("at", F.coalesce("page_id", F.xxhash64("url"))).repartition(parts, *at)
+    again = again.withColumnRenamed("page_id", "at").repartition(parts, *at)
+    revisit = F.col("last").isNotNull() & F.col("page_id").isNotNull()
+    return pages.join(again, at, "left").select(
+        "page_id", "url", "payload", *keys, F.when(revisit, "revisit").otherwise("response").alias("record_type"),
+        F.when(revisit, F.col("last")).alias("refers_to"))
 
 
 def dictionary(pages: DataFrame) -> bytes:
@@ -116,7 +126,6 @@ def parse(raw: bytes) -> dict:
 
 def write(pages: DataFrame, path: str) -> None:
     """Write the records as archives of about ``ARCHIVE_BYTES`` under path."""
-    planned = plan(pages)
     total = payloads(pages).agg(F.sum(F.col("payload_bytes") + 500)).first()[0] or 0
     archives = max(1, -(-total // ARCHIVE_BYTES))
     words = dictionary(pages)
@@ -133,35 +142,43 @@ def write(pages: DataFrame, path: str) -> None:
                 out[0], lead = lead + out[0], b""
                 yield pa.RecordBatch.from_pydict({"frame": pa.array(out, type=pa.binary())})
 
-    dealt = planned.repartition(archives, F.xxhash64("payload_digest", "page_id", "url"))
-    dealt.mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option(
+    plan(pages, archives).mapInArrow(frames, "frame binary").select(F.col("frame").cast("string").alias("value")).write.option(
         "lineSep", GAP).option("compression", "none").text(path)
 
 
 def records(data: bytes):
     """The decompressed records of one archive, in order."""
+    data = memoryview(data)
     at, unpack = 0, zstandard.ZstdDecompressor()
     while at < len(data):
         magic, size = struct.unpack_from("<II", data, at) if len(data) - at >= 8 else (0, 0)
         if magic & 0xFFFFFFF0 == 0x184D2A50:
             if magic == DICTIONARY_MAGIC and size:
-                unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(data[at + 8:at + 8 + size]))
+                unpack = zstandard.ZstdDecompressor(dict_data=zstandard.ZstdCompressionDict(bytes(data[at + 8:at + 8 + size])))
             at += 8 + size
             continue
-        one = unpack.decompressobj()
-        yield one.decompress(memoryview(data)[at:])
-        if not one.eof:
-            raise ValueError("an archive is cut off")
-        at = len(data) - len(one.unused_data)
-
-
-def read(spark: SparkSession, path: str) -> DataFrame:
+        # fed in pieces, as what follows the frame is handed back as a copy
+        one, parts = unpack.decompressobj(), []
+        while not one.eof:
+            if at >= len(data):
+                raise ValueError("an archive is cut off")
+            piece = data[at:at + PIECE]
+            parts.append(one.decompress(piece))
+            at += len(piece)
+        at -= len(one.unused_data)
+        yield b"".join(parts)
+
+
+def read(spark: SparkSession, path: str, payload: bool = True) -> DataFrame:
     """The records of the archives under path: page_id, url, record_type,
-    payload_bytes, payload_digest, refers_to, payload."""
+    payload_bytes, payload_digest, refers_to, payload. Every payload is checked
+    against its digest; ``payload=False`` leaves the column null."""
     def run(batches):
         for batch in batches:
             for content in batch.column("content"):
                 found = (parse(raw) for raw in records(content.as_buffer()))
+                if not payload:
+                    found = (fields | {"payload": None} for fields in found)
                 while part := list(islice(found, ROWS_AT_ONCE)):
                     yield pa.RecordBatch.from_pylist(part, schema=_FIELDS)
 
@@ -186,4 +203,4 @@ def round_trip(pages: DataFrame, path: str) -> DataFrame:
       not read; an empty table gives an empty result.
     """
     write(pages, path)
-    return read(pages.sparkSession, path).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+    return read(pages.sparkSession, path, payload=False).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
