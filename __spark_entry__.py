@@ -30,21 +30,23 @@ from gridlake.operators import (  # noqa: E402
 )
 from gridlake.plans import platinum as P  # noqa: E402
 from gridlake.plans.medallion import Layers, as_of_literal  # noqa: E402
+from gridlake.plans.refresh import refresh  # noqa: E402
 from gridlake.registry import (  # noqa: E402
     CONTRACTS,
     GOLD_EXPECTATIONS,
     NULL_TOKENS_8,
     NULL_TOKENS_9,
+    COLUMN_MAPS,
     SPECS,
+    TYPE_MAPS,
     U1_PROJECT_TYPE_TO_CANONICAL,
     U2_TYPE_TO_CANONICAL,
-    der_type_mapping,
     spec,
 )
 from gridlake.session import ensure_utc, scratch_path  # noqa: E402
 from gridlake.sources.landing import read_landing, write_landing  # noqa: E402
 from gridlake.sources.store import CLUSTER_BY, file_count, write_clustered  # noqa: E402
-from gridlake.streaming.bronze import ingest, read_raw_table  # noqa: E402
+from gridlake.streaming.bronze import ingest, landing_path, read_raw_table  # noqa: E402
 
 try:                                    # the subpackage can be absent: all else works without it
     from gridlake.llm import queries as llm  # noqa: E402
@@ -74,6 +76,19 @@ def _raw(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return _layers(spark, sf_dir).raw[name]
 
 
+def _u1_der(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Installed and planned raw rows of utility 1, i.e. every row of their
+    source; a column that only one of them has is NULL for the other."""
+    return _raw(spark, sf_dir, "u1_install_der_raw").unionByName(
+        _raw(spark, sf_dir, "u1_planned_der_raw"), allowMissingColumns=True)
+
+
+def _u1_der_clean(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
+    silver = _layers(spark, sf_dir).silver
+    return silver["u1_install_der_clean"].select(*columns).unionByName(
+        silver["u1_planned_der_clean"].select(*columns))
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the per-feeder map summary over the whole model at sf0.001."""
     ensure_utc(spark)
@@ -88,7 +103,7 @@ def q_null_tokens_9(spark, sf_dir):
 
 
 def q_null_tokens_8(spark, sf_dir):
-    return normalize_nulls(_raw(spark, sf_dir, "u1_install_der_raw"), NULL_TOKENS_8)
+    return normalize_nulls(_u1_der(spark, sf_dir), NULL_TOKENS_8)
 
 
 def q_lenient_casts(spark, sf_dir):
@@ -103,7 +118,7 @@ def q_lenient_casts(spark, sf_dir):
 
 
 def q_lenient_bool_dates(spark, sf_dir):
-    r = _raw(spark, sf_dir, "u1_planned_der_raw")
+    r = _u1_der(spark, sf_dir)
     return r.select(
         "ProjectID", "Hybrid", GF.lenient_bool("Hybrid").alias("is_hybrid"),
         "InServiceDate", GF.lenient_ts("InServiceDate").alias("in_service_date"),
@@ -118,45 +133,48 @@ def q_latest_per_key(spark, sf_dir):
 
 
 def q_latest_null_key(spark, sf_dir):
-    r = normalize_nulls(_raw(spark, sf_dir, "u1_install_der_raw"), NULL_TOKENS_8)
+    r = normalize_nulls(_u1_der(spark, sf_dir), NULL_TOKENS_8)
     return latest_per_key(r, spec("utility_1", "installed_der").key, keep_null_keys=True)
 
 
 def q_first_match_type(spark, sf_dir):
-    r = _raw(spark, sf_dir, "u1_install_der_raw")
+    r = _u1_der(spark, sf_dir)
     s = spec("utility_1", "installed_der")
-    return r.select("ProjectID", GF.first_match(s.tech_columns, der_type_mapping("utility_1"))
+    return r.select("ProjectID", GF.first_match(s.tech_columns, TYPE_MAPS["utility_1"])
                     .alias("der_type"))
 
 
 def q_column_map(spark, sf_dir):
-    return apply_column_map(_raw(spark, sf_dir, "u2_install_der_raw"),
-                            spec("utility_2", "installed_der").column_map())
+    """The published names of every dataset whose source is ``events``."""
+    parts = [apply_column_map(_raw(spark, sf_dir, spec("utility_2", d).raw_table), COLUMN_MAPS["utility_2", d])
+             for d in ("installed_der", "planned_der")]
+    return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
 def q_type_map(spark, sf_dir):
-    r = _raw(spark, sf_dir, "u2_install_der_raw")
+    r = _raw(spark, sf_dir, "u2_install_der_raw").unionByName(
+        _raw(spark, sf_dir, "u2_planned_der_raw"), allowMissingColumns=True)
     src = F.trim("DER_TYPE")
-    return r.select("DER_ID", src.alias("der_type_source"),
+    return r.select("DER_ID", "INTERCONNECTION_QUEUE_REQUEST_ID", src.alias("der_type_source"),
                     GF.map_values(src, U2_TYPE_TO_CANONICAL).alias("der_type"))
 
 
 def q_project_type_map(spark, sf_dir):
-    r = _raw(spark, sf_dir, "u1_install_der_raw")
+    r = _u1_der(spark, sf_dir)
     return r.select("ProjectID", "ProjectType",
                     GF.map_values("ProjectType", U1_PROJECT_TYPE_TO_CANONICAL)
                     .alias("project_type_canonical"))
 
 
 def q_unit_normalize(spark, sf_dir):
-    s = _layers(spark, sf_dir).silver["u1_install_der_clean"]
+    s = _u1_der_clean(spark, sf_dir, "project_id", "nameplate_rating_kw")
     unit = spec("utility_1", "installed_der").rating_unit
     return s.select("project_id", F.col("nameplate_rating_kw").alias("nameplate_rating_w"),
                     GF.rating_to_kw("nameplate_rating_kw", unit).alias("nameplate_rating_kw"))
 
 
 def q_global_ids(spark, sf_dir):
-    s = _layers(spark, sf_dir).silver["u1_planned_der_clean"]
+    s = _u1_der_clean(spark, sf_dir, "project_id", "feeder_id", "_utility_id")
     return s.select("project_id", "feeder_id",
                     GF.global_id("_utility_id", "feeder_id").alias("global_feeder_id_concat"),
                     GF.global_id_nullsafe("_utility_id", "feeder_id").alias("global_feeder_id_nullsafe"))
@@ -210,9 +228,9 @@ _LINEAGE = ("_source_file", "_ingestion_ts", "_utility_id", "_environment")
 
 
 def _land_two_layouts(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
-    """Land u1_install_der_raw as CSV drops in two layouts: the original
+    """Land utility 1's DER rows as CSV drops in two layouts: the original
     column order, and (for later files) reversed order plus a new column."""
-    raw = _raw(spark, sf_dir, "u1_install_der_raw")
+    raw = _u1_der(spark, sf_dir)
     data_cols = [c for c in raw.columns if c not in _LINEAGE]
     late = F.col("_source_file") >= F.lit(_DROP2_FROM)
     early = raw.filter(~late).select(*data_cols)
@@ -241,6 +259,31 @@ def q_bronze_stream_ingest(spark, sf_dir):
     return normalize_nulls(read_raw_table(spark, table).select(*cols), NULL_TOKENS_8)
 
 
+def q_refresh_tables(spark, sf_dir):
+    """The whole refresh, CSV drops of all six datasets to serving views, read
+    through the catalog: rows of each stored Bronze and fact table by utility
+    and environment, with how many of them name a CSV file of their own drop
+    and how many load times they carry (one for each triggered run)."""
+    landing = scratch_path(spark, "landing")
+    for s in SPECS:
+        raw = _raw(spark, sf_dir, s.raw_table)
+        raw = raw.drop(*_LINEAGE)
+        write_landing(raw, landing_path(landing, s.utility_id, s.dataset), files=max(2, file_count(raw)))
+    refresh(spark, landing, scratch_path(spark, "model"), as_of=as_of_literal())
+    parts = [spark.table(f"bronze.{s.raw_table}").groupBy(
+        F.lit(f"bronze.{s.raw_table}").alias("table_name"), F.col("_utility_id").alias("utility_id"),
+        F.col("_environment").alias("environment")).agg(
+            F.count("*").alias("n_rows"),
+            F.count_if(F.col("_source_file").contains(f"/{s.utility_id}/{s.dataset}/")
+                       & F.col("_source_file").endswith(".csv")).alias("from_own_drop"),
+            F.count_distinct("_ingestion_ts").alias("load_times")) for s in SPECS]
+    parts += [spark.table(f"gold.{t}").groupBy(
+        F.lit(f"gold.{t}").alias("table_name"), "utility_id", F.lit(None).cast("string").alias("environment")).agg(
+            F.count("*").alias("n_rows"), F.lit(None).cast("long").alias("from_own_drop"),
+            F.lit(None).cast("long").alias("load_times")) for t in ("fact_installed_der", "fact_planned_der")]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_clustered_hc_lookup(spark, sf_dir):
     """S10/S11 + F10: store v_feeders_by_hc range-clustered on
     max_hosting_capacity_mw, then run the hosting-capacity lookup against
@@ -303,6 +346,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "dq_alerts": q_dq_alerts,
         "csv_landing_read": q_csv_landing_read,
         "bronze_stream_ingest": q_bronze_stream_ingest,
+        "refresh_tables": q_refresh_tables,
         "clustered_hc_lookup": q_clustered_hc_lookup,
         "clustered_der_lookup": q_clustered_der_lookup,
     })

@@ -11,9 +11,7 @@ from gridlake.operators.cleanse import (  # noqa: F401
     apply_column_map,
     derive_type,
     latest_per_key,
-    map_type_column,
     normalize_nulls,
-    normalize_units,
 )
 from gridlake.operators.quality import (  # noqa: F401
     apply_expectations,

@@ -12,8 +12,6 @@ from gridlake.functions import (
     first_match,
     global_id,
     global_id_nullsafe,
-    map_values,
-    rating_to_kw,
 )
 from gridlake.functions.columns import null_if_token_sql, q
 from gridlake.registry import NULL_TOKENS_9
@@ -93,14 +91,3 @@ def add_global_id(df: DataFrame, utility_col: str, local_id_col: str, output_col
     bare utility id (concat_ws semantics)."""
     fn = global_id_nullsafe if null_safe else global_id
     return df.withColumn(output_col, fn(utility_col, local_id_col))
-
-
-def map_type_column(df: DataFrame, column: str, mapping: Mapping[str, str],
-                    output: str | None = None) -> DataFrame:
-    """Code -> canonical lookup; unmapped codes keep their own value."""
-    return df.withColumn(output or column, map_values(column, mapping))
-
-
-def normalize_units(df: DataFrame, column: str, unit: str, output: str | None = None) -> DataFrame:
-    """Rating in the declared unit -> kW."""
-    return df.withColumn(output or column, rating_to_kw(column, unit))

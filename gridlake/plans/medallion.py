@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from gridlake.plans import gold as G
 from gridlake.plans import platinum as P
 from gridlake.plans.silver import build_silver, build_typed
-from gridlake.registry import SPECS, RunOptions
+from gridlake.registry import GOLD_COLUMNS, SPECS, RunOptions
 from gridlake.session import scratch_path
 from gridlake.sources.derived import RAW_TABLES, raw_frame
 from gridlake.sources.store import CLUSTER_BY, write_balanced, write_clustered
@@ -78,11 +78,7 @@ class Layers:
         """(Re)define Gold and Platinum over the current ``silver`` mapping."""
         sv, a, o, spark = self.silver, self.as_of, self.options, self.spark
         self.gold: Mapping = LazyTables({
-            "dim_feeder": lambda: G.dim_feeder(sv["u1_circuits_clean"], sv["u2_circuits_clean"], a, o),
-            "fact_installed_der": lambda: G.fact_installed_der(
-                sv["u1_install_der_clean"], sv["u2_install_der_clean"], a, o),
-            "fact_planned_der": lambda: G.fact_planned_der(
-                sv["u1_planned_der_clean"], sv["u2_planned_der_clean"], a, o),
+            **{t: (lambda t=t: G.conformed(t, sv, a, o)) for t in GOLD_COLUMNS},
             "dim_utility": lambda: G.dim_utility(spark, a),
             "dim_der_type": lambda: G.dim_der_type(spark, a),
         })

@@ -13,16 +13,7 @@ from pyspark.sql import DataFrame, Observation
 from gridlake.functions.columns import convert_sql, first_match_sql, lit_sql, q
 from gridlake.operators.cleanse import latest_per_key, normalize_nulls
 from gridlake.operators.quality import apply_expectations
-from gridlake.registry import (
-    SPECS,
-    U2_TYPE_TO_CANONICAL,
-    Col,
-    DatasetSpec,
-    Derived,
-    RunOptions,
-    der_type_mapping,
-    spec,
-)
+from gridlake.registry import TYPE_MAPS, U2_TYPE_TO_CANONICAL, Col, DatasetSpec, Derived, RunOptions
 
 _LINEAGE_TYPES = {"_source_file": "string", "_ingestion_ts": "timestamp"}
 
@@ -56,7 +47,7 @@ def _output_sql(s: DatasetSpec, present: set, options: RunOptions) -> list[str]:
             out[c.name] = e
         elif c.rule == "der_type_wide":
             out[c.name] = first_match_sql([t for t in s.tech_columns if t in present],
-                                          der_type_mapping(s.utility_id))
+                                          TYPE_MAPS[s.utility_id])
         elif c.rule == "false":
             out[c.name] = "false"
         elif c.rule == "feeder_missing":
@@ -99,38 +90,3 @@ def build_silver(raw: DataFrame, s: DatasetSpec, options: RunOptions | None = No
     if typed is None:
         typed = build_typed(raw, s, options)
     return apply_expectations(typed, s.expectations, observation)
-
-
-def silver_tables(raw: dict, options: RunOptions | None = None,
-                  observations: dict | None = None) -> dict:
-    """Build every Silver table whose raw table is present in ``raw``."""
-    out = {}
-    for s in SPECS:
-        if s.raw_table in raw:
-            obs = observations.get(s.silver_table) if observations else None
-            out[s.silver_table] = build_silver(raw[s.raw_table], s, options, obs)
-    return out
-
-
-def u1_circuits_clean(raw: DataFrame, options: RunOptions | None = None) -> DataFrame:
-    return build_silver(raw, spec("utility_1", "circuits"), options)
-
-
-def u2_circuits_clean(raw: DataFrame, options: RunOptions | None = None) -> DataFrame:
-    return build_silver(raw, spec("utility_2", "circuits"), options)
-
-
-def u1_install_der_clean(raw: DataFrame, options: RunOptions | None = None) -> DataFrame:
-    return build_silver(raw, spec("utility_1", "installed_der"), options)
-
-
-def u2_install_der_clean(raw: DataFrame, options: RunOptions | None = None) -> DataFrame:
-    return build_silver(raw, spec("utility_2", "installed_der"), options)
-
-
-def u1_planned_der_clean(raw: DataFrame, options: RunOptions | None = None) -> DataFrame:
-    return build_silver(raw, spec("utility_1", "planned_der"), options)
-
-
-def u2_planned_der_clean(raw: DataFrame, options: RunOptions | None = None) -> DataFrame:
-    return build_silver(raw, spec("utility_2", "planned_der"), options)

@@ -276,22 +276,17 @@ def balanced(df: DataFrame) -> DataFrame:
     return df.repartition(slots, F.monotonically_increasing_id())
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return balanced(spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet"))
+def read_table(spark: SparkSession, sf_dir: str, name: str, where: str | None = None) -> DataFrame:
+    """A given table, filtered in the scan and then spread."""
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return balanced(df.filter(where) if where else df)
 
 
 def raw_frame(spark: SparkSession, sf_dir: str, name: str,
               environment: str = ENVIRONMENT) -> DataFrame:
     d = derivation(name)
-    df = read_table(spark, sf_dir, d.source)
-    if d.where:
-        df = df.filter(d.where)
+    df = read_table(spark, sf_dir, d.source, d.where)
     if d.join:
         t, lk, rk = d.join
         df = df.join(read_table(spark, sf_dir, t), df[lk] == F.col(rk))
     return df.selectExpr(*select_list(d, environment))
-
-
-def raw_frames(spark: SparkSession, sf_dir: str, environment: str = ENVIRONMENT) -> dict:
-    """All six raw tables keyed by name (lazy frames)."""
-    return {name: raw_frame(spark, sf_dir, name, environment) for name in RAW_TABLES}

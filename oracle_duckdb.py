@@ -17,8 +17,8 @@ from gridlake.registry import (
     U1_PROJECT_TYPE_TO_CANONICAL,
     U2_TYPE_TO_CANONICAL,
     CONTRACTS,
+    TYPE_MAPS,
     Col,
-    der_type_mapping,
     spec,
 )
 from gridlake.sources.derived import DERIVATIONS, derivation, raw_sql
@@ -36,6 +36,8 @@ def _in_list(tokens) -> str:
 
 
 def raw_columns(name: str) -> list[str]:
+    if name == "u1_der_raw":
+        return list(dict.fromkeys(raw_columns("u1_install_der_raw") + raw_columns("u1_planned_der_raw")))
     d = derivation(name)
     return [c for c, _ in d.columns] + ["_utility_id", "_environment"]
 
@@ -91,6 +93,8 @@ class Oracle:
         self.ctes: dict[str, tuple[str, tuple]] = {}
         for d in DERIVATIONS:
             self.add(d.name, raw_sql(d))
+        self.add("u1_der_raw", "SELECT * FROM u1_install_der_raw UNION ALL BY NAME SELECT * FROM u1_planned_der_raw",
+                 ["u1_install_der_raw", "u1_planned_der_raw"])
         for s in SPECS:
             self._silver(s)
         self._gold()
@@ -132,7 +136,7 @@ class Oracle:
             if isinstance(c, Col):
                 e = convert_sql(c.source, c.kind)
             elif c.rule == "der_type_wide":
-                e = first_match_sql(s.tech_columns, der_type_mapping(s.utility_id))
+                e = first_match_sql(s.tech_columns, TYPE_MAPS[s.utility_id])
             elif c.rule == "false":
                 e = "FALSE"
             elif c.rule == "feeder_missing":
@@ -318,6 +322,22 @@ def contract_violations_sql(o: Oracle) -> str:
     return o.query("SELECT * FROM (" + "\nUNION ALL\n".join(parts) + ") WHERE rows > 0", deps)
 
 
+def refresh_tables_sql(o: Oracle) -> str:
+    """Bronze holds every raw row; a fact holds a row for each key of its two
+    raw tables, the rows without a key counting as one key."""
+    parts = [f"SELECT 'bronze.{s.raw_table}' AS table_name, {_lit(s.utility_id)} AS utility_id, "
+             f"'dev' AS environment, COUNT(*) AS n_rows, COUNT(*) AS from_own_drop, "
+             f"CAST(1 AS BIGINT) AS load_times FROM {s.raw_table} HAVING COUNT(*) > 0" for s in SPECS]
+    facts = {"installed_der": "gold.fact_installed_der", "planned_der": "gold.fact_planned_der"}
+    for s in SPECS:
+        if s.dataset in facts:
+            key = f"CASE WHEN trim({s.key}) IN {_in_list(s.null_tokens)} THEN NULL ELSE {s.key} END"
+            parts.append(f"SELECT {_lit(facts[s.dataset])}, {_lit(s.utility_id)}, CAST(NULL AS VARCHAR), "
+                         f"COUNT(DISTINCT {key}) + MAX(CASE WHEN ({key}) IS NULL THEN 1 ELSE 0 END), "
+                         f"CAST(NULL AS BIGINT), CAST(NULL AS BIGINT) FROM {s.raw_table} HAVING COUNT(*) > 0")
+    return o.query("\nUNION ALL\n".join(parts), [s.raw_table for s in SPECS])
+
+
 def sql_for(name: str) -> str:
     """Oracle SQL for a registered query name."""
     o = oracle()
@@ -330,8 +350,8 @@ def sql_for(name: str) -> str:
         return o.query(normalize_sql("u1_circuits_raw", raw_columns("u1_circuits_raw"), NULL_TOKENS_9),
                        ["u1_circuits_raw"])
     if name == "null_tokens_8":
-        return o.query(normalize_sql("u1_install_der_raw", raw_columns("u1_install_der_raw"),
-                                     NULL_TOKENS_8), ["u1_install_der_raw"])
+        return o.query(normalize_sql("u1_der_raw", raw_columns("u1_der_raw"), NULL_TOKENS_8),
+                       ["u1_der_raw"])
     if name == "lenient_casts":
         return o.query(f"""
 SELECT NYHCPV_csv_NSECTION, {convert_sql('NYHCPV_csv_NSECTION', 'long')} AS section_id,
@@ -346,7 +366,7 @@ SELECT ProjectID, Hybrid, {convert_sql('Hybrid', 'bool')} AS is_hybrid,
        InServiceDate, {convert_sql('InServiceDate', 'ts')} AS in_service_date,
        CompletionDate, {convert_sql('CompletionDate', 'ts')} AS completion_date,
        NamePlateRating, {convert_sql('NamePlateRating', 'double')} AS nameplate_rating
-FROM u1_planned_der_raw""", ["u1_planned_der_raw"])
+FROM u1_der_raw""", ["u1_der_raw"])
     if name == "latest_per_key":
         cols = raw_columns("u1_circuits_raw")
         o.add("q_norm9", normalize_sql("u1_circuits_raw", cols, NULL_TOKENS_9), ["u1_circuits_raw"])
@@ -356,8 +376,8 @@ FROM u1_planned_der_raw""", ["u1_planned_der_raw"])
                        f"{u1c.key} ORDER BY {order_desc(ties)}) AS _rn FROM q_norm9) WHERE _rn = 1",
                        ["q_norm9"])
     if name == "latest_null_key":
-        cols = raw_columns("u1_install_der_raw")
-        o.add("q_norm8", normalize_sql("u1_install_der_raw", cols, NULL_TOKENS_8), ["u1_install_der_raw"])
+        cols = raw_columns("u1_der_raw")
+        o.add("q_norm8", normalize_sql("u1_der_raw", cols, NULL_TOKENS_8), ["u1_der_raw"])
         rest = [c for c in cols if c not in (u1i.key, "_ingestion_ts")]
         ties = ["_ingestion_ts", "_source_file"] + sorted(c for c in rest if c != "_source_file")
         return o.query(f"SELECT {', '.join(cols)} FROM (SELECT *, row_number() OVER (PARTITION BY "
@@ -367,29 +387,43 @@ FROM u1_planned_der_raw""", ["u1_planned_der_raw"])
                        ["q_norm8"])
     if name == "first_match_type":
         return o.query(f"SELECT ProjectID, "
-                       f"{first_match_sql(u1i.tech_columns, der_type_mapping('utility_1'))} AS der_type "
-                       f"FROM u1_install_der_raw", ["u1_install_der_raw"])
+                       f"{first_match_sql(u1i.tech_columns, TYPE_MAPS['utility_1'])} AS der_type "
+                       f"FROM u1_der_raw", ["u1_der_raw"])
     if name == "column_map":
-        m = spec("utility_2", "installed_der").column_map()
-        return o.query("SELECT " + ", ".join(f"{src} AS {dst}" for dst, src in m.items())
-                       + " FROM u2_install_der_raw", ["u2_install_der_raw"])
+        return o.query("""
+SELECT DER_ID AS der_id, DER_TYPE AS der_type, DER_NAMEPLATE_RATING AS nameplate_rating,
+       DER_INTERCONNECTION_LOCATION AS feeder_id, SERVICE_STREET_ADDRESS AS service_address,
+       INTERCONNECTION_COST AS interconnection_cost
+FROM u2_install_der_raw
+UNION ALL BY NAME
+SELECT DER_TYPE AS der_type, DER_NAMEPLATE_RATING AS nameplate_rating,
+       DER_INTERCONNECTION_LOCATION AS feeder_id, INTERCONNECTION_QUEUE_REQUEST_ID AS request_id,
+       INTERCONNECTION_QUEUE_POSITION AS queue_position, PLANNED_INSTALLATION_DATE AS planned_date,
+       DER_STATUS AS status, DER_STATUS_RATIONALE AS status_rationale
+FROM u2_planned_der_raw""", ["u2_install_der_raw", "u2_planned_der_raw"])
     if name == "type_map":
-        return o.query(f"SELECT DER_ID, trim(DER_TYPE) AS der_type_source, "
+        return o.query(f"SELECT DER_ID, INTERCONNECTION_QUEUE_REQUEST_ID, trim(DER_TYPE) AS der_type_source, "
                        f"{map_sql('trim(DER_TYPE)', U2_TYPE_TO_CANONICAL)} AS der_type "
-                       f"FROM u2_install_der_raw", ["u2_install_der_raw"])
+                       f"FROM (SELECT * FROM u2_install_der_raw UNION ALL BY NAME SELECT * FROM u2_planned_der_raw)",
+                       ["u2_install_der_raw", "u2_planned_der_raw"])
     if name == "project_type_map":
         return o.query(f"SELECT ProjectID, ProjectType, "
                        f"{map_sql('ProjectType', U1_PROJECT_TYPE_TO_CANONICAL)} AS project_type_canonical "
-                       f"FROM u1_install_der_raw", ["u1_install_der_raw"])
+                       f"FROM u1_der_raw", ["u1_der_raw"])
     if name == "unit_normalize":
+        kw = "SELECT project_id, nameplate_rating_kw FROM "
         return o.query("SELECT project_id, nameplate_rating_kw AS nameplate_rating_w, "
-                       "nameplate_rating_kw / 1000.0 AS nameplate_rating_kw FROM u1_install_der_clean",
-                       ["u1_install_der_clean"])
+                       f"nameplate_rating_kw / 1000.0 AS nameplate_rating_kw FROM ({kw} u1_install_der_clean "
+                       f"UNION ALL {kw} u1_planned_der_clean)", ["u1_install_der_clean", "u1_planned_der_clean"])
     if name == "global_ids":
+        ids = "SELECT project_id, feeder_id, _utility_id FROM "
         return o.query("SELECT project_id, feeder_id, "
                        "concat_ws('::', _utility_id, feeder_id) AS global_feeder_id_concat, "
                        "CASE WHEN feeder_id IS NOT NULL THEN concat_ws('::', _utility_id, feeder_id) END "
-                       "AS global_feeder_id_nullsafe FROM u1_planned_der_clean", ["u1_planned_der_clean"])
+                       f"AS global_feeder_id_nullsafe FROM ({ids} u1_install_der_clean "
+                       f"UNION ALL {ids} u1_planned_der_clean)", ["u1_install_der_clean", "u1_planned_der_clean"])
+    if name == "refresh_tables":
+        return refresh_tables_sql(o)
     if name == "expectation_metrics":
         return expectation_metrics_sql(o)
     if name == "contract_violations":
@@ -408,11 +442,11 @@ FROM u1_planned_der_raw""", ["u1_planned_der_raw"])
         return o.query("SELECT * FROM v_data_quality_report WHERE installed_null_feeder_pct > 5.0",
                        ["v_data_quality_report"])
     if name in ("csv_landing_read", "bronze_stream_ingest"):
-        cols = [c for c in raw_columns("u1_install_der_raw")
+        cols = [c for c in raw_columns("u1_der_raw")
                 if c not in ("_source_file", "_ingestion_ts", "_utility_id", "_environment")]
         src = ("SELECT " + ", ".join(cols) + ", CASE WHEN _source_file >= "
                "'landing/utility_1/installed_der/der_1998.csv' THEN 'added' END AS Notes "
-               "FROM u1_install_der_raw")
-        o.add("q_landed", src, ["u1_install_der_raw"])
+               "FROM u1_der_raw")
+        o.add("q_landed", src, ["u1_der_raw"])
         return o.query(normalize_sql("q_landed", cols + ["Notes"], NULL_TOKENS_8), ["q_landed"])
     raise KeyError(name)

@@ -19,16 +19,15 @@ from gridlake.registry import CONTRACTS, Expectation
 T0, T1 = dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1)
 
 
-def test_keeps_latest_record(spark):
-    df = spark.createDataFrame([("A", T0, "old"), ("A", T1, "new"), ("B", T0, "only")],
-                               "key string, _ingestion_ts timestamp, value string")
-    out = sorted((r.key, r.value) for r in latest_per_key(df, "key").collect())
-    assert out == [("A", "new"), ("B", "only")]
-
-
-def test_single_record_unchanged(spark):
-    df = spark.createDataFrame([("A", T0)], "key string, _ingestion_ts timestamp")
-    assert latest_per_key(df, "key").count() == 1
+def test_latest_row_of_each_key_against_a_dictionary(spark):
+    rows = [(f"k{n * n % 23}", T0 + dt.timedelta(hours=n * 37 % 101), n) for n in range(100)]
+    want = {}
+    for key, at, n in sorted(rows, key=lambda r: (r[1], r[2])):
+        want[key] = n
+    df = spark.createDataFrame(rows, "asset string, _ingestion_ts timestamp, reading int")
+    for parts in (1, 5):
+        got = latest_per_key(df.repartition(parts), "asset").collect()
+        assert len(got) == len(want) and {r.asset: r.reading for r in got} == want
 
 
 def test_ties_are_deterministic(spark):
