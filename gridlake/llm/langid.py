@@ -93,10 +93,11 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     ``sample`` or so texts of the smallest hash of key; their vectors, of a
     fixed length, are what comes to the driver."""
     labelled = labelled.filter("lang is not null and text is not null")
-    sizes = labelled.groupBy("lang").agg(F.count("*").alias("n_lang"))
-    rate = F.col("n_lang").cast("double")
+    # a row for each language, as the model has: literals, so no text is shuffled
+    sizes = labelled.groupBy("lang").count().collect()
+    rate = F.create_map(*[F.lit(x) for r in sizes for x in (r["lang"], float(r["count"]))])[F.col("lang")] if sizes else F.lit(0.0)
     part = F.pmod(F.xxhash64(F.lit("langid"), F.col("key")), F.lit(1 << 30)) / float(1 << 30)
-    taken = labelled.join(sizes, "lang").filter(part * rate < sample).select("lang", "text")
+    taken = labelled.filter(part * rate < sample).select("lang", "text")
 
     def vectors(batches):
         for batch in batches:
