@@ -429,7 +429,10 @@ def fit(pages: DataFrame) -> dict:
     """Trees trained on generated pages with the words of ``SAMPLE`` pages
     (those of the smallest hash of page_id)."""
     rows = pages.filter("html is not null").select(
-        F.xxhash64(F.lit("dom"), "page_id").alias("k"), F.substring("html", 1, 20000).alias("h")).orderBy("k", "h").limit(SAMPLE).collect()
+        F.xxhash64(F.lit("dom"), "page_id").alias("k"), F.substring("html", 1, 20000).alias("h"))
+    # the hashes are chosen before any text comes to the driver
+    keys = [r.k for r in rows.select("k").distinct().orderBy("k").limit(SAMPLE).collect()]
+    rows = rows.filter(F.col("k").isin(keys)).groupBy("k").agg(F.min("h").alias("h")).collect()
     words = [w for r in rows for n in parse(r.h) for t in n.order if not isinstance(t, Node) for w in t.split()]
     return grow(*training_rows(sorted(words) or _SPARE))
 
