@@ -18,13 +18,16 @@ from gridlake.llm.mixing import mix_sources
 from gridlake.llm.spaced import decontaminate
 from gridlake.llm.substring import remove_repeats
 
+#: similarity of five-word shingle sets from which documents are duplicates
+SIMILAR_PERCENT = 80
+
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return keep_identified(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_near_duplicates(docs)
+    return drop_near_duplicates(docs, percent=SIMILAR_PERCENT)
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -35,6 +35,14 @@ def store(df: DataFrame, name: str, rows: int | None = None, per_file: int = 100
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free_name(name: str, *frames: DataFrame) -> str:
+    """``name``, or a longer one if a column of the frames is called so."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def held_out(doc_id: str = "doc_id"):
     """Rows kept out of training: crc32 of the id's text, modulo 5, is 0."""
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 5 == 0, F.lit(False))

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _P, Texts, components, longs, map_texts, mix, store
+from .common import _P, Texts, components, free_name, longs, map_texts, mix, store
 
 SHINGLE = 5
 ROWS, BANDS = 6, 26
@@ -279,6 +279,7 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
 
 def drop_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
     """The rows of documents, with all their columns, that their group keeps."""
-    kept = near_duplicates(documents, percent).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept_id = free_name("_kept", documents)
+    kept = near_duplicates(documents, percent).filter("kept").select(F.col("doc_id").alias(kept_id)).distinct()
     kept = store(kept, "kept")
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col("_kept")), "left_semi")
+    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import free_name, store
 
 #: counted positions of each mask
 MASKS = ((0, 1, 3, 6, 8, 9), (0, 2, 3, 4, 7, 9))
@@ -93,5 +93,6 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents that overlap with no benchmark item, with all
     their columns. A document's null doc_id is an id like any other."""
-    bad = store(contamination(documents, benchmark).select(F.col("doc_id").alias("_bad")).distinct(), "contaminated")
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col("_bad")), "left_anti")
+    bad_id = free_name("_bad", documents)
+    bad = store(contamination(documents, benchmark).select(F.col("doc_id").alias(bad_id)).distinct(), "contaminated")
+    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(bad_id)), "left_anti")

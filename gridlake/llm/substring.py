@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import _IP, _P, _pow, Texts, lists, longs, map_texts, mix, slices, store
+from .common import _IP, _P, _pow, Texts, free_name, lists, longs, map_texts, mix, slices, store
 
 WINDOW = 50
 ROUNDS = 2
@@ -230,20 +230,22 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     that ``dedup_substrings`` removes. A changed text has its words joined by
     one space, and n_chars (if there) its new length; rows that lose all their
     words go."""
+    own_seq, of_id, of_seq, kept = (free_name(c, documents) for c in ("_seq", "_id", "_s", "_kept"))
+
     def name(batches):
         for batch in batches:
             seq = [_text_name(t.hashes(), t) for _, _, t in slices(batch.column("text"))]
-            yield batch.append_column("_seq", longs(np.concatenate(seq) if seq else np.zeros(0, np.uint64)))
+            yield batch.append_column(own_seq, longs(np.concatenate(seq) if seq else np.zeros(0, np.uint64)))
 
-    schema = StructType(documents.schema.fields + [StructField("_seq", LongType())])
+    schema = StructType(documents.schema.fields + [StructField(own_seq, LongType())])
     rows, cuts = repeated_passages(documents)
-    whole = rows.filter("whole").select(F.col("doc_id").alias("_id"), F.col("seq").alias("_s")).distinct()
-    cuts = cuts.select(F.col("doc_id").alias("_id"), F.col("seq").alias("_s"), F.col("kept").alias("_kept"))
-    changes = store(cuts.union(whole.select("_id", "_s", F.lit("").alias("_kept"))), "changes")
+    whole = rows.filter("whole").select(F.col("doc_id").alias(of_id), F.col("seq").alias(of_seq)).distinct()
+    cuts = cuts.select(F.col("doc_id").alias(of_id), F.col("seq").alias(of_seq), F.col("kept").alias(kept))
+    changes = store(cuts.union(whole.withColumn(kept, F.lit(""))), "changes")
     out = documents.mapInArrow(name, schema).join(
-        changes, (F.col("doc_id") == F.col("_id")) & (F.col("_seq") == F.col("_s")), "left")
-    out = out.filter("_kept is null or _kept <> ''").withColumn("text", F.coalesce("_kept", "text"))
+        changes, (F.col("doc_id") == F.col(of_id)) & (F.col(own_seq) == F.col(of_seq)), "left")
+    out = out.filter(F.col(kept).isNull() | (F.col(kept) != "")).withColumn("text", F.coalesce(kept, "text"))
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
-        out = out.withColumn("n_chars", F.when(F.col("_kept").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
+        out = out.withColumn("n_chars", F.when(F.col(kept).isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))
     return out.select(documents.columns)

@@ -55,7 +55,7 @@ def split(text):
 
 # -- near-duplicates -------------------------------------------------------------
 
-def brute_components(rows):
+def brute_components(rows, percent=85):
     sets = []
     for _, text in rows:
         w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in split(text)]
@@ -69,7 +69,7 @@ def brute_components(rows):
     for i in range(len(rows)):
         for j in range(i):
             both = len(sets[i] & sets[j])
-            if sets[i] and 100 * both >= 85 * len(sets[i] | sets[j]):
+            if sets[i] and 100 * both >= percent * len(sets[i] | sets[j]):
                 root[find(i)] = find(j)
     least = {}
     for i, (d, _) in enumerate(rows):
