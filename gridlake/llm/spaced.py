@@ -35,14 +35,21 @@ def tokens(text: str) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(h: str) -> Column:
-    """(at, seed) of each mask on each position of an array of token hashes."""
-    starts = F.when(F.size(h) >= SPAN, F.sequence(F.lit(0), F.size(h) - SPAN)).otherwise(F.array().cast("array<int>"))
+def seeds(texts: DataFrame, h: str, *keep: str) -> DataFrame:
+    """(keep, at, seed) of each mask on each position of an array of token
+    hashes. Positions are made first, and hashed as rows in compiled code."""
+    places = F.when(F.size(h) >= SPAN, F.sequence(F.lit(0), (F.size(h) - SPAN + 1) * len(MASKS) - 1)).otherwise(
+        F.array().cast("array<int>"))
+    at, mask = F.floor(F.col("_place") / len(MASKS)).cast("int"), F.col("_place") % len(MASKS)
 
-    def one(k: int, at: Column) -> Column:
-        return F.struct(at.alias("at"), F.xxhash64(F.lit(k), *[F.get(F.col(h), at + p) for p in MASKS[k]]).alias("seed"))
+    def one(k: int) -> Column:
+        return F.xxhash64(F.lit(k), *[F.get(F.col(h), F.col("at") + p) for p in MASKS[k]])
 
-    return F.flatten(F.transform(starts, lambda at: F.array(*[one(k, at) for k in range(len(MASKS))])))
+    seed = one(0)
+    for k in range(1, len(MASKS)):
+        seed = F.when(mask == k, one(k)).otherwise(seed)
+    placed = texts.select(*keep, h, F.explode(places).alias("_place")).withColumn("at", at)
+    return placed.select(*keep, "at", seed.alias("seed"))
 
 
 def _best(agree: Column) -> Column:
@@ -66,11 +73,9 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     * extra columns are not read; empty tables give an empty result.
     """
     items = store(benchmark.select("item_id", tokens("text").alias("item")).distinct(), "items")
-    probes = store(items.select("item_id", F.explode(seeds("item")).alias("x")).select(
-        "item_id", F.col("x.at").alias("item_at"), F.col("x.seed").alias("seed")).distinct(), "seeds")
+    probes = store(seeds(items, "item", "item_id").withColumnRenamed("at", "item_at").distinct(), "seeds")
     texts = documents.select("doc_id", tokens("text").alias("h"))
-    found = texts.select("doc_id", F.explode(seeds("h")).alias("x")).select(
-        "doc_id", F.col("x.at").alias("at"), F.col("x.seed").alias("seed"))
+    found = seeds(texts, "h", "doc_id")
     known = F.broadcast(probes) if probes.count() <= BROADCAST_SEEDS else probes
     hits = found.join(known, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("start"))
     hits = store(hits.distinct(), "hits")
