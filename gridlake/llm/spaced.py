@@ -1,13 +1,17 @@
 """Benchmark decontamination by spaced seeds.
 
 Texts and benchmark items are lower-cased and split into tokens, the runs of
-letters and digits. A mask of ``SPAN`` positions, of which ``WEIGHT`` count,
-is laid on every position; the hash of the counted tokens is a seed. Tokens on
-ignored positions may differ, so a passage with substitutions still shares
-seeds with its item. Shared seeds give diagonals (the item's place in the
-text); on each the whole overlap of text and item is compared token by token,
-and it is a match if some ``LEAST`` consecutive tokens of it (all of a shorter
-item) agree in at least ``AGREE`` percent.
+letters and digits. Masks of counted positions are laid on every position; the
+hash of the counted tokens is a seed. Tokens on other positions may differ, so
+a passage with substitutions still shares seeds with its item. Shared seeds
+give diagonals (the item's place in the text); on each the whole overlap of
+text and item is compared token by token, and it is a match if some ``LEAST``
+consecutive tokens of it (all of a shorter item) agree in at least ``AGREE``
+percent.
+
+The masks leave out nothing that this rule accepts: wherever the differing
+tokens that ``AGREE`` allows stand in ``LEAST`` tokens (or in a shorter item),
+some mask counts none of them in one of its places.
 
 Only DataFrame functions are used. Benchmark seeds are broadcast where their
 measured number is small enough, else joined by shuffle.
@@ -15,14 +19,30 @@ measured number is small enough, else joined by shuffle.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import free_name, store
 
-#: counted positions of each mask
-MASKS = ((0, 1, 3, 6, 8, 9), (0, 2, 3, 4, 7, 9))
-SPAN = 10
+#: counted positions of the masks for each number of tokens compared, found by
+#: enumerating the placements of the tokens that may differ
+MASKS = {
+    1: ((0,),),
+    2: ((0, 1),),
+    3: ((0, 1, 2),),
+    4: ((0, 1, 2), (0, 1, 3), (0, 2, 3)),
+    5: ((0, 1, 2), (0, 1, 3)),
+    6: ((0, 1, 2, 3), (0, 1, 3, 4)),
+    7: ((0, 1, 3, 4),),
+    8: ((0, 1, 3, 4), (0, 1, 2, 3), (0, 1, 5, 6)),
+    9: ((0, 1, 2, 4, 5), (0, 3, 4, 5, 6), (0, 1, 3, 6, 7), (0, 1, 2, 3, 5)),
+    10: ((0, 1, 2, 4, 5), (0, 1, 3, 6, 7), (0, 1, 2, 3, 4)),
+    11: ((0, 1, 2, 3, 7, 8), (0, 1, 3, 4, 5, 6), (0, 1, 5, 6, 8, 9)),
+    12: ((0, 1, 2, 4, 5), (0, 1, 3, 7, 8), (0, 1, 4, 6, 7), (0, 1, 3, 4, 5)),
+    13: ((0, 1, 2, 4, 5), (0, 1, 6, 8, 9), (0, 1, 3, 4, 5)),
+}
 LEAST = 13
 AGREE = 75
 #: benchmark seeds that may be broadcast (24 bytes each)
@@ -35,20 +55,21 @@ def tokens(text: str) -> Column:
     return F.transform(F.filter(words, lambda w: w != ""), lambda w: F.xxhash64(w))
 
 
-def seeds(texts: DataFrame, h: str, *keep: str) -> DataFrame:
+def seeds(texts: DataFrame, h: str, masks: list[tuple[int, ...]], *keep: str) -> DataFrame:
     """(keep, at, seed) of each mask on each position of an array of token
     hashes. Positions are made first, and hashed as rows in compiled code."""
-    places = F.when(F.size(h) >= SPAN, F.sequence(F.lit(0), (F.size(h) - SPAN + 1) * len(MASKS) - 1)).otherwise(
-        F.array().cast("array<int>"))
-    at, mask = F.floor(F.col("_place") / len(MASKS)).cast("int"), F.col("_place") % len(MASKS)
-
-    def one(k: int) -> Column:
-        return F.xxhash64(F.lit(k), *[F.get(F.col(h), F.col("at") + p) for p in MASKS[k]])
-
-    seed = one(0)
-    for k in range(1, len(MASKS)):
-        seed = F.when(mask == k, one(k)).otherwise(seed)
-    placed = texts.select(*keep, h, F.explode(places).alias("_place")).withColumn("at", at)
+    places = F.when(F.size(h) > 0, F.sequence(F.lit(0), F.size(h) * len(masks) - 1)).otherwise(F.array().cast("array<int>"))
+    at, mask = F.floor(F.col("_place") / len(masks)).cast("int"), F.col("_place") % len(masks)
+
+    def one(m: tuple[int, ...]) -> Column:
+        # a mask is named by its positions: equal in every set of masks
+        return F.xxhash64(F.lit(" ".join(map(str, m))), *[F.get(F.col(h), F.col("at") + p) for p in m])
+
+    seed, last = one(masks[0]), F.lit(masks[0][-1])
+    for k in range(1, len(masks)):
+        seed = F.when(mask == k, one(masks[k])).otherwise(seed)
+        last = F.when(mask == k, masks[k][-1]).otherwise(last)
+    placed = texts.select(*keep, h, F.explode(places).alias("_place")).withColumn("at", at).filter(F.col("at") + last < F.size(h))
     return placed.select(*keep, "at", seed.alias("seed"))
 
 
@@ -66,16 +87,21 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     compared and n_agree, of the best diagonal; clean documents have no row.
 
     * null or empty text on either side: no tokens, no row;
-    * items or texts under ``SPAN`` tokens have no seed and no row;
+    * an item under ``LEAST`` tokens is matched as a whole, so one of up to
+      three tokens only where all of them agree;
     * null doc_id or item_id: matched like any other id;
     * repeated rows: rows with one doc_id (or item_id) are one document (item);
     * ties between diagonals go to the smallest start;
     * extra columns are not read; empty tables give an empty result.
     """
     items = store(benchmark.select("item_id", tokens("text").alias("item")).distinct(), "items")
-    probes = store(seeds(items, "item", "item_id").withColumnRenamed("at", "item_at").distinct(), "seeds")
+    width = F.least(F.lit(LEAST), F.size("item"))
+    # a row for each number of tokens compared that occurs
+    widths = sorted(r.width for r in items.select(width.alias("width")).distinct().collect() if r.width) or [LEAST]
+    own = [seeds(items.filter(width == w), "item", list(MASKS[w]), "item_id") for w in widths]
+    probes = store(reduce(DataFrame.union, own).withColumnRenamed("at", "item_at").distinct(), "seeds")
     texts = documents.select("doc_id", tokens("text").alias("h"))
-    found = seeds(texts, "h", "doc_id")
+    found = seeds(texts, "h", sorted({m for w in widths for m in MASKS[w]}), "doc_id")
     known = F.broadcast(probes) if probes.count() <= BROADCAST_SEEDS else probes
     hits = found.join(known, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("start"))
     hits = store(hits.distinct(), "hits")

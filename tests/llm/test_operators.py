@@ -6,6 +6,7 @@ import hashlib
 import random
 import re
 from collections import defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -200,6 +201,49 @@ def test_contamination_finds_whole_items(spark, small):
     assert want and {(r.doc_id, r.item_id) for r in spaced.contamination(small, bench).collect()} == want
 
 
+def test_masks_meet_every_placement():
+    for n, masks in spaced.MASKS.items():
+        differ = n - -(-spaced.AGREE * n // 100)
+        places = [{at + p for p in m} for m in masks for at in range(n - m[-1])]
+        assert all(any(not p & set(bad) for p in places) for bad in combinations(range(n), differ)), n
+    assert sorted(spaced.MASKS) == list(range(1, spaced.LEAST + 1))
+
+
+def brute_contamination(docs, items):
+    found = {}
+    for d, text in docs:
+        h = re.findall(r"[^\W_]+", text.lower())
+        for i, item in items:
+            q = item.split()
+            wide = min(spaced.LEAST, len(q))
+            for start in range(-len(q) + 1, len(h)):
+                low, high = max(0, -start), min(len(q), len(h) - start)
+                agree = [h[k + start] == q[k] for k in range(low, high)]
+                most = max((sum(agree[k:k + wide]) for k in range(len(agree) - wide + 1)), default=-1)
+                if 100 * most >= spaced.AGREE * wide:
+                    found[d, i] = max(found.get((d, i), (0, -10**9, 0)), (sum(agree), -start, len(agree)))
+    return {k: (-back, n, same) for k, (same, back, n) in found.items()}
+
+
+def test_contamination_keeps_the_whole_rule(spark):
+    """Items of every length, with substitutions on every 4th token and on
+    random ones, cut at the text's ends, and in between other words."""
+    rng = random.Random(14)
+    items = [(n, " ".join(f"i{n}x{k}" for k in range(n))) for n in (*range(1, 18), 40)]
+    docs = []
+    for n, item in items:
+        for turn in range(24):
+            q = item.split()
+            for k in range(turn % 4, n, 4) if turn < 4 else rng.sample(range(n), min(n, rng.randrange(5))):
+                q[k] = "other"
+            q = q[rng.randrange(3):] if turn % 6 == 5 else q
+            docs.append((len(docs), f"{words(rng, turn % 3)} {' '.join(q)} {words(rng, turn % 5)}"))
+    want = brute_contamination(docs, items)
+    got = spaced.contamination(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r.doc_id, r.item_id): (r.start, r.n_tokens, r.n_agree) for r in got.collect()} == want
+    assert {i for _, i in want} == {i for i, _ in items}
+
+
 def test_contamination_runs_no_python(spark, small):
     plan = spaced.contamination(small, spark.read.parquet(f"{SF}/benchmark.parquet"))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
