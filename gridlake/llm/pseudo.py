@@ -7,12 +7,14 @@ word's probability is that of its class times its share of the class, taken
 from the counts of all words of all documents. A text's score is the sum of
 its tokens' conditional log-probabilities.
 
-The word counts cover the whole corpus. The network is trained in numpy where
-the documents are: in each of ``ROUNDS`` rounds every task runs AdaGrad over
-a hash-chosen ``1 / SHARE`` of its documents (other ones each round), starting from
-the same weights, and the tasks' weights are averaged by tokens in Spark. What
-is counted and trained on grows with the corpus; what reaches the driver is
-the model, of fixed size.
+The word counts cover the whole corpus, and each word's own count makes its
+share: tasks hold those of the ``KNOWN`` most frequent words, and all others
+are joined from the stored counts, once for each word of a document. The
+network is trained in numpy where the documents are: in each of ``ROUNDS`` rounds
+every task runs AdaGrad over a hash-chosen ``1 / SHARE`` of its documents (other
+ones each round), starting from the same weights, and the tasks' weights are
+averaged by tokens in Spark. What is counted and trained on grows with the corpus; what
+reaches the driver is the model, of fixed size.
 """
 
 from __future__ import annotations
@@ -22,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Texts, longs, map_texts, slices, store
+from .common import Texts, lists, longs, map_texts, slices, store
 
 SIDE = 2
 HIDDEN = 24
@@ -30,7 +32,7 @@ HIDDEN = 24
 OWN_ROWS, SHARED_ROWS = 768, 256
 #: words that are a class of their own, and classes that the others share by hash
 OWN_CLASSES, SHARED_CLASSES = 48, 16
-#: words whose share of their class is known one by one
+#: words whose counts every task holds; the others' are joined
 KNOWN = 4096
 ROUNDS, SHARE = 2, 8
 BATCH, STEP = 4096, 0.05
@@ -73,44 +75,50 @@ def word_counts(documents: DataFrame) -> DataFrame:
     return documents.select("text").mapInArrow(run, "word long, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def vocabulary(documents: DataFrame) -> dict:
-    """The words by count, their classes and shares of them."""
-    counts = store(word_counts(documents), "words")
+def vocabulary(documents: DataFrame, counts: DataFrame | None = None) -> dict:
+    """The ``KNOWN`` most frequent words, their classes and shares of them, and
+    the share that a count of one has of each class. ``counts`` are the stored
+    word counts of the documents."""
+    counts = store(word_counts(documents), "words") if counts is None else counts
     top = [(r.word, r.n) for r in counts.orderBy(F.desc("n"), "word").limit(KNOWN).collect()]
     word = np.array([w for w, _ in top], dtype=np.int64).view(np.uint64)
     n = np.array([c for _, c in top], dtype=np.float64)
     # the classes' sums, of all words, are taken where the counts are
     own = [int(w) for w, _ in top[:OWN_CLASSES]]
     shared = counts.filter(~F.col("word").isin(own)) if own else counts
-    rest = {r["class"]: (r.n, r.types) for r in shared.groupBy(_shared_class().alias("class")).agg(
-        F.sum("n").alias("n"), F.count("*").alias("types")).collect()}
+    rest = {r["class"]: r.n for r in shared.groupBy(_shared_class().alias("class")).agg(F.sum("n").alias("n")).collect()}
     kind = OWN_CLASSES + (word >> np.uint64(32)).astype(np.int64) % SHARED_CLASSES
     kind[:OWN_CLASSES] = np.arange(len(kind[:OWN_CLASSES]))
-    total, types = np.zeros(OWN_CLASSES + SHARED_CLASSES), np.zeros(OWN_CLASSES + SHARED_CLASSES)
-    for c, (m, t) in rest.items():
-        total[c], types[c] = m, t
+    total = np.zeros(OWN_CLASSES + SHARED_CLASSES)
+    for c, m in rest.items():
+        total[c] = m
     share = np.zeros(len(word))
     share[OWN_CLASSES:] = np.log(n[OWN_CLASSES:]) - np.log(total[kind[OWN_CLASSES:]])
-    left, kinds = total.copy(), types.copy()
-    np.subtract.at(left, kind[OWN_CLASSES:], n[OWN_CLASSES:])
-    np.subtract.at(kinds, kind[OWN_CLASSES:], 1)
-    other = np.log(np.maximum(left, 1) / np.maximum(kinds, 1) / np.maximum(total, 1))
+    one = -np.log(np.maximum(total, 1))
     order = np.argsort(word)
-    return {"word": word[order], "rank": order, "kind": kind[order], "share": share[order], "other": other}
+    return {"word": word[order], "rank": order, "kind": kind[order], "share": share[order], "one": one}
 
 
 def _shared_class():
     return (F.lit(OWN_CLASSES) + F.shiftrightunsigned("word", 32) % SHARED_CLASSES).cast("int")
 
 
+def lookup(h: np.ndarray, vocab: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's place among the known words, and whether it is one."""
+    if not len(vocab["word"]):
+        return np.zeros(len(h), dtype=np.int64), np.zeros(len(h), dtype=bool)
+    at = np.minimum(np.searchsorted(vocab["word"], h), len(vocab["word"]) - 1)
+    return at, vocab["word"][at] == h
+
+
 def encode(h: np.ndarray, vocab: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Input row, class and log share of its class, of each word."""
+    """Input row, class and log share of its class, of each word. The log of
+    its count is still to be added to the share of a word that is not known."""
     row = OWN_ROWS + ((h >> np.uint64(16)) % np.uint64(SHARED_ROWS)).astype(np.int64)
     kind = OWN_CLASSES + (h >> np.uint64(32)).astype(np.int64) % SHARED_CLASSES
-    share = vocab["other"][kind]
-    if len(vocab["word"]):
-        at = np.minimum(np.searchsorted(vocab["word"], h), len(vocab["word"]) - 1)
-        hit = vocab["word"][at] == h
+    share = vocab["one"][kind]
+    at, hit = lookup(h, vocab)
+    if hit.any():
         rank = vocab["rank"][at]
         row = np.where(hit & (rank < OWN_ROWS), rank, row)
         kind = np.where(hit, vocab["kind"][at], kind)
@@ -118,6 +126,17 @@ def encode(h: np.ndarray, vocab: dict) -> tuple[np.ndarray, np.ndarray, np.ndarr
     return row, kind, share
 
 
+def others(h: np.ndarray, doc: np.ndarray, n: int, vocab: dict) -> pa.Array:
+    """For each of n texts, its words that are not known and how often it has them."""
+    left = np.flatnonzero(~lookup(h, vocab)[1])
+    left = left[np.lexsort((h[left], doc[left]))]
+    word, of = h[left], doc[left]
+    head = np.flatnonzero(np.concatenate([[True], (word[1:] != word[:-1]) | (of[1:] != of[:-1])])) if len(left) else left
+    times = np.diff(np.append(head, len(left)))
+    pairs = pa.StructArray.from_arrays([longs(word[head]), longs(times)], ["word", "times"])
+    return lists(pairs, np.bincount(of[head], minlength=n))
+
+
 def neighbours(row: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """The input rows of the words at -SIDE .. -1, 1 .. SIDE; the last row of
     a table stands for the text's outside."""
@@ -224,12 +243,13 @@ def score(documents: DataFrame) -> DataFrame:
     * extra columns are not read; an empty table gives an empty result.
     """
     documents = documents.select("doc_id", "text")
-    vocab = vocabulary(documents)
+    counts = store(word_counts(documents), "words")
+    vocab = vocabulary(documents, counts)
     weights = train(documents, vocab)
 
     def run(rows: pa.RecordBatch, texts: Texts) -> dict:
-        net = Network(weights)
-        row, kind, share = encode(texts.hashes(), vocab)
+        net, h = Network(weights), texts.hashes()
+        row, kind, share = encode(h, vocab)
         doc = texts.doc()
         near = neighbours(row, doc)
         log = np.zeros(len(row))
@@ -237,9 +257,14 @@ def score(documents: DataFrame) -> DataFrame:
             _, z = net.forward(near[a:a + BATCH])
             own = z[np.arange(len(z)), kind[a:a + BATCH]]
             log[a:a + BATCH] = own - np.log(np.exp(z).sum(1)) + share[a:a + BATCH]
-        n = np.diff(texts.first)
-        total = np.bincount(doc, log, len(texts))
-        return {"doc_id": rows.column("doc_id").cast(pa.int64()), "n_tokens": longs(n), "log_prob": pa.array(total),
-                "mean_log_prob": pa.array(total / np.maximum(n, 1), mask=n == 0)}
-
-    return map_texts(documents, run, "doc_id long, n_tokens long, log_prob double, mean_log_prob double")
+        return {"row": rows.column("row"), "doc_id": rows.column("doc_id").cast(pa.int64()), "n_tokens": longs(np.diff(texts.first)),
+                "log": pa.array(np.bincount(doc, log, len(texts))), "others": others(h, doc, len(texts), vocab)}
+
+    # stored, so that a row keeps its number
+    judged = store(map_texts(documents.withColumn("row", F.monotonically_increasing_id()), run,
+                             "row long, doc_id long, n_tokens long, log double, others array<struct<word:long,times:long>>"), "judged")
+    held = judged.select("row", F.inline("others")).join(counts, "word").groupBy("row").agg(
+        F.sum(F.col("times") * F.log("n")).alias("more"))
+    total = F.col("log") + F.coalesce("more", F.lit(0.0))
+    return judged.drop("others").join(held, "row", "left").select(
+        "doc_id", "n_tokens", total.alias("log_prob"), F.when(F.col("n_tokens") > 0, total / F.col("n_tokens")).alias("mean_log_prob"))

@@ -413,3 +413,15 @@ def test_lm_class_shares_sum_to_one(spark, odd):
     _, kind, share = pseudo.encode(h, vocab)
     for k in np.unique(kind):
         assert np.exp(share[kind == k]).sum() == pytest.approx(1, abs=1e-6)
+
+
+def test_lm_takes_every_words_own_count(spark, odd, monkeypatch):
+    few = odd.filter("doc_id < 14").coalesce(1)
+    assert pseudo.word_counts(few).count() > 2 * pseudo.OWN_ROWS
+    whole = pseudo.score(few).collect()
+    monkeypatch.setattr(pseudo, "KNOWN", pseudo.OWN_ROWS)
+    got = pseudo.score(few).collect()
+    for rows in (whole, got):
+        rows.sort(key=lambda r: (r.doc_id, r.log_prob))
+    assert [(r.doc_id, r.n_tokens) for r in got] == [(r.doc_id, r.n_tokens) for r in whole]
+    assert [r.log_prob for r in got] == pytest.approx([r.log_prob for r in whole], rel=1e-5)
