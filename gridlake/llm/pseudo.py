@@ -10,10 +10,10 @@ its tokens' conditional log-probabilities.
 The word counts cover the whole corpus, and each word's own count makes its
 share: tasks hold those of the ``KNOWN`` most frequent words, and all others
 are joined from the stored counts, once for each word of a document. The
-network is trained in numpy where the documents are: in each of ``ROUNDS`` rounds
-every task runs AdaGrad over a hash-chosen ``1 / SHARE`` of its documents (other
-ones each round), starting from the same weights, and the tasks' weights are
-averaged by tokens in Spark. What is counted and trained on grows with the corpus; what
+network is trained in numpy where the documents are: every document is in one
+of ``ROUNDS`` rounds, by hash; in each of them every task runs AdaGrad over its
+documents, starting from the same weights, and the tasks' weights are averaged
+by tokens in Spark. What is counted and trained on grows with the corpus; what
 reaches the driver is the model, of fixed size.
 """
 
@@ -34,7 +34,8 @@ OWN_ROWS, SHARED_ROWS = 768, 256
 OWN_CLASSES, SHARED_CLASSES = 48, 16
 #: words whose counts every task holds; the others' are joined
 KNOWN = 4096
-ROUNDS, SHARE = 2, 8
+#: parts of the documents, each trained on in a round of its own
+ROUNDS = 2
 BATCH, STEP = 4096, 0.05
 #: words that a task counts before it hands the counts on
 HELD_WORDS = 1 << 20
@@ -201,7 +202,7 @@ def train(documents: DataFrame, vocab: dict) -> np.ndarray:
     """The weights, flat."""
     weights = Network().flat()
     for turn in range(ROUNDS):
-        part = F.pmod(F.xxhash64(F.lit("lm"), "doc_id", "text"), F.lit(SHARE)) == turn
+        part = F.pmod(F.xxhash64(F.lit("lm"), "doc_id", "text"), F.lit(ROUNDS)) == turn
 
         def run(batches, start=weights):
             net, seen, held = Network(start), 0, []

@@ -425,3 +425,10 @@ def test_lm_takes_every_words_own_count(spark, odd, monkeypatch):
         rows.sort(key=lambda r: (r.doc_id, r.log_prob))
     assert [(r.doc_id, r.n_tokens) for r in got] == [(r.doc_id, r.n_tokens) for r in whole]
     assert [r.log_prob for r in got] == pytest.approx([r.log_prob for r in whole], rel=1e-5)
+
+
+def test_lm_trains_on_every_document(spark, odd):
+    start = pseudo.Network().flat()
+    for k in range(1, 7):
+        one = spark.createDataFrame([(k, f"a b c {k}")], "doc_id long, text string")
+        assert not np.array_equal(pseudo.train(one, pseudo.vocabulary(one)), start)
