@@ -3,10 +3,11 @@
 A text is the L2-normalised TF-IDF vector of its character trigrams (letters
 lower-cased, anything else a single blank) hashed to ``DIMS`` places. Each
 language has up to ``CENTROIDS`` centroids from spherical k-means over a
-bounded sample of labelled texts. A text belongs to the language of the
-centroid with the highest cosine, and is rejected if that cosine is far lower
-than nearly all cosines of the language's training texts (for a text under
-``FULL`` letters, in proportion to the root of its length, as its cosine is).
+bounded sample of labelled texts; document frequencies and rejection thresholds
+are taken from all of them. A text belongs to the language of the centroid with
+the highest cosine, and is rejected if that cosine is lower than nearly all
+cosines of the language's training texts (for a text under ``FULL`` letters, in
+proportion to the root of its length, as its cosine is).
 """
 
 from __future__ import annotations
@@ -18,18 +19,21 @@ from pyspark.sql import functions as F
 
 from .common import _P, Texts, held_out, map_texts, mix
 
-DIMS = 2048
+DIMS = 1 << 14
 CENTROIDS = 4
-#: Labelled texts of each language that a model is fitted on, at most.
+#: Labelled texts of each language that centroids are made of, at most.
 SAMPLE = 1500
-#: A text is rejected under this fraction of the cosine that all but a
-#: hundredth of its language's training texts reach.
-REJECT = 0.5
+#: A text is rejected under this fraction of the cosine that all but
+#: ``LOW`` of its language's training texts reach.
+REJECT, LOW = 0.75, 0.005
+#: steps in which the training texts' cosines are counted
+STEPS = 1000
 FULL = 100
 
-def _grams(low: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Counts (texts x DIMS, float32) of hashed trigrams and the number of
-    letters of each text."""
+
+def _grams(low: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Text, place and count of the hashed trigrams, by text and place, and the
+    number of letters of each text."""
     points = [np.frombuffer(t.encode("utf-32-le", "surrogatepass"), dtype=np.uint32) for t in low]
     size = np.array([len(p) for p in points], dtype=np.int64)
     flat = np.concatenate(points) if points else np.zeros(0, dtype=np.uint32)
@@ -38,11 +42,13 @@ def _grams(low: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     letters = np.bincount(doc[letter], minlength=len(low))
     c = np.where(letter, flat, 32).astype(np.uint64)
     if len(c) < 3:
-        return np.zeros((len(low), DIMS), dtype=np.float32), letters
+        return np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.float32), letters
     value = (c[:-2] * np.uint64(0x1000003) ^ c[1:-1]) * np.uint64(0x1000003) ^ c[2:]
     ok = (doc[:-2] == doc[2:]) & (letter[:-2] | letter[1:-1] | letter[2:])
-    place = ((mix(value[ok] * np.uint64(_P)) % np.uint64(DIMS)).astype(np.int64)) + doc[:-2][ok] * DIMS
-    return np.bincount(place, minlength=len(low) * DIMS).reshape(len(low), DIMS).astype(np.float32), letters
+    at = ((mix(value[ok] * np.uint64(_P)) % np.uint64(DIMS)).astype(np.int64)) + doc[:-2][ok] * DIMS
+    counts = np.bincount(at, minlength=len(low) * DIMS)
+    at = np.flatnonzero(counts)
+    return at // DIMS, at % DIMS, counts[at].astype(np.float32), letters
 
 
 _is_letter: list[np.ndarray] = []
@@ -54,10 +60,21 @@ def _letters(points: np.ndarray) -> np.ndarray:
     return _is_letter[0][points]
 
 
-def _weigh(counts: np.ndarray, idf: np.ndarray) -> np.ndarray:
-    v = np.log1p(counts) * idf
-    norm = np.sqrt((v * v).sum(1, keepdims=True))
-    return v / np.where(norm == 0, 1, norm)
+def _weigh(doc: np.ndarray, place: np.ndarray, counts: np.ndarray, n: int, idf: np.ndarray) -> np.ndarray:
+    """The weight of each trigram in its text's vector, of n texts."""
+    v = np.log1p(counts) * idf[place]
+    norm = np.sqrt(np.bincount(doc, v * v, n)).astype(np.float32)
+    return v / np.where(norm == 0, 1, norm)[doc]
+
+
+def _cosines(doc: np.ndarray, place: np.ndarray, v: np.ndarray, n: int, centres: np.ndarray) -> np.ndarray:
+    """Texts x centres."""
+    out = np.zeros((n, len(centres)), dtype=np.float32)
+    if len(doc):
+        head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
+        across = np.ascontiguousarray(centres.T)
+        out[doc[head]] = np.add.reduceat(across[place] * v[:, None], head)
+    return out
 
 
 def _texts(column: pa.Array, step: int = 128):
@@ -88,10 +105,56 @@ def _k_means(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     return centre
 
 
+def _frequencies(labelled: DataFrame) -> tuple[int, np.ndarray]:
+    """The number of texts with letters, and of those with each place."""
+    def run(batches):
+        total, seen = np.zeros(DIMS, dtype=np.int64), 0
+        for batch in batches:
+            for low in _texts(batch.column("text")):
+                _, place, _, letters = _grams(low)
+                total += np.bincount(place, minlength=DIMS)
+                seen += int((letters > 0).sum())
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"place": pa.array(np.append(at, -1).astype(np.int32)), "n": pa.array(np.append(total[at], seen))})
+
+    got = {r.place: r.n for r in labelled.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
+    out = np.zeros(DIMS)
+    for k, n in got.items():
+        if k >= 0:
+            out[k] = n
+    return got.get(-1, 0), out
+
+
+def _floors(labelled: DataFrame, model: dict) -> np.ndarray:
+    """Each language's rejection threshold, from the cosines of all its texts
+    with its own centroids."""
+    index = {x: k for k, x in enumerate(model["langs"])}
+
+    def run(batches):
+        total = np.zeros(len(index) * (STEPS + 1), dtype=np.int64)
+        for batch in batches:
+            names, at = batch.column("lang").to_pylist(), 0
+            for low in _texts(batch.column("text")):
+                lang = np.array([index.get(x, -1) for x in names[at:at + len(low)]])
+                cos, letters = _similar(low, model)
+                ok = np.flatnonzero((letters > 0) & (lang >= 0))
+                full = cos[ok, lang[ok]] / np.sqrt(np.minimum(letters[ok] / FULL, 1))
+                total += np.bincount(lang[ok] * (STEPS + 1) + (np.clip(full, 0, 1) * STEPS).astype(np.int64), minlength=len(total))
+                at += len(low)
+        at = np.flatnonzero(total)
+        yield pa.RecordBatch.from_pydict({"at": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
+
+    total = np.zeros((len(index), STEPS + 1))
+    for r in labelled.select("lang", "text").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+        total[r["at"] // (STEPS + 1), r["at"] % (STEPS + 1)] = r["n"]
+    below = np.cumsum(total, axis=1)
+    return np.array([REJECT * int(np.searchsorted(b, LOW * b[-1], side="right")) / STEPS for b in below])
+
+
 def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     """A model from ``labelled (text, lang, key)``. Each language gives its
-    ``sample`` or so texts of the smallest hash of key; their vectors, of a
-    fixed length, are what comes to the driver."""
+    ``sample`` or so texts of the smallest hash of key to the centroids; their
+    vectors are what comes to the driver."""
     labelled = labelled.filter("lang is not null and text is not null")
     # a row for each language, as the model has: literals, so no text is shuffled
     sizes = labelled.groupBy("lang").count().collect()
@@ -103,41 +166,54 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
         for batch in batches:
             names, at = batch.column("lang").to_pylist(), 0
             for low in _texts(batch.column("text")):
-                g, letters = _grams(low)
+                doc, place, counts, letters = _grams(low)
+                first = np.searchsorted(doc, np.arange(len(low) + 1))
                 keep = [i for i in range(len(low)) if letters[i]]
+                place, counts = place.astype(np.uint16), np.minimum(counts, 65535).astype(np.uint16)
                 yield pa.RecordBatch.from_pydict({
                     "lang": pa.array([names[at + i] for i in keep], type=pa.string()),
-                    "counts": pa.array([np.minimum(g[i], 65535).astype(np.uint16).tobytes() for i in keep], type=pa.binary())})
+                    "places": pa.array([place[first[i]:first[i + 1]].tobytes() for i in keep], type=pa.binary()),
+                    "counts": pa.array([counts[first[i]:first[i + 1]].tobytes() for i in keep], type=pa.binary())})
                 at += len(low)
 
-    rows = taken.mapInArrow(vectors, "lang string, counts binary").collect()
+    rows = taken.mapInArrow(vectors, "lang string, places binary, counts binary").collect()
     names = sorted({r.lang for r in rows})
     if not names:
         return {"langs": [], "idf": np.ones(DIMS, np.float32), "centres": np.zeros((0, DIMS), np.float32), "of": np.zeros(0, int), "floor": np.zeros(0)}
-    rows.sort(key=lambda r: (r.lang, r.counts))
-    counts = np.stack([np.frombuffer(r.counts, dtype=np.uint16) for r in rows]).astype(np.float32)
-    lang = np.array([names.index(r.lang) for r in rows])
-    idf = (np.log((1 + len(rows)) / (1 + (counts > 0).sum(0))) + 1).astype(np.float32)
-    v = _weigh(counts, idf)
-    centres, of, floor = [], [], []
-    for k in range(len(names)):
-        c = _k_means(v[lang == k], CENTROIDS)
+    seen, having = _frequencies(labelled)
+    idf = (np.log((1 + seen) / (1 + having)) + 1).astype(np.float32)
+    rows.sort(key=lambda r: (r.lang, r.places, r.counts))
+    centres, of = [], []
+    for k, name in enumerate(names):
+        own = [r for r in rows if r.lang == name]
+        doc = np.repeat(np.arange(len(own)), [len(r.places) // 2 for r in own])
+        place = np.concatenate([np.frombuffer(r.places, dtype=np.uint16) for r in own]).astype(np.int64)
+        counts = np.concatenate([np.frombuffer(r.counts, dtype=np.uint16) for r in own]).astype(np.float32)
+        v = np.zeros((len(own), DIMS), dtype=np.float32)
+        v[doc, place] = _weigh(doc, place, counts, len(own), idf)
+        c = _k_means(v, CENTROIDS)
         centres.append(c)
         of += [k] * len(c)
-        floor.append(REJECT * np.quantile((v[lang == k] @ c.T).max(1), 0.01))
-    return {"langs": names, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "of": np.array(of), "floor": np.array(floor)}
+    model = {"langs": names, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "of": np.array(of)}
+    return {**model, "floor": _floors(labelled, model)}
+
+
+def _similar(low: list[str], model: dict) -> tuple[np.ndarray, np.ndarray]:
+    """Cosines of lower-cased texts with the languages (each one's nearest
+    centroid), and the texts' letters."""
+    doc, place, counts, letters = _grams(low)
+    every = _cosines(doc, place, _weigh(doc, place, counts, len(low), model["idf"]), len(low), model["centres"])
+    return np.stack([every[:, model["of"] == k].max(1) for k in range(len(model["langs"]))], axis=1), letters
 
 
 def _judge(low: list[str], model: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Of lower-cased texts: index of the language (-1: none), score, cosine
     and whether the text is rejected."""
-    centres, of = model["centres"], model["of"]
-    counts, letters = _grams(low)
-    n, known = len(low), letters > 0
+    n = len(low)
     if not model["langs"]:
         return np.full(n, -1), np.zeros(n), np.zeros(n), np.ones(n, dtype=bool)
-    every = _weigh(counts, model["idf"]) @ centres.T
-    cos = np.stack([every[:, of == k].max(1) for k in range(len(model["langs"]))], axis=1)
+    cos, letters = _similar(low, model)
+    known = letters > 0
     best = cos.argmax(1)
     top = cos[np.arange(n), best].astype(np.float64)
     score = 1 / np.exp(20 * (cos - top[:, None])).sum(1)

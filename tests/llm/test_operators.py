@@ -2,6 +2,7 @@
 odd cases: nulls, empty and long texts, ties, repeated rows, empty tables,
 extra columns."""
 
+import base64
 import hashlib
 import random
 import re
@@ -269,6 +270,34 @@ def test_language_rejects_what_it_cannot_know(spark):
     assert not kept & {9001, 9002} and len(kept) >= 0.99 * docs.count()
 
 
+def long_strangers():
+    """Long texts of no language that the documents are labelled with."""
+    rng=random.Random(21)
+    L="abcdefghijklmnopqrstuvwxyz"
+    it=("La mattina presto i pescatori tornano al porto con le reti piene e raccontano storie di tempeste lontane mentre le donne preparano il pane e i bambini "
+        "corrono lungo la spiaggia. Nessuno ricorda quando fu costruita la vecchia torre, ma tutti sanno che ogni anno, alla fine dell'estate, qualcuno accende una luce sulla cima. ")
+    pl=("Wczesnym rankiem rybacy wracają do portu z pełnymi sieciami i opowiadają historie o dalekich burzach, a kobiety przygotowują chleb i dzieci biegają wzdłuż plaży. "
+        "Nikt nie pamięta, kiedy zbudowano starą wieżę, ale wszyscy wiedzą, że co roku pod koniec lata ktoś zapala światło na szczycie. ")
+    ru="Рано утром рыбаки возвращаются в порт с полными сетями и рассказывают истории о далёких бурях. Никто не помнит, когда построили старую башню. "
+    return {
+        "letters":" ".join("".join(rng.choice(L) for _ in range(rng.randrange(2,10))) for _ in range(1000)),
+        "chinese":"".join(chr(rng.randrange(0x4e00,0x9fa5)) for _ in range(3000)),
+        "base64":base64.b64encode(rng.randbytes(6000)).decode(),"italian":it*4,"polish":pl*4,"russian":ru*20}
+
+
+def test_language_rejects_long_texts_that_it_cannot_know(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "lang")
+    other = [(900_000 + k, t, None) for k, t in enumerate(long_strangers().values())]
+    kept = {r.doc_id for r in langid.keep_identified(docs.union(spark.createDataFrame(other, docs.schema))).collect()}
+    assert not kept & {r[0] for r in other} and len(kept) >= 0.99 * docs.count()
+
+
+def test_language_threshold_sees_every_labelled_text(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("text", "lang", langid.F.col("doc_id").alias("key"))
+    few, more = langid.fit(docs.filter("lang = 'en'"), 10), langid.fit(docs.filter("lang = 'en'"))
+    assert np.array_equal(few["idf"], more["idf"])
+
+
 def test_quality(spark, odd):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
     got = qda.classify(docs, labels).join(labels, "doc_id").filter("held_out").collect()
