@@ -27,7 +27,10 @@ TREES, DEPTH, RATE, BINS = 60, 4, 0.3, 32
 
 #: fixed values of HTML
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style textarea title noscript template iframe xmp noembed noframes svg math select object".split())
+RAW = frozenset("script style textarea title noscript iframe xmp noembed noframes".split())
+#: elements that are parsed and whose content is left out; a block's start tag ends those of the second kind
+DROPPED = frozenset("svg math select object template".split())
+NO_BLOCKS = frozenset("svg math select".split())
 BLOCK = frozenset(
     "address article aside blockquote body button center dd details dialog dir div dl dt fieldset figcaption figure footer form "
     "h1 h2 h3 h4 h5 h6 header hgroup hr html label legend li main menu nav ol p pre search section summary table tbody td "
@@ -77,9 +80,11 @@ def parse(page: str) -> list[Node]:
     its pieces of text and its child blocks, in page order."""
     root = Node("html", "", None)
     nodes, stack = [root], [("html", root)]     # open elements with the block they are, or are in
-    at, anchors = 0, 0
+    at, anchors, dropped = 0, 0, 0
 
     def put(raw: str) -> None:
+        if dropped:
+            return
         block = stack[-1][1]
         if not block.order or isinstance(block.order[-1], Node):
             block.order.append([])
@@ -89,8 +94,9 @@ def parse(page: str) -> list[Node]:
             block.link += len(text)
 
     def close(k: int) -> None:
-        nonlocal anchors
+        nonlocal anchors, dropped
         anchors -= sum(1 for t, _ in stack[k:] if t == "a")
+        dropped -= sum(1 for t, _ in stack[k:] if t in DROPPED)
         del stack[k:]
 
     for m in _TOKEN.finditer(page):
@@ -119,18 +125,28 @@ def parse(page: str) -> list[Node]:
             if tag in ("br", "hr", "img", "input"):
                 put(" ")
             continue
+        if tag in DROPPED:
+            if not m[3].endswith("/"):
+                dropped += 1
+                stack.append((tag, stack[-1][1]))
+            continue
+        while dropped and tag in BLOCK:
+            k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in DROPPED)
+            if stack[k][0] not in NO_BLOCKS or any(t == "foreignobject" for t, _ in stack[k:]):
+                break
+            close(k)
         if tag in CLOSES_P:
             for k in range(len(stack) - 1, 0, -1):
                 if stack[k][0] == "p":
                     close(k)
                     break
-                if stack[k][0] in BLOCK:
+                if stack[k][0] in BLOCK or stack[k][0] in DROPPED:
                     break
         if tag in IMPLIED:
             own, bound = IMPLIED[tag]
             k = len(stack) - 1
             low = len(stack)
-            while k > 0 and stack[k][0] not in bound:
+            while k > 0 and stack[k][0] not in bound and stack[k][0] not in DROPPED:
                 if stack[k][0] in own:
                     low = k
                 k -= 1
@@ -140,7 +156,7 @@ def parse(page: str) -> list[Node]:
             continue
         if tag == "a":
             anchors += 1
-        if tag in BLOCK:
+        if tag in BLOCK and not dropped:
             node = Node(tag, m[3], stack[-1][1])
             node.parent.order.append(node)
             node.parent.kids.append(node)

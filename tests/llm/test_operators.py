@@ -415,6 +415,16 @@ def test_html_odd_cases(spark, trees):
     assert {r.text for r in got if r.page_id in (1, 2)} == {""}
 
 
+def test_html_elements_without_text_hide_nothing_else():
+    page = ('<body><svg class="icon"/><p>a</p><svg><g><path d="x"/>no</svg><p>b</p><p><math/>c <select><option>no<option>no</select>d</p>'
+            '<form><select><option>no<p>e</p></form><div><object>no<p>no</p></div><svg><text>no<p>f</p><object><ul><li>no<li>no</ul></object>'
+            '<svg><foreignObject><div>no</div></foreignObject></svg><template><p>no</template><p>g')
+    nodes = dom.parse(page)
+    assert dom.text_of(nodes, [True] * len(nodes)).split() == list("abcdefg")
+    nodes = dom.parse("<p>a</p><svg/><script>no<p>no</p></script><p>b")
+    assert dom.text_of(nodes, [True] * len(nodes)).split() == ["a", "b"]
+
+
 # -- language model ---------------------------------------------------------------------
 
 def test_lm_scores(spark, odd):
