@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
@@ -219,12 +220,12 @@ def features(nodes: list[Node]) -> np.ndarray:
     before, after, alike = np.zeros(n), np.zeros(n), np.zeros(n)
     for x in nodes:
         rows = [place[id(c)] for c in x.kids]
-        tags = [c.tag for c in x.kids]
+        tags = Counter(c.tag for c in x.kids)
         for j, r in enumerate(rows):
             at[r] = j / max(1, len(rows) - 1)
             before[r] = total["text"][rows[j - 1]] if j else 0
             after[r] = total["text"][rows[j + 1]] if j + 1 < len(rows) else 0
-            alike[r] = tags.count(tags[j]) / len(rows) if len(rows) < 2000 else 1
+            alike[r] = tags[nodes[r].tag] / len(rows)
     whole = max(total["text"][0], 1)
     c = 2 * t + 2 * g
     some = np.maximum(total["text"], 1)

@@ -425,6 +425,14 @@ def test_html_elements_without_text_hide_nothing_else():
     assert dom.text_of(nodes, [True] * len(nodes)).split() == ["a", "b"]
 
 
+def test_html_features_do_not_change_with_size():
+    alike = 2 * len(dom.TAGS) + 2 * len(dom.TOKENS) + 18
+    for n in (20, 1999, 2500):
+        nodes = dom.parse("<body><aside>a</aside>" + "<p>b</p>" * (n - 1))
+        got = dom.features(nodes)[:, alike]
+        assert got[2] == pytest.approx(1 / n) and got[3:] == pytest.approx((n - 1) / n)
+
+
 # -- language model ---------------------------------------------------------------------
 
 def test_lm_scores(spark, odd):
