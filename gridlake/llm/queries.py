@@ -3,6 +3,8 @@ table, and their SQL where SQL can express them."""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from .common import table
 
 
@@ -57,6 +59,26 @@ def op10_html(spark, sf_dir):
     return extract(table(spark, sf_dir, "pages"))
 
 
+def op11_whitening(spark, sf_dir):
+    from .whiten import whiten
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_infill(spark, sf_dir):
+    from .infill import fill_in_middle, restored
+    out = fill_in_middle(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n", "form", "prefix_chars", "middle_chars", F.sha2("output", 256).alias("output_sha256"),
+                      F.sha2(restored(), 256).alias("restored_sha256"))
+
+
+def op13_packing(spark, sf_dir):
+    import public_tokenizers
+
+    from .packing import pack
+    pieces = pack(table(spark, sf_dir, "documents"), str(public_tokenizers.path("byte_bpe_50k.json")))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -64,7 +86,8 @@ def pipeline(spark, sf_dir):
 
 def queries():
     return {f.__name__: f for f in (
-        op1_minhash, op2_language, op3_decontamination, op4_quality, op5_lm_score, op6_mixing, op7_quality_rules, op8_warc, op9_substring_dedup, op10_html, pipeline)}
+        op1_minhash, op2_language, op3_decontamination, op4_quality, op5_lm_score, op6_mixing, op7_quality_rules, op8_warc, op9_substring_dedup, op10_html,
+        op11_whitening, op12_infill, op13_packing, pipeline)}
 
 
 def oracle_sql():

@@ -69,4 +69,20 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(x.n
 FROM w LEFT JOIN x USING (doc_id)
 """
 
-QUERIES = {"op1_minhash": _OP1, "op7_quality_rules": _OP7, "op8_warc": _OP8, "op9_substring_dedup": _OP9}
+_OP12 = """
+WITH t AS (SELECT doc_id, coalesce(text, '') AS text, length(coalesce(text, '')) AS n, sha256('1:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+d AS (SELECT *, CAST('0x' || h[1:8] AS BIGINT) % (n + 1) AS one, CAST('0x' || h[9:16] AS BIGINT) % (n + 1) AS two,
+       CASE WHEN n = 0 OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+              OR CAST('0x' || h[17:24] AS BIGINT) % 100 >= 90 THEN 'plain'
+            WHEN CAST('0x' || h[25:32] AS BIGINT) % 100 < 20 THEN 'spm' ELSE 'psm' END AS form FROM t),
+c AS (SELECT *, least(one, two) AS a, greatest(one, two) AS b FROM d),
+p AS (SELECT *, substring(text, 1, a) AS prefix, substring(text, a + 1, b - a) AS middle, substring(text, b + 1) AS suffix FROM c)
+SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(a AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(b - a AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM p
+"""
+
+QUERIES = {"op1_minhash": _OP1, "op7_quality_rules": _OP7, "op8_warc": _OP8, "op9_substring_dedup": _OP9, "op12_infill": _OP12}
