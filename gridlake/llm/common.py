@@ -118,8 +118,15 @@ class Texts:
         value = (sums[self.end] - sums[self.start]) * _pow(_IP, n + 1)[self.start]
         return mix(value + (self.end - self.start).astype(np.uint64))
 
+    def span_hashes(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """64-bit hash of each run of bytes."""
+        n = len(self.buf)
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(_BYTE[self.buf] * _pow(_P, n), out=sums[1:])
+        return mix((sums[end] - sums[start]) * _pow(_IP, n + 1)[start] + (end - start).astype(np.uint64))
+
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, Texts]]:
     """(first row, last row + 1, words) of consecutive rows of a string
     column; null is the empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -132,7 +139,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, Texts]]:
     data = np.frombuffer(data, dtype=np.uint8) if data is not None else np.zeros(0, dtype=np.uint8)
     row = 0
     while row < len(column):
-        last = int(np.searchsorted(at, at[row] + SLICE_BYTES, side="right")) - 1
+        last = int(np.searchsorted(at, at[row] + size, side="right")) - 1
         last = min(max(last, row + 1), row + SLICE_ROWS, len(column))
         yield row, last, Texts(data[at[row]:at[last]], (at[row:last + 1] - at[row]).astype(np.int64))
         row = last

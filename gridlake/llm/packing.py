@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import longs, slices, store
+from .common import SLICE_BYTES, Texts, longs, slices, store
 
 WIDTH = 1024
 END = 0
@@ -40,26 +40,125 @@ def _tokenizer(path: str):
     return _loaded[path]
 
 
+#: A worker remembers the ids of this many chunks, and of as many before them.
+_MEMO = 250_000
+_memo: list[dict] = [{}, {}]
+
+#: kinds of bytes: 1 ASCII letters, 2 digits, 3 other visible ASCII, 4 white space, 0 all else
+_KIND = np.zeros(256, dtype=np.int8)
+_KIND[33:127] = 3
+_KIND[[*range(65, 91), *range(97, 123)]] = 1
+_KIND[48:58] = 2
+_KIND[[9, 10, 13, 32]] = 4
+#: whether a piece ends between bytes of these kinds, whatever stands around them
+_ENDS = np.zeros((5, 5), dtype=bool)
+_ENDS[1:4, 1:5] = ~np.eye(3, 4, dtype=bool)
+
+def cuts_by_kind(tokenizer) -> bool:
+    """Whether the tokenizer is a byte-level one without a normalizer. Its
+    pieces hold letters, digits or other visible signs, each with white space
+    in front only, or white space: a text can be cut where these kinds change,
+    but for an apostrophe before letters, and before the white space behind
+    them."""
+    import json
+    made = json.loads(tokenizer.to_str())
+    before = made["pre_tokenizer"] or {}
+    return (made["normalizer"] is None and before.get("type") == "ByteLevel" and not before.get("add_prefix_space")
+            and before.get("use_regex", True) and not made["model"].get("dropout")
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] for t in made["added_tokens"]))
+
+
+def _whole(tokenizer, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all texts, and the number of them in each text."""
+    coded = [e.ids for e in tokenizer.encode_batch_fast(
+        [texts.bytes_of(i).decode("utf-8", "replace") for i in range(len(texts))], add_special_tokens=False)]
+    return np.array([x for ids in coded for x in ids], dtype=np.int64), np.array([len(ids) for ids in coded], dtype=np.int64)
+
+
+def _remembered(tokenizer, keys: list[bytes]) -> list[bytes]:
+    """The ids of each of the distinct chunks, as unsigned 32-bit numbers."""
+    young, old = _memo
+    held = [young.get(k) for k in keys]
+    at = [i for i, x in enumerate(held) if x is None]
+    new = []
+    for i in at:
+        held[i] = old.get(keys[i])
+        if held[i] is None:
+            new.append(i)
+    for i, ids in zip(new, _encoded(tokenizer, [keys[i] for i in new])):
+        held[i] = ids
+    young.update((keys[i], held[i]) for i in at)
+    if len(young) > _MEMO:
+        _memo[:] = [{}, young]
+    return held
+
+
+def _encoded(tokenizer, chunks: list[bytes]) -> list[bytes]:
+    """The ids of each chunk. An added token of the tokenizer, which is found
+    before all else, stands between chunks, so that one call does them all."""
+    for mark, token in tokenizer.get_added_tokens_decoder().items():
+        joined = token.content.encode().join(chunks).decode("utf-8", "replace")
+        ids = np.array(tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, dtype="<u4")
+        end = np.append(np.flatnonzero(ids == mark), len(ids)).tolist()
+        if len(end) == len(chunks):
+            raw = ids.tobytes()
+            return [raw[4 * a:4 * b] for a, b in zip([0, *(e + 1 for e in end[:-1])], end)]
+    coded = tokenizer.encode_batch_fast([c.decode("utf-8", "replace") for c in chunks], add_special_tokens=False)
+    return [np.array(e.ids, dtype="<u4").tobytes() for e in coded]
+
+
+def _by_chunks(tokenizer, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
+    """The same: texts are cut where a piece surely ends, and a chunk that
+    occurs many times is tokenised once."""
+    buf, n = texts.buf, len(texts.buf)
+    raw = buf.tobytes()
+    if any(t.content.encode() in raw for t in tokenizer.get_added_tokens_decoder().values()):
+        return _whole(tokenizer, texts)
+    kind = _KIND[buf]
+    cut = np.zeros(n + 1, dtype=bool)
+    # an apostrophe may belong to the letters behind it
+    cut[1:n] = _ENDS[kind[:-1], kind[1:]] & ((buf[:-1] != 39) | (kind[1:] == 4))
+    cut[texts.bounds] = True
+    cut = np.flatnonzero(cut)
+    start, length = cut[:-1], np.diff(cut)
+    name, first, same = np.unique(texts.span_hashes(start, cut[1:]), return_index=True, return_inverse=True)
+    # equal names are equal chunks: checked byte by byte
+    model = start[first][same]
+    place = np.repeat(model - start, length) + np.arange(n) if n else np.zeros(0, dtype=np.int64)
+    if (length[first][same] != length).any() or (buf[np.clip(place, 0, max(n - 1, 0))] != buf).any():
+        return _whole(tokenizer, texts)
+    keys = [raw[a:b] for a, b in zip(start[first].tolist(), cut[1:][first].tolist())]
+    held = _remembered(tokenizer, keys)
+    count = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
+    flat = np.frombuffer(b"".join(held), dtype="<u4")
+    begin = np.cumsum(count) - count
+    every = count[same]
+    upto = np.cumsum(every)
+    ids = flat[np.repeat(begin[same] - upto + every, every) + np.arange(int(upto[-1]) if len(upto) else 0)]
+    total = np.concatenate([[0], upto])
+    return ids, np.diff(total[np.searchsorted(cut, texts.bounds)])
+
+
 def tokens(documents: DataFrame, tokenizer: str, end: int = END) -> DataFrame:
     """Pass one, stored: part, before (tokens of the part before the row),
     doc_id, doc_tokens, and ids with the end id, as little-endian unsigned
     numbers of two bytes, or of four if the vocabulary needs them.
     ``tokenizer`` is a path that every executor can read."""
     code = "<u2" if max(_tokenizer(tokenizer).get_vocab_size(), end + 1) <= 1 << 16 else "<u4"
+    encode = _by_chunks if cuts_by_kind(_tokenizer(tokenizer)) else _whole
 
     def run(batches):
-        encode = _tokenizer(tokenizer).encode_batch_fast
         part, before = TaskContext.get().partitionId(), 0
         for batch in batches:
-            for a, b, texts in slices(batch.column("text")):
-                coded = encode([texts.bytes_of(i).decode("utf-8", "replace") for i in range(len(texts))], add_special_tokens=False)
-                ids = [np.array([*e.ids, end], dtype=code) for e in coded]
-                n = np.array([len(x) for x in ids], dtype=np.int64)
+            for a, b, texts in slices(batch.column("text"), 2 * SLICE_BYTES):
+                ids, n = encode(_tokenizer(tokenizer), texts)
+                ids = np.insert(ids, np.cumsum(n), end).astype(code)
+                n = n + 1
                 upto = np.cumsum(n)
                 yield pa.RecordBatch.from_pydict({
                     "part": pa.array(np.full(len(n), part, dtype=np.int32)), "before": longs(before + upto - n),
                     "doc_id": batch.column("doc_id").slice(a, b - a).cast(pa.int64()), "doc_tokens": longs(n),
-                    "ids": pa.array([x.tobytes() for x in ids], type=pa.binary())})
+                    "ids": pa.array([x.tobytes() for x in np.split(ids, upto[:-1])], type=pa.binary())})
                 before += int(upto[-1])
 
     out = documents.select("doc_id", "text").mapInArrow(run, "part int, before long, doc_id long, doc_tokens long, ids binary")

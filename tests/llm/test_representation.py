@@ -171,6 +171,26 @@ def test_pieces_equal_brute_force(spark, bpe):
     assert packing.sequences(packing.pack(df.filter("false"), bpe)).collect() == []
 
 
+def test_chunks_give_the_ids_of_whole_texts(bpe):
+    import pyarrow as pa
+
+    from gridlake.llm.common import slices
+    rng = random.Random(9)
+    parts = [" ", "  ", "\n", "\r\n", "\t", "\x0b", "\x0c", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u180e", "\ufeff", "word", "Wort's", "don't",
+             "12", "数据", "é", "!?", "'", "😀", "<|endoftext|>", "\x00", "а", "_"]
+    rows = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)] + [" ", "", "x", "\n\n"]
+    t = packing._tokenizer(bpe)
+    assert packing.cuts_by_kind(t)
+    for size in (packing._MEMO, 50):
+        packing._memo[:] = [{}, {}]
+        packing._MEMO, kept = size, packing._MEMO
+        for a, b, texts in slices(pa.array(rows)):
+            ids, n = packing._by_chunks(t, texts)
+            want, m = packing._whole(t, texts)
+            assert n.tolist() == m.tolist() and ids.tolist() == want.tolist()
+        packing._MEMO = kept
+
+
 def test_sequences_hold_all_pieces(spark, bpe):
     rows = [(i, f"some words of text {i} " * (i % 60)) for i in range(300)]
     pieces = packing.store(packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), bpe, 256), "t-pieces")
