@@ -35,6 +35,28 @@ def store(df: DataFrame, name: str, rows: int | None = None, per_file: int = 100
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bits of the map that ``maybe_in`` broadcasts, at most (32 MB).
+MOST_BITS = 28
+
+
+def maybe_in(rows: DataFrame, key: str, wanted: DataFrame, n: int, flag: str = "_maybe") -> DataFrame:
+    """rows with a boolean ``flag``: true for every row whose ``key``, a 64-bit
+    hash, is one of the ``n`` keys in the column of that name of ``wanted``,
+    and seldom for others. What is broadcast is one bit for each place of a
+    map of bounded size; a full map lets more rows through and loses none."""
+    bits = 1 << min(max((16 * n).bit_length(), 15), MOST_BITS)
+    place, part, held, at = (free_name(c, rows) for c in ("_place", "_part", "_bits", "_at"))
+    own = wanted.select(F.pmod(F.col(key), F.lit(bits)).alias(place))
+    maps = own.groupBy(F.shiftright(place, 15).alias(part)).agg(
+        F.bitmap_construct_agg(F.col(place).bitwiseAND(F.lit((1 << 15) - 1))).alias(held))
+    maps = store(maps, "bitmap", bits >> 15, 512)
+    both = rows.withColumn(place, F.pmod(F.col(key), F.lit(bits))).withColumn(at, F.shiftright(place, 15)).join(
+        F.broadcast(maps), F.col(at) == F.col(part), "left")
+    inside = F.col(place).bitwiseAND(F.lit((1 << 15) - 1))
+    byte = F.conv(F.hex(F.substring(held, F.shiftright(inside, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    return both.withColumn(flag, F.coalesce(F.getbit(byte, inside.bitwiseAND(F.lit(7)).cast("int")) == 1, F.lit(False))).select(*rows.columns, flag)
+
+
 def free_name(name: str, *frames: DataFrame) -> str:
     """``name``, or a longer one if a column of the frames is called so."""
     taken = {c.lower() for df in frames for c in df.columns}

@@ -10,13 +10,18 @@ is uniform, so each register sees an independent exponential stream), which is
 followed only as far as the smallest arrivals of a set of its size can lie.
 
 Texts with one set are one node. Registers in bands of ``ROWS`` name buckets;
-a bucket's nodes are dealt by hash into blocks of some ``BLOCK`` nodes, and
-every block meets every block of its bucket, so no bucket is capped and none
-comes into one task. For the pairs of two blocks the similarity is estimated
-by maximum likelihood from the numbers of larger, smaller and equal registers.
-Pairs clearly below the threshold are dropped; the others are decided on full
-sets, from the likeliest on, unless links found before already connect them,
-so what leaves a task is a forest of verified links and never all pairs.
+a bucket's nodes are dealt by hash into blocks of some ``BLOCK`` nodes, with
+two of the bucket's nodes in each of them, so no bucket is capped and none
+comes into one task. For the pairs of a block the similarity is estimated by
+maximum likelihood from the numbers of larger, smaller and equal registers,
+and a forest of likely pairs leaves the task: never more than one pair a node.
+
+Pairs are decided on full sets, which are read for nodes with a likely partner
+only. First every node is verified with one partner, then the forests' pairs
+between what is not connected yet. Last, buckets that still hold several
+components are compared between components, all blocks with all but those of
+one and the same component, until every likely pair in a bucket is connected
+or has been verified.
 """
 
 from __future__ import annotations
@@ -26,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _P, Texts, components, free_name, longs, map_texts, mix, store
+from .common import _P, Texts, components, free_name, longs, map_texts, maybe_in, mix, store
 
 SHINGLE = 5
 ROWS, BANDS = 6, 26
@@ -41,6 +46,8 @@ LOWEST = -400
 MARGIN = 0.16
 #: Nodes of a bucket that are compared in one piece, about.
 BLOCK = 48
+#: Pairs whose estimate is this far above the threshold are nearly sure.
+SURE = 0.06
 
 
 _PLACE = [int(mix(np.array([k + 1], dtype=np.uint64))[0]) | 1 for k in range(SHINGLE)]
@@ -122,7 +129,7 @@ def _sketch(rows: pa.RecordBatch, texts: Texts) -> dict:
     value, counts = shingles(texts)
     reg = registers(value, counts)
     return {
-        "doc_id": rows.column("doc_id").cast(pa.int64()), "node": longs(_node(value, counts)),
+        "doc_id": rows.column("doc_id").cast(pa.int64()), "seen": rows.column("seen"), "node": longs(_node(value, counts)),
         "n_shingles": longs(counts),
         "registers": pa.array([reg[i].tobytes() for i in range(len(counts))], type=pa.binary()),
     }
@@ -139,7 +146,7 @@ def _node(value: np.ndarray, counts: np.ndarray) -> np.ndarray:
 def _sets(rows: pa.RecordBatch, texts: Texts) -> dict:
     value, counts = shingles(texts)
     at = np.concatenate([[0], np.cumsum(counts)])
-    return {"node": longs(_node(value, counts)), **{c: rows.column(c) for c in ("want", "n_shingles", "registers")},
+    return {"node": longs(_node(value, counts)), "want": rows.column("want"),
             "elements": pa.array([value[at[i]:at[i + 1]].tobytes() for i in range(len(counts))], type=pa.binary())}
 
 
@@ -153,12 +160,17 @@ def _bands(batches):
 class _Nodes:
     """The nodes of a block, or of two."""
 
-    def __init__(self, *blocks: pa.StructArray):
-        field = {c: [x for b in blocks for x in b.field(c).to_pylist()] for c in ("node", "n_shingles", "registers", "elements")}
+    def __init__(self, blocks: list[pa.StructArray], percent: int):
+        self.percent, self.first = percent, len(blocks[0])
+        self.has = {f.name for f in blocks[0].type}
+        field = {c: [x for b in blocks for x in b.field(c).to_pylist()] for c in self.has}
         self.node, self.n = np.array(field["node"], dtype=np.int64), np.array(field["n_shingles"], dtype=np.float64)
         self.reg = np.frombuffer(b"".join(field["registers"]), dtype=np.int16).reshape(-1, REGISTERS)
-        self.set = [np.frombuffer(x, dtype=np.uint64) for x in field["elements"]]
-        self.root = list(range(len(self.node)))
+        self.set = [np.frombuffer(x, dtype=np.uint64) for x in field.get("elements", [])]
+        own = field.get("comp", field["node"])
+        self.comp, seen = np.array(own, dtype=np.int64), {}
+        # connected by links found before
+        self.root = [seen.setdefault(c, i) for i, c in enumerate(own)]
 
     def find(self, i: int) -> int:
         while self.root[i] != i:
@@ -166,81 +178,218 @@ class _Nodes:
             i = self.root[i]
         return i
 
-    def links(self, i: np.ndarray, j: np.ndarray, percent: int) -> list[tuple[int, int]]:
-        """Verified links among the pairs (i, j) that connect all that are
-        connected by them. Pairs are tried from the likeliest on; those already
-        connected, or clearly not similar, need no verification."""
+    def likely(self, across: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Pairs (i, j) of different components that are not clearly below the
+        threshold, inside one block or across two, and their estimates."""
+        if across:
+            i, j = np.indices((self.first, len(self.node) - self.first)).reshape(2, -1)
+            j = j + self.first
+        else:
+            i, j = np.triu_indices(len(self.node), 1)
         n = self.n
-        fits = 100 * np.minimum(n[i], n[j]) >= percent * np.maximum(n[i], n[j])
-        i, j = i[fits], j[fits]
+        keep = (self.comp[i] != self.comp[j]) & (100 * np.minimum(n[i], n[j]) >= self.percent * np.maximum(n[i], n[j]))
+        i, j = i[keep], j[keep]
         same = (self.reg[i] == self.reg[j]).sum(1) if len(i) else np.zeros(0)
-        near = same >= (percent / 100 - 2 * MARGIN) * REGISTERS
+        near = same >= (self.percent / 100 - 2 * MARGIN) * REGISTERS
         i, j = i[near], j[near]
         if not len(i):
-            return []
-        likely = likely_similarity(self.reg[i], self.reg[j], n[i], n[j])
+            return i, j, np.zeros(0)
+        value = likely_similarity(self.reg[i], self.reg[j], n[i], n[j])
+        near = value >= self.percent / 100 - MARGIN
+        return i[near], j[near], value[near]
+
+    def forest(self, across: bool) -> dict:
+        """Likely pairs that connect all that are connected by likely ones;
+        nearly sure ones first, those with the smallest node before others."""
+        i, j, value = self.likely(across)
+        sure = value >= self.percent / 100 + SURE
+        least = np.minimum(self.node[i], self.node[j])
         out = []
-        for k in np.argsort(-likely, kind="stable"):
-            if likely[k] < percent / 100 - MARGIN:
-                break
+        for k in np.lexsort((-value, np.where(sure, least, 0), ~sure)):
             x, y = int(i[k]), int(j[k])
-            if self.find(x) == self.find(y):
-                continue
-            both = len(np.intersect1d(self.set[x], self.set[y], assume_unique=True))
-            if 100 * both >= percent * (len(self.set[x]) + len(self.set[y]) - both):
+            if self.find(x) != self.find(y):
+                self.root[self.find(x)] = self.find(y)
+                out.append((*sorted((int(self.node[x]), int(self.node[y])), reverse=True), float(value[k])))
+        return {"a": [x for x, _, _ in out], "b": [x for _, x, _ in out], "likely": [x for _, _, x in out]}
+
+    def partners(self, across: bool) -> dict:
+        """Nodes with a likely partner in another component."""
+        i, j, _ = self.likely(across)
+        return {"node": self.node[np.unique(np.concatenate([i, j]))].tolist()}
+
+    def links(self, across: bool) -> dict:
+        """Verified links between components that connect all that are
+        connected by verified links; from the likeliest pair on."""
+        i, j, value = self.likely(across)
+        out = []
+        for k in np.argsort(-value, kind="stable"):
+            x, y = int(i[k]), int(j[k])
+            if self.find(x) != self.find(y) and _similar(self.set[x], self.set[y], self.percent):
                 self.root[self.find(x)] = self.find(y)
                 out.append((int(self.node[x]), int(self.node[y])))
-        return out
+        return {"a": [x for x, _ in out], "b": [y for _, y in out]}
+
+
+def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def _linked(percent: int):
-    """Links inside each block, or across the two blocks of a row."""
+def _in_blocks(percent: int, what: str, schema: dict):
+    """``what`` of _Nodes for each row: inside its block (members), or across
+    its two blocks (members, others)."""
     def run(batches):
         for batch in batches:
-            out = []
+            out = {c: [] for c in schema}
             columns = [c for c in ("members", "others") if c in batch.schema.names]
             for row in range(batch.num_rows):
                 blocks = [batch.column(c).slice(row, 1).flatten() for c in columns]
-                nodes = _Nodes(*blocks)
-                if len(blocks) == 1:
-                    i, j = np.triu_indices(len(nodes.node), 1)
-                else:
-                    i, j = np.indices((len(blocks[0]), len(blocks[1]))).reshape(2, -1)
-                    j = j + len(blocks[0])
-                out += nodes.links(i, j, percent)
-            yield pa.RecordBatch.from_pydict({"a": pa.array([x for x, _ in out], type=pa.int64()), "b": pa.array([y for _, y in out], type=pa.int64())})
+                got = getattr(_Nodes(blocks, percent), what)(len(blocks) == 2)
+                if "bucket" in out:
+                    got["bucket"] = [batch.column("bucket")[row].as_py()] * len(got["node"])
+                for c in out:
+                    out[c] += got[c]
+            yield pa.RecordBatch.from_pydict({c: pa.array(out[c], type=t) for c, t in schema.items()})
     return run
 
 
+_PAIR = {"a": pa.int64(), "b": pa.int64()}
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets are similar enough."""
+    def run(batches):
+        for batch in batches:
+            x, y = (([np.frombuffer(s, dtype=np.uint64) for s in batch.column(c).to_pylist()]) for c in ("x", "y"))
+            keep = pa.array([_similar(s, t, percent) for s, t in zip(x, y)], type=pa.bool_())
+            yield pa.RecordBatch.from_pydict({c: batch.column(c).filter(keep) for c in _PAIR})
+    # every a is in few pairs; a b may be in many, and by then rows are long, so the join is split
+    both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(
+        sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
+    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+
+
+def _sets_of(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """(node, elements) for ``wanted (node, rep)``, n at most; rep names one
+    row's id and text. Other texts are not moved, but for a few."""
+    named = wanted.select(F.col("node").alias("want"), F.coalesce("rep.doc_id", F.lit(0)).alias("id"), F.col("rep.none").alias("none"),
+                          F.col("rep.seen").alias("seen"))
+    texts = documents.select("text", F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), F.xxhash64("text").alias("seen"))
+    texts = maybe_in(texts, "seen", named, n).filter("_maybe").drop("_maybe")
+    found = texts.join(named, ["id", "none", "seen"]).dropDuplicates(["id", "none", "seen"])
+    return store(map_texts(found.select("text", "want"), _sets, "node long, want long, elements binary").filter("node = want").drop("want"),
+                 "sets", n, 10_000)
+
+
+def _meetings(members: DataFrame, *fields: str) -> tuple[DataFrame, DataFrame]:
+    """``members (bucket, node, comp, fields)`` in blocks: (bucket, members),
+    and pairs of blocks of a bucket (bucket, members, others), without what
+    holds one component only. A bucket's largest component is not compared
+    with itself."""
+    sizes = members.groupBy("bucket", "comp").agg(F.count("*").alias("k")).groupBy("bucket").agg(
+        F.sum("k").alias("n"), F.max(F.struct("k", "comp"))["comp"].alias("main"), F.count("*").alias("comps"))
+    sizes = store(sizes.filter("comps > 1"), "bucket-sizes")
+    dealt = members.join(sizes, "bucket").withColumn("block", F.pmod(F.xxhash64("node", "bucket"), F.ceil(F.col("n") / BLOCK)))
+    blocks = dealt.groupBy("bucket", "block", "n", "main").agg(
+        F.min("comp").alias("low"), F.max("comp").alias("high"), F.collect_list(F.struct("node", "comp", *fields)).alias("members"))
+    blocks = store(blocks, "meeting-blocks")
+    only_main = (F.col("low") == F.col("main")) & (F.col("high") == F.col("main"))
+    many = blocks.filter(F.col("n") > BLOCK).withColumn("only_main", only_main)
+    other = many.select("bucket", F.col("block").alias("other"), F.col("members").alias("others"), F.col("only_main").alias("main_only"))
+    pairs = many.filter("not only_main").join(other, "bucket").filter("main_only or block < other")
+    return blocks.filter("low < high").select("bucket", "members"), pairs.select("bucket", "members", "others")
+
+
+def _across(members: DataFrame, fields: list, percent: int, what: str, schema: dict, types: str) -> DataFrame:
+    inside, between = _meetings(members, *fields)
+    run = _in_blocks(percent, what, schema)
+    return inside.mapInArrow(run, types).union(between.mapInArrow(run, types))
+
+
 def _links(documents: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, int]:
     """Verified links (a, b) that connect the nodes as all their links do, and
-    their number."""
+    a bound on their number."""
     n_nodes = nodes.count()
+    sketches = nodes.select("node", "n_shingles", "registers")
     names = store(nodes.mapInArrow(_bands, "bucket long, node long"), "bands")
     # buckets of the same nodes are one bucket
     shared = names.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"),
                                          F.sum(F.shiftright("node", 8)).alias("sum")).filter("lo < hi")
-    shared = store(shared.groupBy("lo", "hi", "n", "sum").agg(F.min("bucket").alias("bucket")).select("bucket", "n"),
+    shared = store(shared.groupBy("lo", "hi", "n", "sum").agg(F.min("bucket").alias("bucket")).select("bucket", "n", "lo", "hi"),
                    "buckets", n_nodes * BANDS // 2)
     active = store(names.join(shared, "bucket"), "active", n_nodes * BANDS, 250_000)
-    n_active = active.count()
-    wanted = nodes.join(active.select(F.col("node").alias("some")).distinct(), F.col("node") == F.col("some")).select(
-        F.col("node").alias("want"), "rep", "n_shingles", "registers")
-    wanted = store(wanted, "wanted", min(n_nodes, n_active), 20_000)
-    found = documents.select("doc_id", "text").join(
-        wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("text", "want", "n_shingles", "registers")
-    sets = store(map_texts(found, _sets, "node long, want long, n_shingles long, registers binary, elements binary")
-                 .filter("node = want").drop("want").dropDuplicates(["node"]), "sets", min(n_nodes, n_active), 10_000)
-    block = F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / BLOCK))
-    blocks = active.join(sets, "node").groupBy("bucket", block.alias("block"), (F.col("n") > BLOCK).alias("several")).agg(
-        F.collect_list(F.struct("node", "n_shingles", "registers", "elements")).alias("members"))
-    blocks = store(blocks, "blocks", n_active, 4000)
-    large = blocks.filter("several")
-    across = large.select("bucket", "block", "members").join(
-        large.select("bucket", F.col("block").alias("other"), F.col("members").alias("others")), "bucket").filter("block < other")
-    linked = store(blocks.select("members").mapInArrow(_linked(percent), "a long, b long").union(
-        across.select("members", "others").mapInArrow(_linked(percent), "a long, b long")), "links")
-    return linked, linked.count()
+    n_blocks = F.ceil(F.col("n") / BLOCK)
+    own = F.array(F.pmod(F.xxhash64("node", "bucket"), n_blocks))
+    place = F.when((n_blocks > 1) & F.col("node").isin(F.col("lo"), F.col("hi")), F.sequence(F.lit(0).cast("long"), n_blocks - 1)).otherwise(own)
+    blocks = active.select("bucket", "node", F.explode(place).alias("block")).join(sketches, "node").groupBy("bucket", "block").agg(
+        F.collect_list(F.struct("node", "n_shingles", "registers")).alias("members"))
+    found = blocks.filter(F.size("members") > 1).select("members").mapInArrow(
+        _in_blocks(percent, "forest", _PAIR | {"likely": pa.float64()}), "a long, b long, likely double")
+    found = store(found.groupBy("a", "b").agg(F.max("likely").alias("likely")), "likely")
+    n_found = found.count()
+
+    of_found = found.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    wanted = store(nodes.select("node", "rep").join(of_found, "node"), "wanted")
+    sets = _sets_of(documents, wanted, min(n_nodes, 2 * n_found))
+    # a node's partner: the smallest nearly sure one, or the likeliest
+    ends = found.select(F.col("a").alias("u"), F.col("b").alias("v"), "likely").union(found.select("b", "a", "likely"))
+    small = F.min(F.when((F.col("likely") >= percent / 100 + SURE) & (F.col("v") < F.col("u")), F.col("v")))
+    picks = ends.groupBy("u").agg(small.alias("small"), F.max(F.struct("likely", "v"))["v"].alias("best")).select(
+        "u", F.coalesce("small", "best").alias("v"))
+    picks = store(picks.select(F.greatest("u", "v").alias("a"), F.least("u", "v").alias("b")).distinct(), "picks")
+    links = store(_verified(picks, sets, percent), "links")
+    labels = store(components(links, n_found), "labels")
+
+    def apart(pairs: DataFrame) -> DataFrame:
+        for end in "ab":
+            own = labels.select(F.col("node").alias(end), F.col("comp").alias(f"comp_{end}"))
+            pairs = pairs.join(own, end, "left").withColumn(f"comp_{end}", F.coalesce(f"comp_{end}", end))
+        return pairs.filter("comp_a <> comp_b").select("a", "b")
+
+    more = store(apart(found.join(picks, ["a", "b"], "left_anti").select("a", "b")), "more-pairs")
+    links = store(links.union(_verified(more, sets, percent)), "links")
+    labels = store(components(links, n_found), "labels")
+
+    # buckets in which likely pairs may be left: several blocks, or a pair that failed
+    labelled = store(active.join(labels, "node", "left").select("bucket", "node", "n", F.coalesce("comp", "node").alias("comp")), "labelled",
+                     n_nodes * BANDS, 250_000)
+    failed = apart(found.select("a", "b")).select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    left = labelled.filter(F.col("n") > BLOCK).select("bucket").union(labelled.join(failed, "node").select("bucket")).distinct()
+    members = store(labelled.join(left, "bucket").select("bucket", "node", "comp"), "left-members")
+    near = _across(members.join(sketches, "node"), ["n_shingles", "registers"], percent, "partners",
+                   {"bucket": pa.int64(), "node": pa.int64()}, "bucket long, node long")
+    near = store(near.distinct(), "partners")
+    n_near = near.count()
+    if not n_near:
+        return links, n_found
+    unread = near.select("node").distinct().join(sets.select("node"), "node", "left_anti")
+    unread = store(nodes.select("node", "rep").join(unread, "node"), "unread")
+    sets = sets.union(_sets_of(documents, unread, min(n_nodes, n_near)))
+    members = near.join(members, ["bucket", "node"]).join(sketches, "node").join(sets, "node")
+    rest = _across(members, ["n_shingles", "registers", "elements"], percent, "links", _PAIR, "a long, b long")
+    links = store(links.union(rest), "links")
+    return links, links.count()
+
+
+def _components(documents: DataFrame, percent: int) -> DataFrame:
+    """(doc_id, seen, n_shingles, component_id, kept) of each row; seen is a
+    hash of its text."""
+    sketched = store(map_texts(documents.select("doc_id", "text", F.xxhash64("text").alias("seen")), _sketch,
+                               "doc_id long, seen long, node long, n_shingles long, registers binary"), "sketches")
+    rep = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "seen")
+    nodes = store(sketched.filter("n_shingles > 0").groupBy("node").agg(
+        F.min(rep).alias("rep"), F.first("n_shingles").alias("n_shingles"), F.first("registers").alias("registers")), "nodes")
+    n_nodes = nodes.count()
+    edges, n_edges = _links(documents, nodes, percent)
+    labels = nodes.select("node", F.col("rep.doc_id").alias("rep")).join(components(edges, n_edges), "node", "left").withColumn(
+        "comp", F.coalesce("comp", "node"))
+    labels = store(labels, "labelled", n_nodes)
+    least = store(labels.groupBy("comp").agg(F.min("rep").alias("component_id")), "least", n_nodes)
+    names = store(labels.join(least, "comp").select("node", "component_id"), "names", n_nodes)
+    rows = sketched.select("doc_id", "seen", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
+    out = rows.filter("node is not null").join(names, "node").select("doc_id", "seen", "n_shingles", "component_id").union(
+        rows.filter("node is null").select("doc_id", "seen", "n_shingles", F.col("doc_id").alias("component_id")))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
@@ -259,27 +408,25 @@ def near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
       their texts are linked;
     * extra columns are not read; an empty table gives an empty result.
     """
-    sketched = store(map_texts(documents.select("doc_id", "text"), _sketch,
-                               "doc_id long, node long, n_shingles long, registers binary"), "sketches")
-    some = sketched.filter("n_shingles > 0")
-    reps = some.groupBy("node").agg(F.min("doc_id").alias("rep"))
-    nodes = store(some.select("node", "n_shingles", "registers").dropDuplicates(["node"]).join(reps, "node"), "nodes",
-                  sketched.count(), 20_000)
-    n_nodes = nodes.count()
-    edges, n_edges = _links(documents, nodes, percent)
-    nodes = nodes.select("node", "rep").join(components(edges, n_edges), "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    nodes = store(nodes, "labelled", n_nodes)
-    least = store(nodes.groupBy("comp").agg(F.min("rep").alias("component_id")), "least", n_nodes)
-    names = store(nodes.join(least, "comp").select("node", "component_id"), "names", n_nodes)
-    rows = sketched.select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("node")).alias("node"))
-    out = rows.filter("node is not null").join(names, "node").select("doc_id", "n_shingles", "component_id").union(
-        rows.filter("node is null").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _components(documents, percent).drop("seen")
 
 
 def drop_near_duplicates(documents: DataFrame, percent: int = 85) -> DataFrame:
-    """The rows of documents, with all their columns, that their group keeps."""
-    kept_id = free_name("_kept", documents)
-    kept = near_duplicates(documents, percent).filter("kept").select(F.col("doc_id").alias(kept_id)).distinct()
-    kept = store(kept, "kept")
-    return documents.join(kept, F.col("doc_id").eqNullSafe(F.col(kept_id)), "left_semi")
+    """The rows of documents, with all their columns, that their group keeps.
+
+    * null or empty text, or no word: kept;
+    * null doc_id: kept if no other id is in its group;
+    * repeated rows share their fate; of rows that share an id, each has the
+      fate of its own text;
+    * extra columns are returned as they are; an empty table gives an empty
+      result.
+    """
+    of_id, none, seen, maybe = (free_name(c, documents) for c in ("_id", "_none", "_seen", "_maybe"))
+    gone = _components(documents.select("doc_id", "text"), percent).filter("not kept").select(
+        F.coalesce("doc_id", F.lit(0)).alias(of_id), F.col("doc_id").isNull().alias(none), F.col("seen").alias(seen)).distinct()
+    gone = store(gone, "gone")
+    rows = maybe_in(documents.withColumn(seen, F.xxhash64("text")), seen, gone, gone.count(), maybe)
+    # only texts that may have to go are moved
+    some = rows.filter(maybe).withColumn(of_id, F.coalesce("doc_id", F.lit(0))).withColumn(none, F.col("doc_id").isNull())
+    return rows.filter(~F.col(maybe)).select(documents.columns).union(
+        some.join(gone, [of_id, none, seen], "left_anti").select(documents.columns))

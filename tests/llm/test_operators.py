@@ -479,3 +479,51 @@ def test_lm_trains_on_every_document(spark, odd):
     for k in range(1, 7):
         one = spark.createDataFrame([(k, f"a b c {k}")], "doc_id long, text string")
         assert not np.array_equal(pseudo.train(one, pseudo.vocabulary(one)), start)
+
+
+# -- large groups, null ids ----------------------------------------------------------
+
+def test_near_duplicates_in_large_groups(spark):
+    """Hundreds of copies of two texts that are just not similar, texts between
+    the two, and texts under the threshold to all: several blocks a bucket."""
+    rng = random.Random(11)
+    base = words(rng, 150, 3000).split()
+    other = list(base)
+    for k in range(0, 150, 30):
+        other[k] = f"other{k}"
+
+    def changed(text, n):
+        text = list(text)
+        for k in rng.sample(range(len(text)), n):
+            text[k] = f"new{rng.randrange(10 ** 6)}"
+        return " ".join(text)
+    rows = [(None if i % 40 == 7 else i, changed(base if i % 2 else other, 1)) for i in range(240)]
+    rows += [(1000 + i, changed(base, 6)) for i in range(60)] + [(2000 + i, changed(base, 2)) for i in range(30)]
+    rng.shuffle(rows)
+    for percent in (85, 80):
+        got = minhash.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"), percent).collect()
+        assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got), key=str) == brute_components(rows, percent)
+
+
+def test_dropping_goes_by_id_and_text(spark):
+    rng = random.Random(4)
+    a, b = words(rng, 100), words(rng, 100)
+    rows = [(1, a, "x"), (None, a, "x"), (None, b, "y"), (None, None, "n"), (5, None, None), (2, b + " tail", "z"), (2, a, "w"), (1, a, "x")]
+    rows += [(None, words(rng, 30), "many") for _ in range(300)]
+    got = minhash.drop_near_duplicates(spark.createDataFrame(rows, "doc_id long, text string, seen string")).collect()
+    # a's group keeps id 1 (both rows), b's group keeps id 2, other texts without id stay
+    assert sorted((r.doc_id, r.seen) for r in got if r.seen and r.doc_id) == [(1, "x"), (1, "x"), (2, "z")]
+    assert sorted(r.seen for r in got if r.doc_id is None) == ["many"] * 300 + ["n"]
+    assert [r.seen for r in got if r.doc_id == 5] == [None]
+
+
+def test_maybe_in_lets_all_wanted_through(spark):
+    from pyspark.sql import functions as F
+
+    from gridlake.llm.common import maybe_in
+    rows = spark.range(50_000).select(F.xxhash64("id").alias("k"), "id", F.lit(1).alias("_place"))
+    wanted = rows.filter("id % 50 = 0").select("k")
+    got = maybe_in(rows, "k", wanted, 1000).filter("_maybe")
+    assert got.columns == ["k", "id", "_place", "_maybe"]
+    assert got.filter("id % 50 = 0").count() == 1000 and got.count() < 8000
+    assert maybe_in(rows, "k", wanted.filter("false"), 0).filter("_maybe").count() == 0
