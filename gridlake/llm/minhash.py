@@ -160,18 +160,24 @@ def _bands(batches):
 class _Nodes:
     """The nodes of a block, or of two."""
 
-    def __init__(self, blocks: list[pa.StructArray], percent: int):
-        self.percent, self.first = percent, len(blocks[0])
+    def __init__(self, blocks: list[pa.StructArray], percent: int, joined: dict | None = None):
+        self.percent, self.first, self.joined = percent, len(blocks[0]), {} if joined is None else joined
         self.has = {f.name for f in blocks[0].type}
         field = {c: [x for b in blocks for x in b.field(c).to_pylist()] for c in self.has}
         self.node, self.n = np.array(field["node"], dtype=np.int64), np.array(field["n_shingles"], dtype=np.float64)
         self.reg = np.frombuffer(b"".join(field["registers"]), dtype=np.int16).reshape(-1, REGISTERS)
         self.set = [np.frombuffer(x, dtype=np.uint64) for x in field.get("elements", [])]
-        own = field.get("comp", field["node"])
+        own = [self.top(c) for c in field.get("comp", field["node"])]
         self.comp, seen = np.array(own, dtype=np.int64), {}
         # connected by links found before
         self.root = [seen.setdefault(c, i) for i, c in enumerate(own)]
 
+    def top(self, comp: int) -> int:
+        """The component that holds ``comp`` by the links that this task has found."""
+        while comp in self.joined:
+            comp = self.joined[comp]
+        return comp
+
     def find(self, i: int) -> int:
         while self.root[i] != i:
             self.root[i] = self.root[self.root[i]]
@@ -226,6 +232,7 @@ class _Nodes:
             x, y = int(i[k]), int(j[k])
             if self.find(x) != self.find(y) and _similar(self.set[x], self.set[y], self.percent):
                 self.root[self.find(x)] = self.find(y)
+                self.joined[self.top(int(self.comp[x]))] = self.top(int(self.comp[y]))
                 out.append((int(self.node[x]), int(self.node[y])))
         return {"a": [x for x, _ in out], "b": [y for _, y in out]}
 
@@ -237,22 +244,32 @@ def _similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def _in_blocks(percent: int, what: str, schema: dict):
     """``what`` of _Nodes for each row: inside its block (members), or across
-    its two blocks (members, others)."""
+    its two blocks (members, others). A task returns a node of a bucket once,
+    and no second link between components that it has linked, however many
+    pairs of blocks it meets (it forgets after _REMEMBERED of them)."""
     def run(batches):
+        joined, given = {}, set()
         for batch in batches:
+            if len(joined) > _REMEMBERED or len(given) > _REMEMBERED:
+                joined.clear()
+                given.clear()
             out = {c: [] for c in schema}
             columns = [c for c in ("members", "others") if c in batch.schema.names]
             for row in range(batch.num_rows):
                 blocks = [batch.column(c).slice(row, 1).flatten() for c in columns]
-                got = getattr(_Nodes(blocks, percent), what)(len(blocks) == 2)
+                got = getattr(_Nodes(blocks, percent, joined), what)(len(blocks) == 2)
                 if "bucket" in out:
-                    got["bucket"] = [batch.column("bucket")[row].as_py()] * len(got["node"])
+                    bucket = batch.column("bucket")[row].as_py()
+                    new = [x for x in got["node"] if (bucket, x) not in given]
+                    given.update((bucket, x) for x in new)
+                    got = {"node": new, "bucket": [bucket] * len(new)}
                 for c in out:
                     out[c] += got[c]
             yield pa.RecordBatch.from_pydict({c: pa.array(out[c], type=t) for c, t in schema.items()})
     return run
 
 
+_REMEMBERED = 500_000
 _PAIR = {"a": pa.int64(), "b": pa.int64()}
 
 

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import store
+from .common import free_name, store
 
 #: weights by the place of the source's name, repeating
 WEIGHTS = (5, 2, 1)
@@ -86,9 +86,36 @@ def mix_sources(documents: DataFrame, weights: dict | None = None) -> DataFrame:
     * no words at all: targets and taken are 0; extra columns are not read; an
       empty table gives an empty result.
     """
-    docs = store(documents.select(
-        "doc_id", "source", n_words().alias("size"),
-        F.xxhash64("doc_id", F.col("doc_id").isNull(), "source", F.col("source").isNull(), "text").alias("unit")), "mix-sizes")
+    docs = _sized(documents)
+    taken, goal = _taken(docs, weights)
+    rows = docs.join(taken, "unit", "left")
+    return rows.join(goal, rows.source.eqNullSafe(goal.of)).select(
+        "doc_id", "size", "source", "source_size", "target", F.coalesce("offers", F.lit(0)).cast("long").alias("copies"),
+        (F.coalesce("offers", F.lit(0)) * F.col("size")).alias("taken"))
+
+
+def mix_documents(documents: DataFrame, weights: dict | None = None) -> DataFrame:
+    """The rows of documents that ``mix_sources`` takes, with all their columns
+    and ``copies``, the times that each is taken. Nulls, repeats and empty
+    tables as there: a row without words is never taken."""
+    unit, copies = free_name("_unit", documents), free_name("copies", documents)
+    taken, _ = _taken(_sized(documents), weights)
+    named = documents.withColumn(unit, _unit()).filter(n_words() > 0)
+    taken = taken.select(F.col("unit").alias(unit), F.col("offers").alias(copies))
+    return named.join(taken, unit).select(*documents.columns, copies)
+
+
+def _unit() -> Column:
+    """A name for the rows that are equal in id, source and text."""
+    return F.xxhash64("doc_id", F.col("doc_id").isNull(), "source", F.col("source").isNull(), "text")
+
+
+def _sized(documents: DataFrame) -> DataFrame:
+    return store(documents.select("doc_id", "source", n_words().alias("size"), _unit().alias("unit")), "mix-sizes")
+
+
+def _taken(docs: DataFrame, weights: dict | None) -> tuple[DataFrame, DataFrame]:
+    """(unit, offers) of what the mix takes, and the sources' targets."""
     got = docs.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n")).collect()
     want = targets([(r.source, r.source_size) for r in got], weights)
     goal = docs.sparkSession.createDataFrame(
@@ -109,7 +136,4 @@ def mix_sources(documents: DataFrame, weights: dict | None = None) -> DataFrame:
     offers = _running(offers, [], F.floor(F.col("finish") * cells).cast("long"), ["finish", "source", "key", "unit"], "words", "queue")
     taken = offers.filter(F.col("queue") - F.col("words") / 2 <= sum(want.values())).groupBy("unit").agg(
         F.count("*").alias("offers"))
-    rows = docs.join(taken, "unit", "left")
-    return rows.join(goal, rows.source.eqNullSafe(goal.of)).select(
-        "doc_id", "size", "source", "source_size", "target", F.coalesce("offers", F.lit(0)).cast("long").alias("copies"),
-        (F.coalesce("offers", F.lit(0)) * F.col("size")).alias("taken"))
+    return taken, goal

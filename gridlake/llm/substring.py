@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import _IP, _P, _pow, Texts, free_name, lists, longs, map_texts, mix, slices, store
+from .common import _IP, _P, _pow, Texts, free_name, lists, longs, map_texts, maybe_in, mix, slices, store
 
 WINDOW = 50
 ROUNDS = 2
@@ -106,7 +106,7 @@ def _pass(rows: pa.RecordBatch, texts: Texts) -> dict:
     sha = [hashlib.sha256(b" ".join(texts.bytes_of(i).split())).hexdigest() for i in range(len(texts))]
     counts = np.bincount(doc, minlength=len(n))
     return {
-        "doc_id": rows.column("doc_id").cast(pa.int64()), "n_words": longs(n), "seq": longs(_text_name(h, texts)),
+        "doc_id": rows.column("doc_id").cast(pa.int64()), "seen": rows.column("seen"), "n_words": longs(n), "seq": longs(_text_name(h, texts)),
         "sha": pa.array(sha, type=pa.string()), "symbols": lists(longs(symbol), counts),
         "places": lists(pa.array((at - texts.first[:-1][doc]).astype(np.int32)), counts),
     }
@@ -164,22 +164,26 @@ def repeated_passages(documents: DataFrame) -> tuple[DataFrame, DataFrame]:
     n_words, sha, whole (true: every word goes, as the text is a copy). cuts:
     doc_id, seq, n_removed, kept, kept_sha256 of the documents that lose
     some words otherwise; one row for each (doc_id, seq)."""
-    documents = documents.select("doc_id", "text")
-    seen = store(map_texts(documents, _pass, "doc_id long, n_words long, seq long, sha string, "
+    documents = documents.select("doc_id", "text", F.xxhash64("text").alias("seen"))
+    seen = store(map_texts(documents, _pass, "doc_id long, seen long, n_words long, seq long, sha string, "
                            "symbols array<long>, places array<int>"), "symbols")
     texts = store(seen.groupBy("seq").agg(F.min("doc_id").alias("rep")), "texts")
     rows = seen.select("doc_id", "seq", "n_words", "sha").join(texts, "seq").withColumn(
         "whole", (F.col("n_words") >= WINDOW) & F.coalesce(F.col("doc_id") > F.col("rep"), F.lit(False)))
     rows = store(rows, "rows")
-    each = seen.select("doc_id", "seq", F.explode(F.arrays_zip("symbols", "places")).alias("x")).select(
-        "doc_id", "seq", F.col("x.symbols").alias("symbol"), F.col("x.places").alias("place"))
+    each = seen.select("doc_id", "seen", "seq", F.explode(F.arrays_zip("symbols", "places")).alias("x")).select(
+        "doc_id", "seen", "seq", F.col("x.symbols").alias("symbol"), F.col("x.places").alias("place"))
     shared = store(each.groupBy("symbol").agg(F.min("seq").alias("a"), F.max("seq").alias("b"))
                    .filter("a <> b").select("symbol"), "shared")
-    near = store(each.join(shared, "symbol").groupBy("doc_id", "seq").agg(F.collect_list("place").alias("places")), "near")
+    near = store(each.join(shared, "symbol").groupBy("doc_id", "seen", "seq").agg(F.collect_set("place").alias("places")), "near")
     first = rows.filter("not whole").select("doc_id", "seq").distinct()
     near = store(near.join(first, [near.doc_id.eqNullSafe(first.doc_id), near.seq == first.seq], "left_semi"), "look")
-    found = documents.join(near.withColumnRenamed("doc_id", "id"), F.col("doc_id").eqNullSafe(F.col("id"))).select(
-        "doc_id", "seq", "text", "places")
+    # texts are fetched by id and hash, and few others are moved
+    n_near = near.count()
+    texts = maybe_in(documents.select(F.coalesce("doc_id", F.lit(0)).alias("id"), F.col("doc_id").isNull().alias("none"), "seen", "text"),
+                     "seen", near, n_near).filter("_maybe").drop("_maybe")
+    found = texts.join(near.withColumn("id", F.coalesce("doc_id", F.lit(0))).withColumn("none", F.col("doc_id").isNull()),
+                       ["id", "none", "seen"]).select("doc_id", "seq", "text", "places")
     found = store(map_texts(found, _own, "doc_id long, seq long, text string, places array<int>")
                   .dropDuplicates(["doc_id", "seq"]), "look")
     windows = store(map_texts(found, _windows, "window long, doc_id long, seq long, start int"), "windows")
@@ -242,8 +246,13 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     whole = rows.filter("whole").select(F.col("doc_id").alias(of_id), F.col("seq").alias(of_seq)).distinct()
     cuts = cuts.select(F.col("doc_id").alias(of_id), F.col("seq").alias(of_seq), F.col("kept").alias(kept))
     changes = store(cuts.union(whole.withColumn(kept, F.lit(""))), "changes")
-    out = documents.mapInArrow(name, schema).join(
+    # only rows that may change are moved
+    maybe = free_name("_maybe", documents)
+    named = maybe_in(documents.mapInArrow(name, schema), own_seq, changes.withColumnRenamed(of_seq, own_seq), changes.count(), maybe)
+    some = named.filter(maybe).drop(maybe).join(
         changes, (F.col("doc_id") == F.col(of_id)) & (F.col(own_seq) == F.col(of_seq)), "left")
+    same = named.filter(~F.col(maybe)).drop(maybe)
+    out = some.unionByName(same, allowMissingColumns=True)
     out = out.filter(F.col(kept).isNull() | (F.col(kept) != "")).withColumn("text", F.coalesce(kept, "text"))
     if "n_chars" in documents.columns:
         kind = documents.schema["n_chars"].dataType
