@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gridlake.llm.common import store, table
 from gridlake.llm.langid import keep_identified
 from gridlake.llm.minhash import drop_near_duplicates
-from gridlake.llm.mixing import mix_sources
+from gridlake.llm.mixing import mix_documents
 from gridlake.llm.spaced import decontaminate
 from gridlake.llm.substring import remove_repeats
 
@@ -39,7 +39,7 @@ def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return mix_sources(docs).filter("copies > 0")
+    return mix_documents(docs)
 
 
 STAGES = [
