@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import sys
+import uuid
 from collections.abc import Callable
 from functools import reduce
 
@@ -30,7 +31,7 @@ from gridlake.operators import (  # noqa: E402
 )
 from gridlake.plans import platinum as P  # noqa: E402
 from gridlake.plans.medallion import Layers, as_of_literal  # noqa: E402
-from gridlake.plans.refresh import refresh  # noqa: E402
+from gridlake.plans.refresh import current_run, open_model, refresh  # noqa: E402
 from gridlake.registry import (  # noqa: E402
     CONTRACTS,
     GOLD_EXPECTATIONS,
@@ -45,7 +46,15 @@ from gridlake.registry import (  # noqa: E402
 )
 from gridlake.session import ensure_utc, scratch_path  # noqa: E402
 from gridlake.sources.landing import read_landing, write_landing  # noqa: E402
-from gridlake.sources.store import CLUSTER_BY, file_count, write_clustered  # noqa: E402
+from gridlake.sources.store import (  # noqa: E402
+    CLUSTER_BY,
+    ZORDER_BY,
+    files_for,
+    files_to_read,
+    text_bytes,
+    write_clustered,
+    write_zordered,
+)
 from gridlake.streaming.bronze import ingest, landing_path, read_raw_table  # noqa: E402
 
 try:                                    # the subpackage can be absent: all else works without it
@@ -236,8 +245,8 @@ def _land_two_layouts(spark: SparkSession, sf_dir: str, landing: str) -> list[st
     early = raw.filter(~late).select(*data_cols)
     later = raw.filter(late).select(*reversed(data_cols), F.lit("added").alias("Notes"))
     # ~128 MB drops (at least two files per layout, so files of both layouts interleave)
-    write_landing(early, landing, files=max(2, file_count(early)))
-    write_landing(later, landing, files=max(2, file_count(later)))
+    for part in (early, later):
+        write_landing(part, landing, files=max(2, files_for(text_bytes(part))))
     return data_cols + ["Notes"]
 
 
@@ -259,25 +268,61 @@ def q_bronze_stream_ingest(spark, sf_dir):
     return normalize_nulls(read_raw_table(spark, table).select(*cols), NULL_TOKENS_8)
 
 
+def _land_all(spark: SparkSession, sf_dir: str, landing: str) -> None:
+    for s in SPECS:
+        raw = _raw(spark, sf_dir, s.raw_table).drop(*_LINEAGE)
+        write_landing(raw, landing_path(landing, s.utility_id, s.dataset), files=max(2, files_for(text_bytes(raw))))
+
+
+def q_refresh_failed_run(spark, sf_dir):
+    """S9: a run over all drops, then more drops (every feeder-less DER row of
+    utility 1 again, under new ids) and a run that fails in Platinum. Readers
+    see run one whole, through the catalog and through the pointer alike."""
+    landing, model = scratch_path(spark, "landing"), scratch_path(spark, "model")
+    _land_all(spark, sf_dir, landing)
+    prefix = f"r{uuid.uuid4().hex[:12]}_"
+    first = refresh(spark, landing, model, as_of=as_of_literal(), database_prefix=prefix)
+    for s in SPECS:
+        if s.utility_id == "utility_1" and s.dataset != "circuits":
+            again = _raw(spark, sf_dir, s.raw_table).drop(*_LINEAGE)
+            write_landing(again.withColumn(s.key, F.concat(F.lit("again-"), s.key)), landing_path(landing, s.utility_id, s.dataset), files=1)
+
+    class Stopped(Exception):
+        pass
+
+    def stop(name: str) -> None:
+        if name == "platinum.v_der_by_feeder":
+            raise Stopped
+    try:
+        refresh(spark, landing, model, as_of=as_of_literal(), database_prefix=prefix, on_table=stop)
+    except Stopped:
+        pass
+    seen = open_model(spark, model)
+    parts = []
+    for t in ("dim_feeder", "fact_installed_der", "fact_planned_der"):
+        for how, df in (("catalog", spark.table(f"{prefix}gold.{t}")), ("pointer", seen[f"gold.{t}"])):
+            parts.append(df.groupBy(F.lit(t).alias("table_name"), F.lit(how).alias("read_through"), "utility_id").agg(
+                F.count("*").alias("n_rows"), F.lit(current_run(spark, model) == first.run).alias("of_first_run")))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def q_refresh_tables(spark, sf_dir):
     """The whole refresh, CSV drops of all six datasets to serving views, read
     through the catalog: rows of each stored Bronze and fact table by utility
     and environment, with how many of them name a CSV file of their own drop
     and how many load times they carry (one for each triggered run)."""
     landing = scratch_path(spark, "landing")
-    for s in SPECS:
-        raw = _raw(spark, sf_dir, s.raw_table)
-        raw = raw.drop(*_LINEAGE)
-        write_landing(raw, landing_path(landing, s.utility_id, s.dataset), files=max(2, file_count(raw)))
-    refresh(spark, landing, scratch_path(spark, "model"), as_of=as_of_literal())
-    parts = [spark.table(f"bronze.{s.raw_table}").groupBy(
+    _land_all(spark, sf_dir, landing)
+    prefix = f"r{uuid.uuid4().hex[:12]}_"
+    refresh(spark, landing, scratch_path(spark, "model"), as_of=as_of_literal(), database_prefix=prefix)
+    parts = [spark.table(f"{prefix}bronze.{s.raw_table}").groupBy(
         F.lit(f"bronze.{s.raw_table}").alias("table_name"), F.col("_utility_id").alias("utility_id"),
         F.col("_environment").alias("environment")).agg(
             F.count("*").alias("n_rows"),
             F.count_if(F.col("_source_file").contains(f"/{s.utility_id}/{s.dataset}/")
                        & F.col("_source_file").endswith(".csv")).alias("from_own_drop"),
             F.count_distinct("_ingestion_ts").alias("load_times")) for s in SPECS]
-    parts += [spark.table(f"gold.{t}").groupBy(
+    parts += [spark.table(f"{prefix}gold.{t}").groupBy(
         F.lit(f"gold.{t}").alias("table_name"), "utility_id", F.lit(None).cast("string").alias("environment")).agg(
             F.count("*").alias("n_rows"), F.lit(None).cast("long").alias("from_own_drop"),
             F.lit(None).cast("long").alias("load_times")) for t in ("fact_installed_der", "fact_planned_der")]
@@ -291,16 +336,31 @@ def q_clustered_hc_lookup(spark, sf_dir):
     path = scratch_path(spark, "v_feeders_by_hc")
     view = _layers(spark, sf_dir).platinum["v_feeders_by_hc"]
     cols, tiebreak = CLUSTER_BY["v_feeders_by_hc"]
-    write_clustered(view, path, cols, tiebreak=tiebreak)   # file count from the size estimate
+    write_clustered(view, path, cols, tiebreak=tiebreak)
     return P.feeders_by_hc(spark.read.parquet(path), min_hc=500.0)
 
 
+ZORDER_FILES = 16
+
+
+def q_zorder_lookup(spark, sf_dir):
+    """S10: v_feeder_map_summary along a Z-curve over (utility_id, feeder_id):
+    for every value of either column the rows that a lookup finds, and whether
+    the files' spans rule out part of the files."""
+    path = scratch_path(spark, "v_feeder_map_summary")
+    cols, tiebreak = ZORDER_BY["v_feeder_map_summary"]
+    write_zordered(_layers(spark, sf_dir).platinum["v_feeder_map_summary"], path, cols, files=ZORDER_FILES, tiebreak=tiebreak)
+    stored = spark.read.parquet(path)
+    return reduce(DataFrame.unionByName, [files_to_read(stored, c).select(
+        F.lit(c).alias("column_name"), "value", "n_rows", (F.col("files_to_read") < F.col("files")).alias("skips")) for c in cols])
+
+
 def q_clustered_der_lookup(spark, sf_dir):
     """S10 + F11: v_der_by_feeder clustered on feeder_id, point lookup."""
     path = scratch_path(spark, "v_der_by_feeder")
     view = _layers(spark, sf_dir).platinum["v_der_by_feeder"]
     cols, tiebreak = CLUSTER_BY["v_der_by_feeder"]
-    write_clustered(view, path, cols, tiebreak=tiebreak)   # file count from the size estimate
+    write_clustered(view, path, cols, tiebreak=tiebreak)
     return P.der_for_feeder(spark.read.parquet(path), "24")
 
 
@@ -349,6 +409,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "refresh_tables": q_refresh_tables,
         "clustered_hc_lookup": q_clustered_hc_lookup,
         "clustered_der_lookup": q_clustered_der_lookup,
+        "zorder_lookup": q_zorder_lookup,
+        "refresh_failed_run": q_refresh_failed_run,
     })
     if llm is not None:
         out.update(llm.queries())

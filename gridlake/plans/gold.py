@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from gridlake.functions import global_id, global_id_nullsafe
 from gridlake.operators.aggregate import feeder_rollup
-from gridlake.registry import DER_TYPES, GOLD_COLUMNS, GOLD_DATASET, SPECS, UTILITIES, DatasetSpec, RunOptions
+from gridlake.registry import DER_TYPES, GOLD_COLUMNS, GOLD_DATASET, GOLD_ORDER, SPECS, UTILITIES, DatasetSpec, RunOptions
 
 
 def _ts(as_of: Column | None) -> Column:
@@ -57,7 +57,7 @@ def conformed(table: str, silver: Mapping, as_of: Column | None = None,
                 "global_feeder_id": global_id_nullsafe("utility_id", "feeder_id"),
                 "der_status": F.lit(dataset.removesuffix("_der")),
                 "_feeder_missing": F.col("feeder_id").isNull()}
-    return rows.select("*", *[c.alias(n) for n, c in more.items()], _ts(as_of).alias("_gold_created_ts"))
+    return rows.select("*", *[c.alias(n) for n, c in more.items()], _ts(as_of).alias("_gold_created_ts")).select(*GOLD_ORDER[table])
 
 
 def dim_utility(spark: SparkSession, as_of: Column | None = None) -> DataFrame:

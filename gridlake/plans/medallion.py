@@ -21,7 +21,7 @@ from gridlake.plans.silver import build_silver, build_typed
 from gridlake.registry import GOLD_COLUMNS, SPECS, RunOptions
 from gridlake.session import scratch_path
 from gridlake.sources.derived import RAW_TABLES, raw_frame
-from gridlake.sources.store import CLUSTER_BY, write_balanced, write_clustered
+from gridlake.sources.store import CLUSTER_BY, ZORDER_BY, write_balanced, write_clustered, write_zordered
 
 DEFAULT_AS_OF = "2024-02-15 00:00:00"
 
@@ -121,11 +121,14 @@ class Layers:
 
 
 def store_table(spark: SparkSession, df: DataFrame, path: str, name: str = "") -> DataFrame:
-    """Store one table (range-clustered when it is a serving view with lookup
-    keys, otherwise AQE-balanced files) and return the stored copy."""
+    """Store one table (clustered when it is a serving view with lookup keys,
+    otherwise AQE-balanced files) and return the stored copy."""
     if name in CLUSTER_BY:
         cols, tiebreak = CLUSTER_BY[name]
         write_clustered(df, path, cols, tiebreak=tiebreak)
+    elif name in ZORDER_BY:
+        cols, tiebreak = ZORDER_BY[name]
+        write_zordered(df, path, cols, tiebreak=tiebreak)
     else:
         write_balanced(df, path)
     return spark.read.parquet(path)

@@ -1,51 +1,134 @@
-"""Table sinks: balanced writes and range-clustered writes for data skipping.
+"""Table sinks: balanced writes, and clustered writes for data skipping.
 
 ``write_clustered`` range-partitions on the lookup columns and sorts within
 each partition, so every parquet file (and row group) covers a disjoint
 min/max range of those columns; a pushed-down predicate on them then skips
 whole files and row groups. For a two-column key the lexicographic range
 order serves equality on the first column plus range/equality on the
-second. ``write_balanced`` lets AQE split skewed and merge tiny partitions
-so output files come out even-sized.
+second. ``write_zordered`` orders by a space-filling curve over the columns'
+quantile ranks instead, so that a predicate on any one of them skips files.
+``write_balanced`` lets AQE split skewed and merge tiny partitions so output
+files come out even-sized.
+
+The number of files follows from measured bytes: a clustered write stores its
+rows once as they come, looks up what they take, and orders the stored copy.
+The copy also serves the sampling of the range bounds, which would else run
+the whole plan a second time.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from pyspark.sql import DataFrame
+from gridlake.session import scratch_path
 
 TARGET_FILE_BYTES = 128 << 20
 
 
-def estimated_bytes(df: DataFrame) -> int:
-    """The optimizer's size estimate of ``df`` (no job is run)."""
-    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Bytes of the files under ``path`` (a listing, no job)."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return int(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getContentSummary(p).getLength())
+
 
+def text_bytes(df: DataFrame) -> int:
+    """Bytes that the rows of ``df`` take as quoted text (one aggregate)."""
+    one = F.octet_length(F.concat_ws(",", *[F.col(f"`{c}`").cast("string") for c in df.columns])) + 2 * len(df.columns) + 1
+    return int(df.agg(F.sum(one.cast("long"))).first()[0] or 0)
 
-def file_count(df: DataFrame, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    return max(1, math.ceil(estimated_bytes(df) / target_bytes))
+
+def files_for(n_bytes: int, target_bytes: int = TARGET_FILE_BYTES) -> int:
+    return max(1, math.ceil(n_bytes / target_bytes))
 
 
 def write_balanced(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     df.hint("rebalance").write.mode(mode).parquet(path)
 
 
+def _staged(df: DataFrame, files: int | None) -> tuple[DataFrame, int]:
+    path = scratch_path(df.sparkSession, "unclustered")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), files or files_for(stored_bytes(df.sparkSession, path))
+
+
 def write_clustered(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None,
                     mode: str = "overwrite", tiebreak: Sequence[str] = ()) -> None:
     """Range-cluster on ``columns``. ``tiebreak`` (a unique column) is
     appended to the range key: when one value holds a large share of the
     rows, the sampled range bounds can then cut inside that value, so it is
     spread over several files instead of one oversized task and file."""
-    n = files or file_count(df)
+    rows, n = _staged(df, files)
     key = [*columns, *tiebreak]
-    df.repartitionByRange(n, *key).sortWithinPartitions(*key).write.mode(mode).parquet(path)
+    rows.repartitionByRange(n, *key).sortWithinPartitions(*key).write.mode(mode).parquet(path)
+
+
+# -- space-filling curve ------------------------------------------------------
+
+#: Ranks of a column have this many bits.
+RANK_BITS = 6
+#: Rows whose values bound the ranks of all columns (chosen by hash), at most.
+RANK_SAMPLE = 8192
+
+
+def rank_bounds(sample: DataFrame, column: str) -> list:
+    """``2**RANK_BITS - 1`` ascending values that cut the sampled rows into
+    parts of equal size; a frequent value is several of them, so that the
+    ranks of few values are far apart."""
+    got = sorted(r[0] for r in sample.select(column).collect() if r[0] is not None)
+    parts = 1 << RANK_BITS
+    return [got[k * len(got) // parts] for k in range(1, parts)] if got else []
+
+
+def curve_key(ranks: Sequence[Column]) -> Column:
+    """The ranks' bits interleaved, the highest first."""
+    bits = [F.shiftleft(F.shiftright(r, b).bitwiseAND(F.lit(1)), b * len(ranks) + len(ranks) - 1 - i)
+            for b in range(RANK_BITS) for i, r in enumerate(ranks)]
+    return reduce(lambda x, y: x.bitwiseOR(y), bits)
+
+
+def write_zordered(df: DataFrame, path: str, columns: Sequence[str], files: int | None = None,
+                   mode: str = "overwrite", tiebreak: Sequence[str] = ()) -> None:
+    """Order by a Z-curve over the columns' quantile ranks: each file covers a
+    small box in all of them, whatever the values' distribution. Only the
+    bounds come from a sample (``RANK_SAMPLE`` rows by hash); every row is
+    ranked. NULL has rank 0. A value with a large share of the rows is one
+    rank, inside which ``tiebreak`` spreads rows over files."""
+    rows, n = _staged(df, files)
+    sample = rows.select(*columns).orderBy(F.xxhash64(*rows.columns)).limit(RANK_SAMPLE)
+
+    def rank(column: str) -> Column:
+        bounds = rank_bounds(sample, column)
+        kind = rows.schema[column].dataType
+        held = F.array(*[F.lit(x).cast(kind) for x in bounds]) if bounds else F.array().cast(f"array<{kind.simpleString()}>")
+        return F.when(F.col(column).isNull(), 0).otherwise(F.size(F.filter(held, lambda x: x <= F.col(column)))).cast("long")
+
+    keyed = rows.withColumn("_curve", curve_key([rank(c) for c in columns]))
+    order = ["_curve", *tiebreak]
+    keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_curve").write.mode(mode).parquet(path)
+
+
+def files_to_read(stored: DataFrame, column: str) -> DataFrame:
+    """(value, n_rows, files_to_read, files) for each value of ``column`` of a
+    stored table: the files whose smallest and largest value do not rule the
+    value out, which is what a reader of the footers has to open."""
+    spans = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    n_files = spans.agg(F.count("*").alias("files"))
+    values = stored.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n_rows"))
+    # a row per file and value that meet in the file's span
+    both = values.join(spans, (F.col("low") <= F.col("value")) & (F.col("value") <= F.col("high")))
+    return both.groupBy("value", "n_rows").agg(F.count("*").alias("files_to_read")).join(n_files, F.lit(True))
 
 
 # Clustering of the serving tables: (lookup columns, unique tie-break).
 CLUSTER_BY = {
     "v_feeders_by_hc": (("max_hosting_capacity_mw",), ("global_feeder_id",)),
     "v_der_by_feeder": (("feeder_id",), ("der_id",)),
-    "v_feeder_map_summary": (("utility_id", "feeder_id"), ("global_feeder_id",)),
 }
+
+# Serving tables that are looked up by either of two columns.
+ZORDER_BY = {"v_feeder_map_summary": (("utility_id", "feeder_id"), ("global_feeder_id",))}

@@ -338,6 +338,20 @@ def refresh_tables_sql(o: Oracle) -> str:
     return o.query("\nUNION ALL\n".join(parts), [s.raw_table for s in SPECS])
 
 
+def refresh_failed_run_sql(o: Oracle) -> str:
+    """Both ways of reading give the rows of the first run."""
+    parts = [f"SELECT '{t}' AS table_name, '{how}' AS read_through, utility_id, COUNT(*) AS n_rows, TRUE AS of_first_run "
+             f"FROM {t} GROUP BY utility_id" for t in ("dim_feeder", "fact_installed_der", "fact_planned_der")
+             for how in ("catalog", "pointer")]
+    return o.query("\nUNION ALL\n".join(parts), ["dim_feeder", "fact_installed_der", "fact_planned_der"])
+
+
+def zorder_lookup_sql(o: Oracle) -> str:
+    parts = [f"SELECT '{c}' AS column_name, CAST({c} AS VARCHAR) AS value, COUNT(*) AS n_rows, TRUE AS skips "
+             f"FROM v_feeder_map_summary WHERE {c} IS NOT NULL GROUP BY {c}" for c in ("utility_id", "feeder_id")]
+    return o.query("\nUNION ALL\n".join(parts), ["v_feeder_map_summary"])
+
+
 def sql_for(name: str) -> str:
     """Oracle SQL for a registered query name."""
     o = oracle()
@@ -424,6 +438,10 @@ FROM u2_planned_der_raw""", ["u2_install_der_raw", "u2_planned_der_raw"])
                        f"UNION ALL {ids} u1_planned_der_clean)", ["u1_install_der_clean", "u1_planned_der_clean"])
     if name == "refresh_tables":
         return refresh_tables_sql(o)
+    if name == "refresh_failed_run":
+        return refresh_failed_run_sql(o)
+    if name == "zorder_lookup":
+        return zorder_lookup_sql(o)
     if name == "expectation_metrics":
         return expectation_metrics_sql(o)
     if name == "contract_violations":
