@@ -20,6 +20,7 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from gridlake import functions as GF  # noqa: E402
 from gridlake.operators import (  # noqa: E402
+    LatestState,
     apply_column_map,
     check_contract,
     dq_alerts,
@@ -27,6 +28,7 @@ from gridlake.operators import (  # noqa: E402
     feeder_rollup,
     latest_per_key,
     normalize_nulls,
+    split_by_expectations,
     stale_datasets,
 )
 from gridlake.plans import platinum as P  # noqa: E402
@@ -203,6 +205,39 @@ def q_expectation_metrics(spark, sf_dir):
     return reduce(DataFrame.unionByName, frames)
 
 
+def q_expectation_quarantine(spark, sf_dir):
+    """Q1/Q2: every Silver table stored in one pass with its rules' failure
+    bits. For each rule the failures that the pass has counted, those found in
+    what it has stored, and the rows kept and quarantined."""
+    parts = []
+    for s in SPECS:
+        split = split_by_expectations(_layers(spark, sf_dir).silver_typed[s.silver_table], s.expectations,
+                                      scratch_path(spark, f"split-{s.silver_table}"))
+        found = split.stored.agg(F.count_if(F.col("_quarantined") == 0).alias("kept_rows"),
+                                 F.count_if(F.col("_quarantined") == 1).alias("quarantined_rows"),
+                                 *[F.count_if(F.col("_failed").bitwiseAND(F.lit(1 << i)) != 0).alias(f"f{i}") for i in range(len(s.expectations))])
+        rules = F.array(*[F.struct(F.lit(e.name).alias("expectation"), F.lit(e.action).alias("action"),
+                                   F.lit(split.metrics[e.name]).cast("long").alias("failed_rows"), F.col(f"f{i}").alias("stored_failed_rows"))
+                          for i, e in enumerate(s.expectations)])
+        parts.append(found.select(F.lit(s.silver_table).alias("table_name"), F.inline(rules), "kept_rows", "quarantined_rows"))
+    return reduce(DataFrame.unionByName, parts)
+
+
+LATEST_DROPS = 6
+
+
+def q_latest_incremental(spark, sf_dir):
+    """W1 over drops: the circuits' raw rows arrive in LATEST_DROPS drops (by a
+    hash of the row) and are merged one by one into a stored state, whose rows
+    are those of one pass over everything."""
+    r = normalize_nulls(_raw(spark, sf_dir, "u1_circuits_raw"), NULL_TOKENS_9)
+    state = LatestState(spark, scratch_path(spark, "latest"), spec("utility_1", "circuits").key, fanout=3)
+    drop = F.pmod(F.xxhash64(*r.columns), F.lit(LATEST_DROPS))
+    for k in range(LATEST_DROPS):
+        state.merge(r.filter(drop == k))
+    return state.latest()
+
+
 def q_contract_violations(spark, sf_dir):
     L = _layers(spark, sf_dir)
     frames = [check_contract(L.table(table), cols, table) for (_layer, table), cols in CONTRACTS.items()]
@@ -410,6 +445,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clustered_hc_lookup": q_clustered_hc_lookup,
         "clustered_der_lookup": q_clustered_der_lookup,
         "zorder_lookup": q_zorder_lookup,
+        "latest_incremental": q_latest_incremental,
+        "expectation_quarantine": q_expectation_quarantine,
         "refresh_failed_run": q_refresh_failed_run,
     })
     if llm is not None:

@@ -13,10 +13,12 @@ from gridlake.operators.cleanse import (  # noqa: F401
     latest_per_key,
     normalize_nulls,
 )
+from gridlake.operators.incremental import LatestState  # noqa: F401
 from gridlake.operators.quality import (  # noqa: F401
     apply_expectations,
     check_contract,
     dq_alerts,
     expectation_metrics,
+    split_by_expectations,
     stale_datasets,
 )

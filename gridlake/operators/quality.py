@@ -5,6 +5,8 @@ Everything is a distributed aggregate; nothing is collected row-wise."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -52,6 +54,38 @@ def apply_expectations(df: DataFrame, expectations: Sequence[Expectation],
     return df
 
 
+@dataclass(frozen=True)
+class Split:
+    """Rows that satisfy every ``drop`` rule, rows that do not (with the names
+    of all rules that they fail), and the counts of the pass that wrote both."""
+    kept: DataFrame
+    quarantined: DataFrame
+    stored: DataFrame
+    metrics: dict
+
+
+def split_by_expectations(df: DataFrame, expectations: Sequence[Expectation], path: str) -> Split:
+    """Evaluate every rule once per row and store all rows in one pass, those
+    that a ``drop`` rule removes beside the others: ``stored`` has the columns
+    of df, ``_failed`` (bit i: rule i is not TRUE) and ``_quarantined``, by
+    which its files are partitioned, so readers of kept rows open no others."""
+    if not expectations or len(expectations) > 62:
+        raise ValueError("from 1 to 62 expectations")
+    failed = reduce(lambda a, b: a + b, [F.when(_passes(e), 0).otherwise(1 << i) for i, e in enumerate(expectations)])
+    drops = sum(1 << i for i, e in enumerate(expectations) if e.action == "drop")
+    counted = Observation()
+    rows = df.withColumn("_failed", failed.cast("long"))
+    rows = rows.withColumn("_quarantined", (F.col("_failed").bitwiseAND(F.lit(drops)) != 0).cast("int"))
+    rows = rows.observe(counted, F.count(F.lit(1)).alias("total_rows"), F.count_if(F.col("_quarantined") == 1).alias("quarantined_rows"),
+                        *[F.count_if(F.col("_failed").bitwiseAND(F.lit(1 << i)) != 0).alias(e.name) for i, e in enumerate(expectations)])
+    rows.write.partitionBy("_quarantined").parquet(path)
+    stored = df.sparkSession.read.schema(rows.schema).parquet(path)
+    names = F.filter(F.array(*[F.when(F.col("_failed").bitwiseAND(F.lit(1 << i)) != 0, e.name) for i, e in enumerate(expectations)]),
+                     lambda x: x.isNotNull())
+    return Split(stored.filter("_quarantined = 0").select(df.columns),
+                 stored.filter("_quarantined = 1").select(*df.columns, names.alias("failed_rules")), stored, counted.get)
+
+
 def check_contract(df: DataFrame, contract: Sequence[tuple], table: str) -> DataFrame:
     """Violations of a schema contract against the data itself.
 

@@ -309,6 +309,21 @@ def expectation_metrics_sql(o: Oracle) -> str:
     return o.query("\nUNION ALL\n".join(parts), deps)
 
 
+def expectation_quarantine_sql(o: Oracle) -> str:
+    parts, deps = [], []
+    for s in SPECS:
+        src = f"{s.silver_table}__typed"
+        drops = " OR ".join(f"NOT COALESCE({e.predicate}, FALSE)" for e in s.expectations if e.action == "drop") or "FALSE"
+        for e in s.expectations:
+            fails = f"CAST(COUNT(*) FILTER (WHERE NOT COALESCE({e.predicate}, FALSE)) AS BIGINT)"
+            parts.append(f"SELECT {_lit(s.silver_table)} AS table_name, {_lit(e.name)} AS expectation, {_lit(e.action)} AS action, "
+                         f"{fails} AS failed_rows, {fails} AS stored_failed_rows, "
+                         f"CAST(COUNT(*) FILTER (WHERE NOT ({drops})) AS BIGINT) AS kept_rows, "
+                         f"CAST(COUNT(*) FILTER (WHERE {drops}) AS BIGINT) AS quarantined_rows FROM {src}")
+        deps.append(src)
+    return o.query("\nUNION ALL\n".join(parts), deps)
+
+
 def contract_violations_sql(o: Oracle) -> str:
     parts, deps = [], []
     for (layer, table), cols in CONTRACTS.items():
@@ -381,7 +396,7 @@ SELECT ProjectID, Hybrid, {convert_sql('Hybrid', 'bool')} AS is_hybrid,
        CompletionDate, {convert_sql('CompletionDate', 'ts')} AS completion_date,
        NamePlateRating, {convert_sql('NamePlateRating', 'double')} AS nameplate_rating
 FROM u1_der_raw""", ["u1_der_raw"])
-    if name == "latest_per_key":
+    if name in ("latest_per_key", "latest_incremental"):
         cols = raw_columns("u1_circuits_raw")
         o.add("q_norm9", normalize_sql("u1_circuits_raw", cols, NULL_TOKENS_9), ["u1_circuits_raw"])
         rest = [c for c in cols if c not in (u1c.key, "_ingestion_ts")]
@@ -438,6 +453,8 @@ FROM u2_planned_der_raw""", ["u2_install_der_raw", "u2_planned_der_raw"])
                        f"UNION ALL {ids} u1_planned_der_clean)", ["u1_install_der_clean", "u1_planned_der_clean"])
     if name == "refresh_tables":
         return refresh_tables_sql(o)
+    if name == "expectation_quarantine":
+        return expectation_quarantine_sql(o)
     if name == "refresh_failed_run":
         return refresh_failed_run_sql(o)
     if name == "zorder_lookup":

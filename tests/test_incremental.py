@@ -1,0 +1,96 @@
+"""The stored state of the latest row per key, and rows kept or quarantined by
+the rules that one pass evaluates."""
+
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from gridlake.operators import LatestState, apply_expectations, latest_per_key, split_by_expectations
+from gridlake.registry import Expectation
+from gridlake.sources.pointer import current_run
+
+SCHEMA = "k string, v int, _ingestion_ts timestamp, _source_file string"
+
+
+def drops(n, rows_each, keys, seed=3):
+    rng = random.Random(seed)
+    return [[(rng.choice([None, "", *map(str, range(keys))]) if rng.random() < .1 else str(rng.randrange(keys)), rng.randrange(5),
+              f"2024-01-{rng.randrange(1, 9):02d} 00:00:00", rng.choice("ab")) for _ in range(rows_each)] for _ in range(n)]
+
+
+def frame(spark, rows):
+    return spark.createDataFrame(rows, "k string, v int, t string, _source_file string").selectExpr(
+        "k", "v", "CAST(t AS TIMESTAMP) AS _ingestion_ts", "_source_file")
+
+
+@pytest.mark.parametrize("keep_null_keys", [False, True])
+def test_state_equals_one_pass_after_every_drop(spark, tmp_dir, keep_null_keys):
+    state = LatestState(spark, os.path.join(tmp_dir, "s"), "k", keep_null_keys=keep_null_keys, fanout=2)
+    with pytest.raises(FileNotFoundError):
+        state.latest()
+    seen = []
+    for rows in drops(5, 60, 25):
+        state.merge(frame(spark, rows))
+        seen += rows
+        want = latest_per_key(frame(spark, seen), "k", keep_null_keys=keep_null_keys)
+        assert sorted(map(str, state.latest().collect())) == sorted(map(str, want.collect()))
+    state.merge(frame(spark, []))
+    assert sorted(map(str, state.latest().collect())) == sorted(map(str, want.collect()))
+
+
+def test_rows_read_follow_the_drop_not_the_state(spark, tmp_dir):
+    """Tasks count the rows they read: most drops cost their own rows only,
+    and all together cost their rows times the levels."""
+    state = LatestState(spark, os.path.join(tmp_dir, "s"), "k", fanout=4)
+    read = [state.merge(spark.range(100).selectExpr(
+        f"CAST(id + {100 * i} AS STRING) AS k", "1 AS v", "TIMESTAMP'2024-01-01' AS _ingestion_ts", "'f' AS _source_file")) for i in range(16)]
+    assert [r for r in read if r > 100] == [500, 500, 500, 500 + 1600] and read.count(100) == 12
+    assert sum(read) == 16 * 100 * 3
+    assert [(r.level, r.n_rows) for r in state.runs()] == [(2, 1600)]
+    assert state.latest().count() == 1600
+
+
+def test_failed_merge_leaves_the_state(spark, tmp_dir):
+    state = LatestState(spark, os.path.join(tmp_dir, "s"), "k")
+    state.merge(frame(spark, [("1", 1, "2024-01-01 00:00:00", "a")]))
+    before = current_run(spark, state.root)
+    bad = frame(spark, [("1", 2, "2024-01-02 00:00:00", "a")]).withColumn("v", F.raise_error(F.lit("broken")).cast("int"))
+    with pytest.raises(Exception, match="broken"):
+        state.merge(bad)
+    assert current_run(spark, state.root) == before and [r.v for r in state.latest().collect()] == [1]
+
+
+def test_drops_may_bring_columns(spark, tmp_dir):
+    state = LatestState(spark, os.path.join(tmp_dir, "s"), "k", fanout=2)
+    state.merge(frame(spark, [("1", 1, "2024-01-01 00:00:00", "a"), ("2", 1, "2024-01-01 00:00:00", "a")]))
+    state.merge(frame(spark, [("2", 5, "2024-01-03 00:00:00", "b")]).withColumn("w", F.lit("new")))
+    assert sorted((r.k, r.v, r.w) for r in state.latest().collect()) == [("1", 1, None), ("2", 5, "new")]
+    with pytest.raises(ValueError):
+        LatestState(spark, tmp_dir, "k", fanout=1)
+
+
+RULES = (Expectation("has_k", "k IS NOT NULL", "drop"), Expectation("small", "v < 3"), Expectation("even", "v % 2 = 0", "drop"))
+
+
+def test_kept_quarantined_and_counted_agree(spark, tmp_dir):
+    df = frame(spark, sum(drops(2, 200, 9), []) + [("n", None, "2024-01-01 00:00:00", "a")])
+    split = split_by_expectations(df, RULES, os.path.join(tmp_dir, "q"))
+    assert split.kept.columns == df.columns
+    assert sorted(map(str, split.kept.collect())) == sorted(map(str, apply_expectations(df, RULES).collect()))
+    rows = split.quarantined.collect()
+    assert split.metrics["total_rows"] == df.count() == split.kept.count() + len(rows)
+    assert split.metrics["quarantined_rows"] == len(rows)
+    for r in rows:
+        want = [n for n, bad in (("has_k", r.k is None), ("small", not (r.v is not None and r.v < 3)), ("even", r.v is None or r.v % 2 != 0)) if bad]
+        assert r.failed_rules == want and {"has_k", "even"} & set(want)
+    for e in RULES:
+        assert split.metrics[e.name] == df.filter(~F.coalesce(F.expr(e.predicate), F.lit(False))).count()
+
+
+def test_empty_tables_split_to_nothing(spark, tmp_dir):
+    split = split_by_expectations(frame(spark, []), RULES, os.path.join(tmp_dir, "q"))
+    assert split.kept.count() == split.quarantined.count() == split.metrics["total_rows"] == 0
+    with pytest.raises(ValueError):
+        split_by_expectations(frame(spark, []), (), os.path.join(tmp_dir, "q2"))
