@@ -227,12 +227,12 @@ LATEST_DROPS = 6
 
 
 def q_latest_incremental(spark, sf_dir):
-    """W1 over drops: the circuits' raw rows arrive in LATEST_DROPS drops (by a
-    hash of the row) and are merged one by one into a stored state, whose rows
+    """W1 over drops: the circuits' raw files arrive in LATEST_DROPS drops (by a
+    hash of the file) and are merged one by one into a stored state, whose rows
     are those of one pass over everything."""
     r = normalize_nulls(_raw(spark, sf_dir, "u1_circuits_raw"), NULL_TOKENS_9)
     state = LatestState(spark, scratch_path(spark, "latest"), spec("utility_1", "circuits").key, fanout=3)
-    drop = F.pmod(F.xxhash64(*r.columns), F.lit(LATEST_DROPS))
+    drop = F.pmod(F.xxhash64("_source_file"), F.lit(LATEST_DROPS))
     for k in range(LATEST_DROPS):
         state.merge(r.filter(drop == k))
     return state.latest()

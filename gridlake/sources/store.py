@@ -117,11 +117,12 @@ def files_to_read(stored: DataFrame, column: str) -> DataFrame:
     stored table: the files whose smallest and largest value do not rule the
     value out, which is what a reader of the footers has to open."""
     spans = stored.groupBy(F.col("_metadata.file_path").alias("file")).agg(F.min(column).alias("low"), F.max(column).alias("high"))
-    n_files = spans.agg(F.count("*").alias("files"))
+    spans = [r for r in spans.select("low", "high").collect()]      # one row per file
+    kind = stored.schema[column].dataType
+    held = F.array(*[F.struct(F.lit(r.low).cast(kind).alias("low"), F.lit(r.high).cast(kind).alias("high")) for r in spans])
     values = stored.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n_rows"))
-    # a row per file and value that meet in the file's span
-    both = values.join(spans, (F.col("low") <= F.col("value")) & (F.col("value") <= F.col("high")))
-    return both.groupBy("value", "n_rows").agg(F.count("*").alias("files_to_read")).join(n_files, F.lit(True))
+    return values.select("value", "n_rows", F.size(F.filter(held, lambda x: (x["low"] <= F.col("value")) & (F.col("value") <= x["high"]))).alias("files_to_read"),
+                         F.lit(len(spans)).alias("files"))
 
 
 # Clustering of the serving tables: (lookup columns, unique tie-break).
