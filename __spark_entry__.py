@@ -310,7 +310,7 @@ def _land_all(spark: SparkSession, sf_dir: str, landing: str) -> None:
 
 
 def q_refresh_failed_run(spark, sf_dir):
-    """S9: a run over all drops, then more drops (every feeder-less DER row of
+    """S9: a run over all drops, then more drops (every DER row of
     utility 1 again, under new ids) and a run that fails in Platinum. Readers
     see run one whole, through the catalog and through the pointer alike."""
     landing, model = scratch_path(spark, "landing"), scratch_path(spark, "model")
