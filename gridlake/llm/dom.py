@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_right
 from collections import Counter
 
 import numpy as np
@@ -63,7 +64,11 @@ _TAG = {"p": 0, "div": 1, **{f"h{i}": 2 for i in range(1, 7)}, "li": 3, "dd": 3,
         "body": 16, "html": 16}
 _G = len(TOKENS)
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|$)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S)
+_NAME = re.compile(r"[a-zA-Z][^\s/>]*")
+_SPECIAL = re.compile(r"[>\"']")
+_RAW_END = {tag: re.compile(rf"</{tag}\s*>", re.I) for tag in RAW}
+#: an end tag of no block does not reach over these open elements
+WALLS = frozenset("td th article main section nav footer aside header div form".split())
 _ATTRIBUTE = re.compile(r"""([^\s=/"'>]+)(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+)))?""")
 _PART = re.compile(r"[a-z]+")
 
@@ -76,95 +81,190 @@ class Node:
         self.kids, self.text, self.link, self.order = [], [], 0, []
 
 
+class Scanner:
+    """The tags of a page, each place looked at a bounded number of times
+    however broken the page is: what a search found, or that it found nothing,
+    holds for all later searches that begin before its end."""
+
+    def __init__(self, page: str):
+        self.page, self.names_end = page, (0, 0)
+        self.special, self.special_from = -2, 0
+        self.quotes: dict[int, int] = {}        # opening quote -> end of its tag, -1 if it has none
+        self.no_end: set[str] = set()           # quotes, '>' and raw elements without an end from here on
+
+    def _tag_end(self, at: int) -> int:
+        """The place of the first '>' outside quotes from ``at`` on, or -1."""
+        if not (self.special_from <= at <= self.special or self.special == -1 and self.special_from <= at):
+            m = _SPECIAL.search(self.page, at)
+            self.special, self.special_from = (m.start() if m else -1), at
+        k, opened = self.special, []
+        while k >= 0 and self.page[k] != ">":
+            if k in self.quotes:
+                k = self.quotes[k]
+                break
+            opened.append(k)
+            quote = self.page[k]
+            closing = -1 if quote in self.no_end else self.page.find(quote, k + 1)
+            if closing < 0:
+                self.no_end.add(quote)
+                k = -1
+                break
+            m = _SPECIAL.search(self.page, closing + 1)
+            k = m.start() if m else -1
+        self.quotes.update((o, k) for o in opened)
+        return k
+
+    def next(self, at: int):
+        """(start, end, closing, name, attributes) of the next tag from ``at``
+        on; the name is None for a comment or declaration. None at the end."""
+        page = self.page
+        at = page.find("<", at)
+        while at >= 0:
+            two = page[at + 1:at + 2]
+            if page.startswith("<!--", at):
+                end = page.find("-->", at + 4)
+                return at, len(page) if end < 0 else end + 3, False, None, ""
+            if two and two in "!?":
+                end = -1 if ">" in self.no_end else page.find(">", at + 2)
+                if end >= 0:
+                    return at, end + 1, False, None, ""
+                self.no_end.add(">")
+            else:
+                closing = two == "/"
+                first = at + 1 + closing
+                if page[first:first + 1].isascii() and page[first:first + 1].isalpha():
+                    begin, end = self.names_end
+                    name_end = end if begin <= first < end else _NAME.match(page, first).end()
+                    self.names_end = (first, name_end)
+                    close = self._tag_end(name_end)
+                    if close >= 0:
+                        return at, close + 1, closing, page[first:name_end].lower(), page[name_end:close]
+            at = page.find("<", at + 1)
+        return None
+
+    def after_raw(self, tag: str, at: int) -> int:
+        """Where an element whose content is no markup ends."""
+        end = _RAW_END[tag].search(self.page, at)
+        return end.end() if end else len(self.page)
+
+
+class Open:
+    """The open elements, with the places of each name and kind, so that no
+    search walks over them."""
+
+    def __init__(self, root: Node):
+        self.stack = [("html", root)]           # with the block that an element is, or is in
+        self.places: dict[str, list[int]] = {}
+        self.held: dict[str, list[list[int]]] = {}
+        self.walls, self.solid, self.hidden = [], [], []
+
+    def _of(self, tag: str) -> list[list[int]]:
+        """The lists that hold the places of elements of a name."""
+        own = self.places[tag] = []
+        kinds = ((self.walls, WALLS), (self.hidden, DROPPED), (self.solid, BLOCK | DROPPED))
+        self.held[tag] = [own, *[places for places, kind in kinds if tag in kind]]
+        return self.held[tag]
+
+    def push(self, tag: str, block: Node) -> None:
+        for held in self.held.get(tag) or self._of(tag):
+            held.append(len(self.stack))
+        self.stack.append((tag, block))
+
+    def close(self, k: int) -> None:
+        while len(self.stack) > k:
+            for held in self.held[self.stack.pop()[0]]:
+                held.pop()
+
+    def last(self, tag: str) -> int:
+        """The innermost open element of a name, 0 if there is none."""
+        held = self.places.get(tag)
+        return held[-1] if held else 0
+
+    def end(self, tag: str) -> None:
+        k = self.last(tag)
+        if k and (tag in BLOCK or not self.walls or self.walls[-1] <= k):
+            self.close(k)
+
+    def end_paragraph(self) -> None:
+        if self.solid and self.stack[self.solid[-1]][0] == "p":
+            self.close(self.solid[-1])
+
+    def end_implied(self, tag: str) -> None:
+        """Closes the outermost of the elements that a start tag ends, inside
+        the innermost of its bounds."""
+        own, bound = IMPLIED[tag]
+        inside = max([self.last(t) for t in bound] + self.hidden[-1:])
+        held = [self.places.get(t, []) for t in own]
+        ended = [h[k] for h, k in zip(held, (bisect_right(h, inside) for h in held)) if k < len(h)]
+        if ended:
+            self.close(min(ended))
+
+    def end_hidden(self) -> None:
+        """A block's start tag ends the elements that can hold no blocks."""
+        while self.hidden:
+            k = self.hidden[-1]
+            if self.stack[k][0] not in NO_BLOCKS or self.last("foreignobject") > k:
+                return
+            self.close(k)
+
+
 def parse(page: str) -> list[Node]:
     """The block elements of a page, parents first. ``order`` of a node holds
-    its pieces of text and its child blocks, in page order."""
+    its pieces of text and its child blocks, in page order. The time is linear
+    in the page, well-formed or not."""
     root = Node("html", "", None)
-    nodes, stack = [root], [("html", root)]     # open elements with the block they are, or are in
-    at, anchors, dropped = 0, 0, 0
+    nodes, opened, scan = [root], Open(root), Scanner(page)
+    at = 0
 
     def put(raw: str) -> None:
-        if dropped:
+        if opened.hidden:
             return
-        block = stack[-1][1]
+        block = opened.stack[-1][1]
         if not block.order or isinstance(block.order[-1], Node):
             block.order.append([])
         text = html.unescape(raw)
         block.order[-1].append(text)
-        if anchors:
+        if opened.last("a"):
             block.link += len(text)
 
-    def close(k: int) -> None:
-        nonlocal anchors, dropped
-        anchors -= sum(1 for t, _ in stack[k:] if t == "a")
-        dropped -= sum(1 for t, _ in stack[k:] if t in DROPPED)
-        del stack[k:]
-
-    for m in _TOKEN.finditer(page):
-        if m.start() < at:
-            continue
-        if m.start() > at:
-            put(page[at:m.start()])
-        at = m.end()
-        tag = m[2]
+    while (found := scan.next(at)) is not None:
+        start, end, closing, tag, attrs = found
+        if start > at:
+            put(page[at:start])
+        at = end
         if tag is None:
             continue
-        tag = tag.lower()
-        if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == tag:
-                    close(k)
-                    break
-                if stack[k][0] in ("td", "th", "article", "main", "section", "nav", "footer", "aside", "header", "div", "form") and tag not in BLOCK:
-                    break
+        if closing:
+            opened.end(tag)
             continue
         if tag in RAW:
-            end = re.compile(rf"</{re.escape(tag)}\s*>", re.I).search(page, at)
-            at = end.end() if end else len(page)
+            at = scan.after_raw(tag, at)
             continue
         if tag in VOID:
             if tag in ("br", "hr", "img", "input"):
                 put(" ")
             continue
         if tag in DROPPED:
-            if not m[3].endswith("/"):
-                dropped += 1
-                stack.append((tag, stack[-1][1]))
+            if not attrs.endswith("/"):
+                opened.push(tag, opened.stack[-1][1])
             continue
-        while dropped and tag in BLOCK:
-            k = next(k for k in range(len(stack) - 1, 0, -1) if stack[k][0] in DROPPED)
-            if stack[k][0] not in NO_BLOCKS or any(t == "foreignobject" for t, _ in stack[k:]):
-                break
-            close(k)
+        if tag in BLOCK:
+            opened.end_hidden()
         if tag in CLOSES_P:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k][0] == "p":
-                    close(k)
-                    break
-                if stack[k][0] in BLOCK or stack[k][0] in DROPPED:
-                    break
+            opened.end_paragraph()
         if tag in IMPLIED:
-            own, bound = IMPLIED[tag]
-            k = len(stack) - 1
-            low = len(stack)
-            while k > 0 and stack[k][0] not in bound and stack[k][0] not in DROPPED:
-                if stack[k][0] in own:
-                    low = k
-                k -= 1
-            if low < len(stack):
-                close(low)
-        if tag == "html" or tag == "body" and any(t == "body" for t, _ in stack):
+            opened.end_implied(tag)
+        if tag == "html" or tag == "body" and opened.last("body"):
             continue
-        if tag == "a":
-            anchors += 1
-        if tag in BLOCK and not dropped:
-            node = Node(tag, m[3], stack[-1][1])
-            node.parent.order.append(node)
-            node.parent.kids.append(node)
+        inside = opened.stack[-1][1]
+        if tag in BLOCK and not opened.hidden:
+            node = Node(tag, attrs, inside)
+            inside.order.append(node)
+            inside.kids.append(node)
             nodes.append(node)
-            stack.append((tag, node))
+            opened.push(tag, node)
         else:
-            stack.append((tag, stack[-1][1]))
+            opened.push(tag, inside)
     if at < len(page):
         put(page[at:])
     for n in nodes:

@@ -75,9 +75,45 @@ def seeds(texts: DataFrame, h: str, masks: list[tuple[int, ...]], *keep: str) ->
 
 def _best(agree: Column) -> Column:
     """The most agreeing tokens in LEAST consecutive ones (or in all)."""
-    sums = F.aggregate(agree, F.array(F.lit(0)), lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    wide = F.least(F.lit(LEAST), F.size(agree))
-    return F.array_max(F.transform(F.sequence(F.lit(0), F.size(agree) - wide), lambda i: F.get(sums, i + wide) - F.get(sums, i)))
+    def count(i: Column) -> Column:
+        # places beyond a shorter overlap count nothing
+        return reduce(lambda x, y: x + y, [F.coalesce(F.get(agree, i + k), F.lit(0)) for k in range(LEAST)])
+
+    return F.array_max(F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.size(agree) - LEAST)), count))
+
+
+def _name(key: str, hashes: Column) -> Column:
+    """Names the rows of one id and text, also where the id is null, so that
+    rows without an id do not all meet."""
+    return F.xxhash64(key, F.col(key).isNull(), hashes)
+
+
+def _overlaps(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """(doc_id, doc, item_id, start, n_tokens, n_agree) of each diagonal on
+    which a document and an item overlap; doc names the document's id and text."""
+    items = benchmark.select("item_id", tokens("text").alias("item")).distinct()
+    items = store(items.withColumn("of", _name("item_id", F.col("item"))), "items")
+    width = F.least(F.lit(LEAST), F.size("item"))
+    # a row for each number of tokens compared that occurs
+    widths = sorted(r.width for r in items.select(width.alias("width")).distinct().collect() if r.width) or [LEAST]
+    own = [seeds(items.filter(width == w), "item", list(MASKS[w]), "of") for w in widths]
+    probes = store(reduce(DataFrame.union, own).withColumnRenamed("at", "item_at").distinct(), "seeds")
+    texts = documents.select("doc_id", tokens("text").alias("h")).withColumn("doc", _name("doc_id", F.col("h")))
+    found = seeds(texts, "h", sorted({m for w in widths for m in MASKS[w]}), "doc")
+    known = F.broadcast(probes) if probes.count() <= BROADCAST_SEEDS else probes
+    hits = found.join(known, "seed").select("doc", "of", (F.col("at") - F.col("item_at")).alias("start"))
+    hits = store(hits.distinct(), "hits")
+    near = store(hits.join(items, "of").select("doc", "item_id", "start", "item"), "near")
+    # texts are dealt by name at any size: what is found grows with them
+    both = texts.join(near.hint("merge"), "doc")
+    low, high = F.greatest(F.lit(0), -F.col("start")), F.least(F.size("item"), F.size("h") - F.col("start"))
+    agree = F.transform(F.sequence(low, high - 1), lambda i: (F.get(F.col("h"), i + F.col("start")) == F.get(F.col("item"), i)).cast("int"))
+    # exploded, so that the array is made once and not again for each place
+    seen = both.filter(low < high).select("doc_id", "doc", "item_id", "start", F.size("item").alias("of"), F.explode(F.array(agree)).alias("agree"))
+    wide = F.least(F.lit(LEAST), F.col("of"))
+    seen = seen.filter((F.size("agree") >= wide) & (100 * _best(F.col("agree")) >= AGREE * wide))
+    return seen.select("doc_id", "doc", "item_id", "start", F.size("agree").alias("n_tokens"),
+                       F.aggregate("agree", F.lit(0), lambda a, x: a + x).alias("n_agree"))
 
 
 def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
@@ -94,36 +130,20 @@ def contamination(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     * ties between diagonals go to the smallest start;
     * extra columns are not read; empty tables give an empty result.
     """
-    items = store(benchmark.select("item_id", tokens("text").alias("item")).distinct(), "items")
-    width = F.least(F.lit(LEAST), F.size("item"))
-    # a row for each number of tokens compared that occurs
-    widths = sorted(r.width for r in items.select(width.alias("width")).distinct().collect() if r.width) or [LEAST]
-    own = [seeds(items.filter(width == w), "item", list(MASKS[w]), "item_id") for w in widths]
-    probes = store(reduce(DataFrame.union, own).withColumnRenamed("at", "item_at").distinct(), "seeds")
-    texts = documents.select("doc_id", tokens("text").alias("h"))
-    found = seeds(texts, "h", sorted({m for w in widths for m in MASKS[w]}), "doc_id")
-    known = F.broadcast(probes) if probes.count() <= BROADCAST_SEEDS else probes
-    hits = found.join(known, "seed").select("doc_id", "item_id", (F.col("at") - F.col("item_at")).alias("start"))
-    hits = store(hits.distinct(), "hits")
-    near = store(hits.join(items.withColumnRenamed("item_id", "of"), F.col("item_id").eqNullSafe(F.col("of"))).select(
-        F.col("doc_id").alias("id"), "item_id", "start", "item"), "near")
-    # texts are dealt by id at any size: what is found grows with them
-    both = texts.join(near.hint("merge"), F.col("doc_id").eqNullSafe(F.col("id"))).drop("id")
-    low, high = F.greatest(F.lit(0), -F.col("start")), F.least(F.size("item"), F.size("h") - F.col("start"))
-    agree = F.transform(F.sequence(low, high - 1), lambda i: (F.get(F.col("h"), i + F.col("start")) == F.get(F.col("item"), i)).cast("int"))
-    seen = both.filter(low < high).withColumn("agree", agree).withColumn("most", _best(F.col("agree")))
-    wide = F.least(F.lit(LEAST), F.size("item"))
-    seen = seen.filter((F.size("agree") >= wide) & (100 * F.col("most") >= AGREE * wide))
-    total = F.aggregate("agree", F.lit(0), lambda a, x: a + x)
-    best = F.max(F.struct(total.alias("n_agree"), (-F.col("start")).alias("back"), F.size("agree").alias("n_tokens")))
-    return seen.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+    best = F.max(F.struct("n_agree", (-F.col("start")).alias("back"), "n_tokens"))
+    return _overlaps(documents, benchmark).groupBy("doc_id", "item_id").agg(best.alias("b")).select(
         "doc_id", "item_id", (-F.col("b.back")).cast("long").alias("start"),
         F.col("b.n_tokens").cast("long").alias("n_tokens"), F.col("b.n_agree").cast("long").alias("n_agree"))
 
 
 def decontaminate(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of documents that overlap with no benchmark item, with all
-    their columns. A document's null doc_id is an id like any other."""
-    bad_id = free_name("_bad", documents)
-    bad = store(contamination(documents, benchmark).select(F.col("doc_id").alias(bad_id)).distinct(), "contaminated")
-    return documents.join(bad, F.col("doc_id").eqNullSafe(F.col(bad_id)), "left_anti")
+    their columns. Rows with one doc_id are one document and stay or go
+    together; rows without an id are judged each by its own text. Null and
+    empty texts overlap with nothing; empty tables drop nothing."""
+    text, bad_id, bad_text = (free_name(n, documents) for n in ("_text", "_bad", "_bad_text"))
+    bad = _overlaps(documents, benchmark).select(F.col("doc_id").alias(bad_id), F.when(F.col("doc_id").isNull(), F.col("doc")).alias(bad_text))
+    bad = store(bad.distinct(), "contaminated")
+    own = F.when(F.col("doc_id").isNull(), _name("doc_id", tokens("text")))
+    same = F.col("doc_id").eqNullSafe(F.col(bad_id)) & F.col(text).eqNullSafe(F.col(bad_text))
+    return documents.withColumn(text, own).join(bad, same, "left_anti").drop(text)
