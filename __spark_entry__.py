@@ -55,6 +55,7 @@ from gridlake.sources.store import (  # noqa: E402
     files_to_read,
     text_bytes,
     write_clustered,
+    write_hashed,
     write_zordered,
 )
 from gridlake.streaming.bronze import ingest, landing_path, read_raw_table  # noqa: E402
@@ -162,6 +163,13 @@ def q_column_map(spark, sf_dir):
     return parts[0].unionByName(parts[1], allowMissingColumns=True)
 
 
+def q_column_maps(spark, sf_dir):
+    """P7: the published names of all six datasets, tagged with theirs."""
+    parts = [apply_column_map(_raw(spark, sf_dir, spec(u, d).raw_table), COLUMN_MAPS[u, d]).withColumns(
+        {"utility_id": F.lit(u), "dataset": F.lit(d)}) for u, d in COLUMN_MAPS]
+    return reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+
+
 def q_type_map(spark, sf_dir):
     r = _raw(spark, sf_dir, "u2_install_der_raw").unionByName(
         _raw(spark, sf_dir, "u2_planned_der_raw"), allowMissingColumns=True)
@@ -375,6 +383,19 @@ def q_clustered_hc_lookup(spark, sf_dir):
     return P.feeders_by_hc(spark.read.parquet(path), min_hc=500.0)
 
 
+LOOKUP_FOLDERS = 16
+
+
+def q_der_for_requested_feeders(spark, sf_dir):
+    """F11 for many keys: the DER on every feeder of utility 2 that can host
+    30 MW or more, from a copy in folders by feeder."""
+    path = scratch_path(spark, "v_der_by_feeder")
+    tables = _layers(spark, sf_dir).platinum
+    write_hashed(tables["v_der_by_feeder"], path, "feeder_id", folders=LOOKUP_FOLDERS, tiebreak=CLUSTER_BY["v_der_by_feeder"][1])
+    requested = P.feeders_by_hc(tables["v_feeders_by_hc"], min_hc=30.0, utility="utility_2")
+    return P.der_for_feeders(spark.read.parquet(path), requested)
+
+
 ZORDER_FILES = 16
 
 
@@ -423,6 +444,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_null_key": q_latest_null_key,
         "first_match_type": q_first_match_type,
         "column_map": q_column_map,
+        "column_maps": q_column_maps,
         "type_map": q_type_map,
         "project_type_map": q_project_type_map,
         "unit_normalize": q_unit_normalize,
@@ -445,6 +467,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "clustered_hc_lookup": q_clustered_hc_lookup,
         "clustered_der_lookup": q_clustered_der_lookup,
         "zorder_lookup": q_zorder_lookup,
+        "der_for_requested_feeders": q_der_for_requested_feeders,
         "latest_incremental": q_latest_incremental,
         "expectation_quarantine": q_expectation_quarantine,
         "refresh_failed_run": q_refresh_failed_run,

@@ -7,6 +7,8 @@ whole files and row groups. For a two-column key the lexicographic range
 order serves equality on the first column plus range/equality on the
 second. ``write_zordered`` orders by a space-filling curve over the columns'
 quantile ranks instead, so that a predicate on any one of them skips files.
+``write_hashed`` deals rows into folders by hash, so that ``rows_of`` finds the
+rows of many values at once and reads only the folders they are in.
 ``write_balanced`` lets AQE split skewed and merge tiny partitions so output
 files come out even-sized.
 
@@ -112,6 +114,47 @@ def write_zordered(df: DataFrame, path: str, columns: Sequence[str], files: int
     keyed.repartitionByRange(n, *order).sortWithinPartitions(*order).drop("_curve").write.mode(mode).parquet(path)
 
 
+# -- lookups by a table of values ----------------------------------------------
+
+#: A table's folders are named by their number: ``_hash_of_<folders>=<folder>``.
+HASH_FOLDER = "_hash_of_"
+#: Folders at most; a larger table has several files in each.
+MOST_FOLDERS = 4096
+
+
+def _folder(column: str, folders: int) -> Column:
+    return F.pmod(F.xxhash64(column), F.lit(folders)).cast("int")
+
+
+def write_hashed(df: DataFrame, path: str, column: str, folders: int | None = None, tiebreak: Sequence[str] = ()) -> None:
+    """Deals rows into folders by a hash of ``column`` and sorts them by it in
+    each, for ``rows_of``. Files are cut by range inside the folders, with
+    ``tiebreak`` inside a value, so that a hot value is spread over files. The
+    number of folders follows from the stored bytes unless given."""
+    rows, files = _staged(df, None)
+    folders = folders or min(files, MOST_FOLDERS)
+    part = f"{HASH_FOLDER}{folders}"
+    key = [part, column, *tiebreak]
+    dealt = rows.withColumn(part, _folder(column, folders)).repartitionByRange(max(files, folders), *key)
+    dealt.sortWithinPartitions(*key).write.partitionBy(part).parquet(path)
+
+
+def rows_of(stored: DataFrame, requested: DataFrame, column: str) -> DataFrame:
+    """The rows of a table of ``write_hashed`` whose ``column`` is one of the
+    values in ``requested``, each once however often it is requested; NULL is
+    no value. Only the folders that the values fall in are read, and in them
+    only the row groups between the smallest and largest value; no more than
+    the folders' numbers and those two come to the driver."""
+    part = next(c for c in stored.columns if c.startswith(HASH_FOLDER))
+    path = scratch_path(stored.sparkSession, "requested")
+    requested.select(column).filter(F.col(column).isNotNull()).distinct().write.parquet(path)
+    wanted = stored.sparkSession.read.parquet(path)
+    span = wanted.agg(F.collect_set(_folder(column, int(part.removeprefix(HASH_FOLDER)))).alias("folders"),
+                      F.min(column).alias("low"), F.max(column).alias("high")).first()
+    near = stored.filter(F.col(part).isin(span.folders) & F.col(column).between(F.lit(span.low), F.lit(span.high)))
+    return near.join(wanted, column, "left_semi").select(*[c for c in stored.columns if c != part])
+
+
 def files_to_read(stored: DataFrame, column: str) -> DataFrame:
     """(value, n_rows, files_to_read, files) for each value of ``column`` of a
     stored table: the files whose smallest and largest value do not rule the

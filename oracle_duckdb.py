@@ -430,6 +430,41 @@ SELECT DER_TYPE AS der_type, DER_NAMEPLATE_RATING AS nameplate_rating,
        INTERCONNECTION_QUEUE_POSITION AS queue_position, PLANNED_INSTALLATION_DATE AS planned_date,
        DER_STATUS AS status, DER_STATUS_RATIONALE AS status_rationale
 FROM u2_planned_der_raw""", ["u2_install_der_raw", "u2_planned_der_raw"])
+    if name == "column_maps":
+        return o.query("""
+SELECT 'utility_1' AS utility_id, 'circuits' AS dataset, NYHCPV_csv_NSECTION AS section_id, NYHCPV_csv_NFEEDER AS feeder_id,
+       NYHCPV_csv_FFEEDER AS feeder_name, NYHCPV_csv_NVOLTAGE AS voltage_kv, NYHCPV_csv_NMAXHC AS segment_max_hc_mw,
+       NYHCPV_csv_FMAXHC AS feeder_max_hc_mw, NYHCPV_csv_FMINHC AS feeder_min_hc_mw, NYHCPV_csv_FHCADATE AS hca_date,
+       Circuits_Phase3_CIRCUIT AS circuit_id, Circuits_Phase3_NUMPHASES AS num_phases, NYHCPV_csv_NMAPCOLOR AS map_color
+FROM u1_circuits_raw
+UNION ALL BY NAME
+SELECT 'utility_1' AS utility_id, 'installed_der' AS dataset, ProjectID AS project_id, ProjectType AS project_type,
+       NamePlateRating AS nameplate_rating, ProjectCircuitID AS feeder_id, Hybrid AS is_hybrid
+FROM u1_install_der_raw
+UNION ALL BY NAME
+SELECT 'utility_1' AS utility_id, 'planned_der' AS dataset, ProjectID AS project_id, ProjectType AS project_type,
+       ProjectStatus AS project_status, NamePlateRating AS nameplate_rating, ProjectCircuitID AS feeder_id,
+       InServiceDate AS in_service_date, CompletionDate AS completion_date, Hybrid AS is_hybrid
+FROM u1_planned_der_raw
+UNION ALL BY NAME
+SELECT 'utility_2' AS utility_id, 'circuits' AS dataset, Master_CDF AS feeder_id, feeder_voltage AS voltage_kv,
+       feeder_max_hc AS feeder_max_hc_mw, feeder_min_hc AS feeder_min_hc_mw,
+       feeder_dg_connected_since_refresh AS dg_since_refresh, hca_refresh_date AS hca_date, color AS map_color
+FROM u2_circuits_raw
+UNION ALL BY NAME
+SELECT 'utility_2' AS utility_id, 'installed_der' AS dataset, DER_ID AS der_id, DER_TYPE AS der_type,
+       DER_NAMEPLATE_RATING AS nameplate_rating, DER_INTERCONNECTION_LOCATION AS feeder_id,
+       SERVICE_STREET_ADDRESS AS service_address, INTERCONNECTION_COST AS interconnection_cost
+FROM u2_install_der_raw
+UNION ALL BY NAME
+SELECT 'utility_2' AS utility_id, 'planned_der' AS dataset, DER_TYPE AS der_type, DER_NAMEPLATE_RATING AS nameplate_rating,
+       DER_INTERCONNECTION_LOCATION AS feeder_id, INTERCONNECTION_QUEUE_REQUEST_ID AS request_id,
+       INTERCONNECTION_QUEUE_POSITION AS queue_position, PLANNED_INSTALLATION_DATE AS planned_date,
+       DER_STATUS AS status, DER_STATUS_RATIONALE AS status_rationale
+FROM u2_planned_der_raw""", [f"u{u}_{d}_raw" for u in (1, 2) for d in ("circuits", "install_der", "planned_der")])
+    if name == "der_for_requested_feeders":
+        return o.query("SELECT * FROM v_der_by_feeder WHERE feeder_id IN (SELECT feeder_id FROM v_feeders_by_hc "
+                       "WHERE utility_id = 'utility_2' AND max_hosting_capacity_mw >= 30.0)", ["v_der_by_feeder", "v_feeders_by_hc"])
     if name == "type_map":
         return o.query(f"SELECT DER_ID, INTERCONNECTION_QUEUE_REQUEST_ID, trim(DER_TYPE) AS der_type_source, "
                        f"{map_sql('trim(DER_TYPE)', U2_TYPE_TO_CANONICAL)} AS der_type "

@@ -135,3 +135,31 @@ def test_curve_skips_files_for_either_column(spark, tmp_dir):
     store.write_clustered(df, plain, ["u", "f"], files=32, tiebreak=["k"])
     lex = store.files_to_read(spark.read.parquet(plain), "f").collect()
     assert sum(r.files_to_read for r in lex) / len(lex) > 25          # the second column alone skips next to nothing
+
+
+def test_rows_of_many_values(spark):
+    rows = [(f"k{i % 50}", i) for i in range(1000)] + [(None, 5000)] + [("hot", i) for i in range(6000, 6700)]
+    df = spark.createDataFrame(rows, "k string, id long")
+    path = scratch_path(spark, "hashed")
+    store.write_hashed(df, path, "k", folders=8, tiebreak=["id"])
+    stored = spark.read.parquet(path)
+    assert stored.count() == len(rows)
+    for wanted in (["k3"], ["k3", "k3", None, "hot"], ["none"], [None], [], [f"k{i}" for i in range(50)]):
+        found = store.rows_of(stored, spark.createDataFrame([(w, 1) for w in wanted], "k string, n int"), "k")
+        assert found.columns == ["k", "id"]
+        assert sorted((r.k, r.id) for r in found.collect()) == sorted(r for r in rows if r[0] is not None and r[0] in wanted)
+    found = store.rows_of(stored, spark.createDataFrame([("k3",)], "k string"), "k")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(_hash_of_8" in plan and "PushedFilters: [IsNotNull(k), GreaterThanOrEqual(k,k3)" in plan
+    assert len({r.f.split("/")[-2] for r in stored.filter("k = 'k3'").select(F.col("_metadata.file_path").alias("f")).collect()}) == 1
+
+
+def test_hashed_folders_follow_stored_bytes(spark, monkeypatch):
+    df = spark.range(20000).selectExpr("id", "sha2(cast(id as string), 256) AS k")
+    monkeypatch.setattr(store, "TARGET_FILE_BYTES", 100_000)
+    monkeypatch.setattr(store.files_for, "__defaults__", (100_000,))
+    path = scratch_path(spark, "hashed")
+    store.write_hashed(df, path, "k")
+    stored = spark.read.parquet(path)
+    part = next(c for c in stored.columns if c.startswith(store.HASH_FOLDER))
+    assert 5 < int(part.removeprefix(store.HASH_FOLDER)) == stored.select(part).distinct().count() < 40
