@@ -387,12 +387,12 @@ LOOKUP_FOLDERS = 16
 
 
 def q_der_for_requested_feeders(spark, sf_dir):
-    """F11 for many keys: the DER on every feeder of utility 2 that can host
-    0 MW or more, from a copy in folders by feeder."""
+    """F11 for many keys: the DER on every feeder of utility 1 that can host
+    9000 MW or more, from a copy in folders by feeder."""
     path = scratch_path(spark, "v_der_by_feeder")
     tables = _layers(spark, sf_dir).platinum
     write_hashed(tables["v_der_by_feeder"], path, "feeder_id", folders=LOOKUP_FOLDERS, tiebreak=CLUSTER_BY["v_der_by_feeder"][1])
-    requested = P.feeders_by_hc(tables["v_feeders_by_hc"], min_hc=0.0, utility="utility_2")
+    requested = P.feeders_by_hc(tables["v_feeders_by_hc"], min_hc=9000.0, utility="utility_1")
     return P.der_for_feeders(spark.read.parquet(path), requested)
 
 

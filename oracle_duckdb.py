@@ -464,7 +464,7 @@ SELECT 'utility_2' AS utility_id, 'planned_der' AS dataset, DER_TYPE AS der_type
 FROM u2_planned_der_raw""", [f"u{u}_{d}_raw" for u in (1, 2) for d in ("circuits", "install_der", "planned_der")])
     if name == "der_for_requested_feeders":
         return o.query("SELECT * FROM v_der_by_feeder WHERE feeder_id IN (SELECT feeder_id FROM v_feeders_by_hc "
-                       "WHERE utility_id = 'utility_2' AND max_hosting_capacity_mw >= 0.0)", ["v_der_by_feeder", "v_feeders_by_hc"])
+                       "WHERE utility_id = 'utility_1' AND max_hosting_capacity_mw >= 9000.0)", ["v_der_by_feeder", "v_feeders_by_hc"])
     if name == "type_map":
         return o.query(f"SELECT DER_ID, INTERCONNECTION_QUEUE_REQUEST_ID, trim(DER_TYPE) AS der_type_source, "
                        f"{map_sql('trim(DER_TYPE)', U2_TYPE_TO_CANONICAL)} AS der_type "
