@@ -47,18 +47,24 @@ from gridlake.registry import (  # noqa: E402
     spec,
 )
 from gridlake.session import ensure_utc, scratch_path  # noqa: E402
+from gridlake.sources.compact import CompactedTable  # noqa: E402
+from gridlake.sources.footers import contract_drift  # noqa: E402
 from gridlake.sources.landing import read_landing, write_landing  # noqa: E402
 from gridlake.sources.store import (  # noqa: E402
     CLUSTER_BY,
     ZORDER_BY,
     files_for,
     files_to_read,
+    stored_bytes,
     text_bytes,
+    write_bucketed,
     write_clustered,
     write_hashed,
     write_zordered,
 )
+from gridlake.streaming.arrivals import read_arrivals, start_arrivals  # noqa: E402
 from gridlake.streaming.bronze import ingest, landing_path, read_raw_table  # noqa: E402
+from gridlake.streaming.ledger import append_entries  # noqa: E402
 
 try:                                    # the subpackage can be absent: all else works without it
     from gridlake.llm import queries as llm  # noqa: E402
@@ -279,18 +285,28 @@ _DROP2_FROM = "landing/utility_1/installed_der/der_1998.csv"  # files from 1998
 _LINEAGE = ("_source_file", "_ingestion_ts", "_utility_id", "_environment")
 
 
-def _land_two_layouts(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
-    """Land utility 1's DER rows as CSV drops in two layouts: the original
-    column order, and (for later files) reversed order plus a new column."""
+def _two_layouts(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Utility 1's DER rows in two layouts: the original column order, and (for
+    later files) reversed order plus a new column; and all columns."""
     raw = _u1_der(spark, sf_dir)
     data_cols = [c for c in raw.columns if c not in _LINEAGE]
     late = F.col("_source_file") >= F.lit(_DROP2_FROM)
     early = raw.filter(~late).select(*data_cols)
     later = raw.filter(late).select(*reversed(data_cols), F.lit("added").alias("Notes"))
-    # ~128 MB drops (at least two files per layout, so files of both layouts interleave)
+    return early, later, data_cols + ["Notes"]
+
+
+def _drop_files(part: DataFrame) -> int:
+    """Files of ~128 MB (at least two, so files of both layouts interleave)."""
+    return max(2, files_for(text_bytes(part)))
+
+
+def _land_two_layouts(spark: SparkSession, sf_dir: str, landing: str) -> list[str]:
+    """Land both layouts as CSV drops."""
+    early, later, cols = _two_layouts(spark, sf_dir)
     for part in (early, later):
-        write_landing(part, landing, files=max(2, files_for(text_bytes(part))))
-    return data_cols + ["Notes"]
+        write_landing(part, landing, files=_drop_files(part))
+    return cols
 
 
 def q_csv_landing_read(spark, sf_dir):
@@ -311,6 +327,86 @@ def q_bronze_stream_ingest(spark, sf_dir):
     return normalize_nulls(read_raw_table(spark, table).select(*cols), NULL_TOKENS_8)
 
 
+def q_bronze_arrivals(spark, sf_dir):
+    """S1/S3 while files land: drops of the second layout, with a column that no
+    earlier file has, land between the micro-batches of a running stream."""
+    landing, table = scratch_path(spark, "landing"), scratch_path(spark, "arrivals")
+    early, later, cols = _two_layouts(spark, sf_dir)
+    write_landing(early, landing, files=_drop_files(early))
+    running = start_arrivals(spark, landing, "utility_1", table, scratch_path(spark, "arrivals-ckpt"))
+    try:
+        running.processAllAvailable()
+        write_landing(later, landing, files=_drop_files(later))
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return normalize_nulls(read_arrivals(spark, table).select(*cols), NULL_TOKENS_8)
+
+
+COMPACT_DROPS, COMPACT_FILES = 4, 6
+
+
+def q_bronze_compaction(spark, sf_dir):
+    """S11: a raw table of many small appends (COMPACT_DROPS of them, of
+    COMPACT_FILES files each), packed into about COMPACT_FILES files after the
+    third and again after the last; every row once."""
+    raw = _raw(spark, sf_dir, "u1_circuits_raw")
+    table = scratch_path(spark, "bronze")
+    place, packed = F.pmod(F.xxhash64(*raw.columns), F.lit(COMPACT_DROPS)), None
+    for drop in range(COMPACT_DROPS):
+        raw.filter(place == drop).repartition(COMPACT_FILES, F.monotonically_increasing_id()).write.mode("append").parquet(table)
+        if drop == COMPACT_DROPS - 2:
+            packed = CompactedTable(spark, table, scratch_path(spark, "packed"), max(1, stored_bytes(spark, table) // COMPACT_FILES))
+            packed.compact()
+    packed.compact()
+    return packed.read()
+
+
+def q_freshness_ledger(spark, sf_dir):
+    """A8/T16 from ledgers: every raw table arrives in two appends, each entered
+    in its ledger (the second entry is repeated, as after a failure); the report
+    reads ledgers alone."""
+    ledgers = {}
+    for s in SPECS:
+        raw, table, book = _raw(spark, sf_dir, s.raw_table), scratch_path(spark, "bronze"), scratch_path(spark, "ledger")
+        late = F.pmod(F.xxhash64("_source_file"), F.lit(2)) == 1
+        for again, part in ((1, raw.filter(~late)), (2, raw.filter(late))):
+            part.write.mode("append").parquet(table)
+            for _ in range(again):
+                ledgers[s.raw_table] = append_entries(spark, table, book)
+    return P.v_ingestion_metadata_of_ledgers(ledgers, as_of_literal())
+
+
+def q_contract_drift(spark, sf_dir):
+    """Q3 on stored files: the installed DER of utility 1 as their contract has
+    them, those of utility 2 from a run that wrote ratings as text, left out
+    is_hybrid and added a column. Rows of the files that depart, by run."""
+    fact, path = _layers(spark, sf_dir).gold["fact_installed_der"], scratch_path(spark, "drift")
+    contract = CONTRACTS["gold", "fact_installed_der"]
+    whole = fact.select(*[name for name, *_ in contract])
+    changed = whole.withColumn("nameplate_rating_kw", F.col("nameplate_rating_kw").cast("string")).withColumn(
+        "remark", F.lit("new")).drop("is_hybrid")
+    whole.filter("utility_id = 'utility_1'").write.parquet(f"{path}/run_1")
+    changed.filter("utility_id = 'utility_2'").write.parquet(f"{path}/run_2")
+    found = contract_drift(spark, [f"{path}/run_1", f"{path}/run_2"], contract, "fact_installed_der", root=path)
+    return found.groupBy("table_name", "folder", "column_name", "violation", "expected", "actual").agg(
+        F.sum("n_rows").alias("n_rows")).filter("n_rows > 0")
+
+
+MAP_BUCKETS = 16
+
+
+def q_bucketed_map_summary(spark, sf_dir):
+    """J1/J2, A2/A3 without a shuffle: the dimension and a rollup of both facts
+    stored in buckets by feeder; the summary moves no row."""
+    gold, db = _layers(spark, sf_dir).gold, f"b{uuid.uuid4().hex[:12]}"
+    home = scratch_path(spark, "bucketed")
+    spark.sql(f"CREATE DATABASE {db} LOCATION '{home}/db'")
+    rollup = P.der_rollup(gold["fact_installed_der"], gold["fact_planned_der"])
+    dim = write_bucketed(gold["dim_feeder"], f"{db}.dim_feeder", f"{home}/dim_feeder", P.FEEDER_KEYS, MAP_BUCKETS)
+    return P.v_feeder_map_of_rollup(dim, write_bucketed(rollup, f"{db}.der_rollup", f"{home}/der_rollup", P.FEEDER_KEYS, MAP_BUCKETS))
+
+
 def _land_all(spark: SparkSession, sf_dir: str, landing: str) -> None:
     for s in SPECS:
         raw = _raw(spark, sf_dir, s.raw_table).drop(*_LINEAGE)
@@ -471,6 +567,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "latest_incremental": q_latest_incremental,
         "expectation_quarantine": q_expectation_quarantine,
         "refresh_failed_run": q_refresh_failed_run,
+        "bronze_arrivals": q_bronze_arrivals,
+        "bronze_compaction": q_bronze_compaction,
+        "freshness_ledger": q_freshness_ledger,
+        "contract_drift": q_contract_drift,
+        "bucketed_map_summary": q_bucketed_map_summary,
     })
     if llm is not None:
         out.update(llm.queries())

@@ -21,12 +21,19 @@ EXACT = "decimal(38,6)"
 EXACT_BELOW = 1e20
 
 
-def exact_sum(col) -> Column:
-    """Sum of the non-NULL values; NULL if there are none."""
+def exact_parts(col) -> tuple[Column, Column]:
+    """The sums of the values that the decimal holds, as a decimal, and of the
+    others, as a double (NULL where there are none). Both can be summed on."""
     c = F.col(col) if isinstance(col, str) else col
     d = c.try_cast(EXACT)
     held = F.coalesce((F.abs(c) < EXACT_BELOW) & (d.cast("double") == c.cast("double")), F.lit(False))
-    exact, rest = F.sum(F.when(held, d)).cast("double"), F.sum(F.when(~held, c.cast("double")))
+    return F.sum(F.when(held, d)), F.sum(F.when(~held, c.cast("double")))
+
+
+def exact_sum(col) -> Column:
+    """Sum of the non-NULL values; NULL if there are none."""
+    exact, rest = exact_parts(col)
+    exact = exact.cast("double")
     return F.coalesce(exact + rest, exact, rest)
 
 

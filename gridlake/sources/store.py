@@ -168,6 +168,22 @@ def files_to_read(stored: DataFrame, column: str) -> DataFrame:
                          F.lit(len(spans)).alias("files"))
 
 
+# -- buckets: joins and aggregates by their key without a shuffle ----------------
+
+def write_bucketed(df: DataFrame, table: str, path: str, columns: Sequence[str], buckets: int,
+                   mode: str = "errorifexists") -> DataFrame:
+    """Store ``df`` at ``path`` in ``buckets`` files by a hash of ``columns``,
+    sorted by them, as the catalog's ``table`` (which holds the buckets), and
+    return the stored table. Tables of equal buckets are joined, and each is
+    grouped, by these columns without a shuffle. The rows meet in one shuffle
+    here, so that a task writes its bucket and no other. ``mode="append"`` adds
+    files to each bucket. One key's rows are one bucket: reduce them first
+    (``platinum.der_rollup``) where a key may hold a large share."""
+    spread = df.repartition(buckets, *columns)
+    spread.write.format("parquet").bucketBy(buckets, *columns).sortBy(*columns).option("path", path).mode(mode).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
 # Clustering of the serving tables: (lookup columns, unique tie-break).
 CLUSTER_BY = {
     "v_feeders_by_hc": (("max_hosting_capacity_mw",), ("global_feeder_id",)),

@@ -367,6 +367,16 @@ def zorder_lookup_sql(o: Oracle) -> str:
     return o.query("\nUNION ALL\n".join(parts), ["v_feeder_map_summary"])
 
 
+def contract_drift_sql(o: Oracle) -> str:
+    """Run 2 holds utility 2 and departs in three columns."""
+    found = (("nameplate_rating_kw", "type_mismatch", "'double'", "'string'"), ("is_hybrid", "missing_column", "'boolean'", "NULL"),
+             ("remark", "unknown_column", "NULL", "'string'"))
+    parts = [f"SELECT 'fact_installed_der' AS table_name, 'run_2' AS folder, '{c}' AS column_name, '{v}' AS violation, "
+             f"CAST({e} AS VARCHAR) AS expected, CAST({a} AS VARCHAR) AS actual, COUNT(*) AS n_rows "
+             f"FROM fact_installed_der WHERE utility_id = 'utility_2' HAVING COUNT(*) > 0" for c, v, e, a in found]
+    return o.query("\nUNION ALL\n".join(parts), ["fact_installed_der"])
+
+
 def sql_for(name: str) -> str:
     """Oracle SQL for a registered query name."""
     o = oracle()
@@ -492,6 +502,14 @@ FROM u2_planned_der_raw""", [f"u{u}_{d}_raw" for u in (1, 2) for d in ("circuits
         return expectation_quarantine_sql(o)
     if name == "refresh_failed_run":
         return refresh_failed_run_sql(o)
+    if name == "contract_drift":
+        return contract_drift_sql(o)
+    if name == "bronze_compaction":
+        return o.query("SELECT * FROM u1_circuits_raw", ["u1_circuits_raw"])
+    if name == "freshness_ledger":
+        return o.query("SELECT * FROM v_ingestion_metadata", ["v_ingestion_metadata"])
+    if name == "bucketed_map_summary":
+        return o.query("SELECT * FROM v_feeder_map_summary", ["v_feeder_map_summary"])
     if name == "zorder_lookup":
         return zorder_lookup_sql(o)
     if name == "expectation_metrics":
@@ -511,7 +529,7 @@ FROM u2_planned_der_raw""", [f"u{u}_{d}_raw" for u in (1, 2) for d in ("circuits
     if name == "dq_alerts":
         return o.query("SELECT * FROM v_data_quality_report WHERE installed_null_feeder_pct > 5.0",
                        ["v_data_quality_report"])
-    if name in ("csv_landing_read", "bronze_stream_ingest"):
+    if name in ("csv_landing_read", "bronze_stream_ingest", "bronze_arrivals"):
         cols = [c for c in raw_columns("u1_der_raw")
                 if c not in ("_source_file", "_ingestion_ts", "_utility_id", "_environment")]
         src = ("SELECT " + ", ".join(cols) + ", CASE WHEN _source_file >= "
