@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -167,6 +168,21 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = last
 
 
+def released(run: Callable) -> Callable:
+    """``run`` for a Python task, after which what it has freed goes back to
+    the machine: an idle worker is kept for the tasks to come, and would hold
+    the peak of every task it has run beside the executor's own memory."""
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+            if trim:
+                trim(0)
+    return whole
+
+
 def map_texts(df: DataFrame, make: Callable, schema: str, text: str = "text") -> DataFrame:
     """``make(rows, texts) -> dict of columns`` for each slice of rows, run in
     the tasks over Arrow batches; ``rows`` holds the other columns as Arrow."""
@@ -174,7 +190,7 @@ def map_texts(df: DataFrame, make: Callable, schema: str, text: str = "text") ->
         for batch in batches:
             for a, b, texts in slices(batch.column(text)):
                 yield pa.RecordBatch.from_pydict(make(batch.slice(a, b - a), texts))
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(released(run), schema)
 
 
 def longs(a: np.ndarray) -> pa.Array:

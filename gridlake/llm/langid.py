@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _P, Texts, held_out, map_texts, mix
+from .common import _P, Texts, held_out, map_texts, mix, released
 
 DIMS = 1 << 14
 CENTROIDS = 4
@@ -117,7 +117,7 @@ def _frequencies(labelled: DataFrame) -> tuple[int, np.ndarray]:
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_pydict({"place": pa.array(np.append(at, -1).astype(np.int32)), "n": pa.array(np.append(total[at], seen))})
 
-    got = {r.place: r.n for r in labelled.select("text").mapInArrow(run, "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
+    got = {r.place: r.n for r in labelled.select("text").mapInArrow(released(run), "place int, n long").groupBy("place").agg(F.sum("n").alias("n")).collect()}
     out = np.zeros(DIMS)
     for k, n in got.items():
         if k >= 0:
@@ -145,7 +145,7 @@ def _floors(labelled: DataFrame, model: dict) -> np.ndarray:
         yield pa.RecordBatch.from_pydict({"at": pa.array(at.astype(np.int32)), "n": pa.array(total[at])})
 
     total = np.zeros((len(index), STEPS + 1))
-    for r in labelled.select("lang", "text").mapInArrow(run, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
+    for r in labelled.select("lang", "text").mapInArrow(released(run), "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect():
         total[r["at"] // (STEPS + 1), r["at"] % (STEPS + 1)] = r["n"]
     below = np.cumsum(total, axis=1)
     return np.array([REJECT * int(np.searchsorted(b, LOW * b[-1], side="right")) / STEPS for b in below])
@@ -176,7 +176,7 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
                     "counts": pa.array([counts[first[i]:first[i + 1]].tobytes() for i in keep], type=pa.binary())})
                 at += len(low)
 
-    rows = taken.mapInArrow(vectors, "lang string, places binary, counts binary").collect()
+    rows = taken.mapInArrow(released(vectors), "lang string, places binary, counts binary").collect()
     names = sorted({r.lang for r in rows})
     if not names:
         return {"langs": [], "idf": np.ones(DIMS, np.float32), "centres": np.zeros((0, DIMS), np.float32), "of": np.zeros(0, int), "floor": np.zeros(0)}
@@ -235,7 +235,7 @@ def predict(documents: DataFrame, model: dict) -> DataFrame:
                 at += len(low)
 
     return documents.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, lang_pred string, score double, cosine double, rejected boolean")
+        released(run), "doc_id long, lang_pred string, score double, cosine double, rejected boolean")
 
 
 def keep_identified(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
@@ -248,7 +248,7 @@ def keep_identified(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
             rejected = [_judge(low, model)[3] for low in _texts(batch.column("text"))]
             yield batch.filter(pa.array(~np.concatenate(rejected))) if rejected else batch
 
-    return documents.mapInArrow(run, documents.schema)
+    return documents.mapInArrow(released(run), documents.schema)
 
 
 def _learn(documents: DataFrame, sample: int) -> dict:

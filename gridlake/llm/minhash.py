@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _P, Texts, components, free_name, longs, map_texts, maybe_in, mix, store
+from .common import _P, Texts, components, free_name, longs, map_texts, maybe_in, mix, released, store
 
 SHINGLE = 5
 ROWS, BANDS = 6, 26
@@ -283,7 +283,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     # every a is in few pairs; a b may be in many, and by then rows are long, so the join is split
     both = pairs.select("a", "b").join(sets.select(F.col("node").alias("a"), F.col("elements").alias("x")), "a").join(
         sets.select(F.col("node").alias("b"), F.col("elements").alias("y")), "b")
-    return both.select("a", "b", "x", "y").mapInArrow(run, "a long, b long")
+    return both.select("a", "b", "x", "y").mapInArrow(released(run), "a long, b long")
 
 
 def _sets_of(documents: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
@@ -320,7 +320,7 @@ def _meetings(members: DataFrame, *fields: str) -> tuple[DataFrame, DataFrame]:
 def _across(members: DataFrame, fields: list, percent: int, what: str, schema: dict, types: str) -> DataFrame:
     inside, between = _meetings(members, *fields)
     run = _in_blocks(percent, what, schema)
-    return inside.mapInArrow(run, types).union(between.mapInArrow(run, types))
+    return inside.mapInArrow(released(run), types).union(between.mapInArrow(released(run), types))
 
 
 def _links(documents: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFrame, int]:
@@ -328,7 +328,7 @@ def _links(documents: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFr
     a bound on their number."""
     n_nodes = nodes.count()
     sketches = nodes.select("node", "n_shingles", "registers")
-    names = store(nodes.mapInArrow(_bands, "bucket long, node long"), "bands")
+    names = store(nodes.mapInArrow(released(_bands), "bucket long, node long"), "bands")
     # buckets of the same nodes are one bucket
     shared = names.groupBy("bucket").agg(F.min("node").alias("lo"), F.max("node").alias("hi"), F.count("*").alias("n"),
                                          F.sum(F.shiftright("node", 8)).alias("sum")).filter("lo < hi")
@@ -341,7 +341,7 @@ def _links(documents: DataFrame, nodes: DataFrame, percent: int) -> tuple[DataFr
     blocks = active.select("bucket", "node", F.explode(place).alias("block")).join(sketches, "node").groupBy("bucket", "block").agg(
         F.collect_list(F.struct("node", "n_shingles", "registers")).alias("members"))
     found = blocks.filter(F.size("members") > 1).select("members").mapInArrow(
-        _in_blocks(percent, "forest", _PAIR | {"likely": pa.float64()}), "a long, b long, likely double")
+        released(_in_blocks(percent, "forest", _PAIR | {"likely": pa.float64()})), "a long, b long, likely double")
     found = store(found.groupBy("a", "b").agg(F.max("likely").alias("likely")), "likely")
     n_found = found.count()
 

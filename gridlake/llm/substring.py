@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from .common import _IP, _P, _pow, Texts, free_name, lists, longs, map_texts, maybe_in, mix, slices, store
+from .common import _IP, _P, _pow, Texts, free_name, lists, longs, map_texts, maybe_in, mix, released, slices, store
 
 WINDOW = 50
 ROUNDS = 2
@@ -248,7 +248,7 @@ def remove_repeats(documents: DataFrame) -> DataFrame:
     changes = store(cuts.union(whole.withColumn(kept, F.lit(""))), "changes")
     # only rows that may change are moved
     maybe = free_name("_maybe", documents)
-    named = maybe_in(documents.mapInArrow(name, schema), own_seq, changes.withColumnRenamed(of_seq, own_seq), changes.count(), maybe)
+    named = maybe_in(documents.mapInArrow(released(name), schema), own_seq, changes.withColumnRenamed(of_seq, own_seq), changes.count(), maybe)
     some = named.filter(maybe).drop(maybe).join(
         changes, (F.col("doc_id") == F.col(of_id)) & (F.col(own_seq) == F.col(of_seq)), "left")
     same = named.filter(~F.col(maybe)).drop(maybe)

@@ -585,3 +585,19 @@ def test_maybe_in_lets_all_wanted_through(spark):
     assert got.columns == ["k", "id", "_place", "_maybe"]
     assert got.filter("id % 50 = 0").count() == 1000 and got.count() < 8000
     assert maybe_in(rows, "k", wanted.filter("false"), 0).filter("_maybe").count() == 0
+
+
+def test_a_task_gives_back_what_it_has_freed():
+    from gridlake.llm.common import released
+    ended = []
+
+    def run(batches):
+        try:
+            yield from batches
+        finally:
+            ended.append(True)
+    assert list(released(run)(iter([1, 2]))) == [1, 2] and ended == [True]
+    some = released(run)(iter([1, 2]))          # a task that is stopped early
+    assert next(some) == 1
+    some.close()
+    assert ended == [True, True]
