@@ -6,6 +6,8 @@ import os
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from gridlake import session
+from gridlake.operators import feeder_rollup
 from gridlake.operators.quality import split_by_expectations
 from gridlake.registry import Expectation
 from gridlake.session import JIT_METHOD_BYTES, ensure_compiled, scratch_path
@@ -36,6 +38,47 @@ def test_large_scan_is_cut_by_bytes(spark, tmp_dir):
     assert derived.balanced(df, 5 * derived.SCAN_BYTES).agg(F.sum("id")).first()[0] == 999 * 500
 
 
+def test_scan_of_a_large_file_is_split_without_a_shuffle(spark, tmp_dir, monkeypatch):
+    """Row groups far smaller than a share: the file's rows stay where they are read."""
+    import __spark_entry__ as E
+    key, path = "spark.sql.files.maxPartitionBytes", os.path.join(tmp_dir, "t.parquet")
+    before = spark.conf.get(key)
+    spark.range(400_000).withColumn("r", F.rand(1)).coalesce(1).write.option("parquet.block.size", 64 << 10).parquet(path)
+    monkeypatch.setattr(derived, "SCAN_BYTES", 512 << 10)
+    monkeypatch.setattr(session, "SCAN_BYTES", 512 << 10)
+    try:
+        E._layers(spark, "/root/testdata/sf0.001")
+        assert int(spark.conf.get(key).rstrip("b")) == 512 << 10
+        df = derived.read_table(spark, tmp_dir, "t")
+        assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+        assert df.rdd.getNumPartitions() >= store.files_for(store.stored_bytes(spark, path), 512 << 10) > 2
+        assert df.count() == 400_000
+        spark.conf.set(key, "1024")
+        session.ensure_splits(spark)
+        assert spark.conf.get(key) == "1024"            # a lower limit stays
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_large_row_group_is_spread(spark, tmp_dir, monkeypatch):
+    path = os.path.join(tmp_dir, "t.parquet")
+    spark.range(100_000).withColumn("r", F.rand(1)).coalesce(1).write.parquet(path)
+    monkeypatch.setattr(derived, "SCAN_BYTES", 100 << 10)
+    assert store.row_group_bytes(spark, spark.read.parquet(path).inputFiles()) > 2 * derived.SCAN_BYTES
+    df = derived.read_table(spark, tmp_dir, "t")
+    assert df.rdd.getNumPartitions() == store.files_for(store.stored_bytes(spark, path), 100 << 10)
+    assert df.agg(F.sum("id")).first()[0] == 99_999 * 50_000
+
+
+def test_rollup_moves_each_value_once(spark):
+    """The values travel in the struct that ranks them, not beside it as well."""
+    seg = spark.range(10).selectExpr("id % 2 AS feeder_id", "id AS section_id", "id * 1.5D AS voltage_kv", "1D AS feeder_max_hc_mw", "2D AS feeder_min_hc_mw",
+                                     "CAST(NULL AS TIMESTAMP) AS hca_date", "'n' AS feeder_name", "TIMESTAMP'2024-01-01' AS _ingestion_ts")
+    out = feeder_rollup(seg)
+    assert sorted((r.feeder_id, r.voltage_kv, r.segment_count) for r in out.collect()) == [(0, 12.0, 5), (1, 13.5, 5)]
+    assert "max_by" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_sorts_are_cut_by_bytes_in_memory(spark, tmp_dir, monkeypatch):
     """Equal texts are stored in next to no bytes, but are sorted at full length."""
     monkeypatch.setattr(store, "SORT_BYTES", 64 << 10)
