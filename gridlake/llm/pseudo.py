@@ -141,7 +141,7 @@ def others(h: np.ndarray, doc: np.ndarray, n: int, vocab: dict) -> pa.Array:
 def neighbours(row: np.ndarray, doc: np.ndarray) -> np.ndarray:
     """The input rows of the words at -SIDE .. -1, 1 .. SIDE; the last row of
     a table stands for the text's outside."""
-    out = np.full((len(row), 2 * SIDE), OWN_ROWS + SHARED_ROWS, dtype=np.int32)
+    out = np.full((len(row), 2 * SIDE), OWN_ROWS + SHARED_ROWS, dtype=np.int16)
     for k, d in enumerate([*range(-SIDE, 0), *range(1, SIDE + 1)]):
         a, b = (slice(-d, None), slice(None, d)) if d < 0 else (slice(None, -d), slice(d, None))
         same = doc[a] == doc[b]

@@ -210,3 +210,32 @@ def test_packing_query(spark, bpe):
     got = queries()["op13_packing"](spark, SF).collect()
     want = {(p.doc_id, p.start, p.length, zlib.crc32(bytes(p.ids))) for p in packing.pack(docs, bpe).collect()}
     assert {(p.doc_id, p.start, p.length, p.ids_crc32) for p in got} == want
+
+
+def test_neighbours_are_numbers_that_sort_by_digits():
+    """numpy sorts numbers of up to 16 bits stably in linear time; training sorts each batch."""
+    import numpy as np
+
+    from gridlake.llm import pseudo
+    near = pseudo.neighbours(np.array([5, 6, 7, 1023]), np.array([0, 0, 0, 1]))
+    out = pseudo.OWN_ROWS + pseudo.SHARED_ROWS
+    assert near.dtype == np.int16 and out < 1 << 15
+    assert near.tolist() == [[out, out, 6, 7], [out, 5, 7, out], [5, 6, out, out], [out] * 4]
+
+
+def test_centroids_take_no_second_copy_of_the_texts():
+    """The driver holds one language's vectors once, with next to nothing beside them."""
+    import tracemalloc
+
+    import numpy as np
+
+    from gridlake.llm import langid
+    v = np.random.default_rng(1).random((400, langid.DIMS), dtype=np.float32)
+    v /= np.sqrt((v * v).sum(1, keepdims=True))
+    tracemalloc.start()
+    centres = langid._k_means(v, 1, rounds=1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    m = v.mean(0)
+    assert (centres[0] == m / np.sqrt(m @ m)).all()
+    assert peak < v.nbytes / 4
