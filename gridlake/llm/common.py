@@ -168,6 +168,14 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = last
 
 
+def give_back() -> None:
+    """What this process has freed goes back to the machine."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
+    if trim:
+        trim(0)
+
+
 def released(run: Callable) -> Callable:
     """``run`` for a Python task, after which what it has freed goes back to
     the machine: an idle worker is kept for the tasks to come, and would hold
@@ -176,10 +184,7 @@ def released(run: Callable) -> Callable:
         try:
             yield from run(batches)
         finally:
-            pa.default_memory_pool().release_unused()
-            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)      # glibc has it
-            if trim:
-                trim(0)
+            give_back()
     return whole
 
 

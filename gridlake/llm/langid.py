@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import _P, Texts, held_out, map_texts, mix, released
+from .common import _P, Texts, give_back, held_out, map_texts, mix, released
 
 DIMS = 1 << 14
 CENTROIDS = 4
@@ -90,6 +90,10 @@ def _texts(column: pa.Array, step: int = 128):
         yield part
 
 
+#: places that a centroid's mean is taken of at once
+_PLACES = 1 << 10
+
+
 def _k_means(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
     """Spherical k-means, started from the texts farthest from those chosen."""
     start = [int((v @ v.mean(0)).argmax())]
@@ -100,7 +104,8 @@ def _k_means(v: np.ndarray, k: int, rounds: int = 12) -> np.ndarray:
         own = (v @ centre.T).argmax(1)
         for c in range(len(centre)):
             if (own == c).any():
-                m = v[own == c].mean(0)
+                # some places at a time: no second copy of the texts beside the first
+                m = np.concatenate([v[own == c, a:a + _PLACES].mean(0) for a in range(0, v.shape[1], _PLACES)])
                 centre[c] = m / max(np.sqrt(m @ m), 1e-12)
     return centre
 
@@ -191,7 +196,10 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
         counts = np.concatenate([np.frombuffer(r.counts, dtype=np.uint16) for r in own]).astype(np.float32)
         v = np.zeros((len(own), DIMS), dtype=np.float32)
         v[doc, place] = _weigh(doc, place, counts, len(own), idf)
+        del doc, place, counts
         c = _k_means(v, CENTROIDS)
+        del v               # before the next language has its own
+        give_back()
         centres.append(c)
         of += [k] * len(c)
     model = {"langs": names, "idf": idf, "centres": np.concatenate(centres).astype(np.float32), "of": np.array(of)}
