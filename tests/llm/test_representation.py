@@ -191,6 +191,19 @@ def test_chunks_give_the_ids_of_whole_texts(bpe):
         packing._MEMO = kept
 
 
+def test_ascii_words_go_to_the_model_at_once(bpe, monkeypatch):
+    """The rest of the tokenizer sees the other chunks alone, and the ids are equal."""
+    rng = random.Random(4)
+    words = sorted({(rng.choice(["", " "]) + "".join(rng.choice("abcdeghIOU") for _ in range(rng.randrange(1, 14)))).encode() for _ in range(400)})
+    others = [b"", b" ", b"  a", b"\n", b"\nab", b"ab,", b" 12", " \u00e9t\u00e9".encode(), b"a b", b" don't", b"\tx"]
+    t, marked, seen = packing._tokenizer(bpe), packing._marked, []
+    chunks = [c for pair in zip(words, others * len(words)) for c in pair]
+    want = [np.array(e.ids, dtype="<u4").tobytes() for e in t.encode_batch_fast([c.decode() for c in chunks], add_special_tokens=False)]
+    monkeypatch.setattr(packing, "_marked", lambda tokenizer, some: (seen.extend(some), marked(tokenizer, some))[1])
+    assert packing._encoded(t, chunks) == want
+    assert set(seen) == set(others)
+
+
 def test_sequences_hold_all_pieces(spark, bpe):
     rows = [(i, f"some words of text {i} " * (i % 60)) for i in range(300)]
     pieces = packing.store(packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), bpe, 256), "t-pieces")
