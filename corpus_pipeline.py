@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridlake.llm.common import store, table
+from gridlake.llm.common import small_batches, store, table
 from gridlake.llm.langid import keep_identified
 from gridlake.llm.minhash import drop_near_duplicates
 from gridlake.llm.mixing import mix_documents
@@ -23,6 +23,7 @@ SIMILAR_PERCENT = 80
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    small_batches(spark)        # for the stages that follow as well
     return keep_identified(docs)
 
 

@@ -168,6 +168,18 @@ def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int
         row = last
 
 
+#: Rows of documents that Spark and a Python task pass each other at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Batches of whole texts stay small: Spark's 10000 rows are tens of MB,
+    which the executor and its Python task hold several times over each."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def give_back() -> None:
     """What this process has freed goes back to the machine."""
     pa.default_memory_pool().release_unused()

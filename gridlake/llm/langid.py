@@ -56,7 +56,7 @@ _is_letter: list[np.ndarray] = []
 
 def _letters(points: np.ndarray) -> np.ndarray:
     if not _is_letter:
-        _is_letter.append(np.array([chr(i).isalpha() for i in range(0x110000)]))
+        _is_letter.append(np.fromiter((chr(i).isalpha() for i in range(0x110000)), dtype=bool, count=0x110000))
     return _is_letter[0][points]
 
 
@@ -67,27 +67,36 @@ def _weigh(doc: np.ndarray, place: np.ndarray, counts: np.ndarray, n: int, idf:
     return v / np.where(norm == 0, 1, norm)[doc]
 
 
-def _cosines(doc: np.ndarray, place: np.ndarray, v: np.ndarray, n: int, centres: np.ndarray) -> np.ndarray:
-    """Texts x centres."""
-    out = np.zeros((n, len(centres)), dtype=np.float32)
+#: trigrams x centres that are multiplied at once, about
+_PRODUCTS = 1 << 20
+
+
+def _cosines(doc: np.ndarray, place: np.ndarray, v: np.ndarray, n: int, across: np.ndarray) -> np.ndarray:
+    """Texts x centres, of which ``across`` has the places in its rows."""
+    out = np.zeros((n, across.shape[1]), dtype=np.float32)
     if len(doc):
         head = np.flatnonzero(np.concatenate([[True], doc[1:] != doc[:-1]]))
-        across = np.ascontiguousarray(centres.T)
-        out[doc[head]] = np.add.reduceat(across[place] * v[:, None], head)
+        step = max(1, _PRODUCTS // len(doc))
+        for a in range(0, across.shape[1], step):
+            m = across[place, a:a + step]
+            m *= v[:, None]
+            out[doc[head], a:a + step] = np.add.reduceat(m, head)
     return out
 
 
-def _texts(column: pa.Array, step: int = 128):
-    """Lower-cased texts, a few at a time."""
-    at, part, size = 0, [], 0
-    for t in column.to_pylist():
-        part.append(f" {(t or '').lower()} ")
-        size += len(part[-1])
-        if len(part) >= step or size > 1 << 19:
+def _texts(column: pa.Array, step: int = 32, most: int = 1 << 17):
+    """Lower-cased texts, a few at a time: about ``most`` characters, for a
+    task's memory is some hundred bytes for each of them."""
+    for a in range(0, len(column), step):
+        part, size = [], 0
+        for t in column.slice(a, step).to_pylist():
+            part.append(f" {(t or '').lower()} ")
+            size += len(part[-1])
+            if size > most:
+                yield part
+                part, size = [], 0
+        if part:
             yield part
-            part, size = [], 0
-    if part:
-        yield part
 
 
 #: places that a centroid's mean is taken of at once
@@ -136,12 +145,13 @@ def _floors(labelled: DataFrame, model: dict) -> np.ndarray:
     index = {x: k for k, x in enumerate(model["langs"])}
 
     def run(batches):
+        ready = _ready(model)
         total = np.zeros(len(index) * (STEPS + 1), dtype=np.int64)
         for batch in batches:
             names, at = batch.column("lang").to_pylist(), 0
             for low in _texts(batch.column("text")):
                 lang = np.array([index.get(x, -1) for x in names[at:at + len(low)]])
-                cos, letters = _similar(low, model)
+                cos, letters = _similar(low, ready)
                 ok = np.flatnonzero((letters > 0) & (lang >= 0))
                 full = cos[ok, lang[ok]] / np.sqrt(np.minimum(letters[ok] / FULL, 1))
                 total += np.bincount(lang[ok] * (STEPS + 1) + (np.clip(full, 0, 1) * STEPS).astype(np.int64), minlength=len(total))
@@ -206,11 +216,16 @@ def fit(labelled: DataFrame, sample: int = SAMPLE) -> dict:
     return {**model, "floor": _floors(labelled, model)}
 
 
+def _ready(model: dict) -> dict:
+    """The model as a task uses it."""
+    return {**model, "across": np.ascontiguousarray(model["centres"].T)}
+
+
 def _similar(low: list[str], model: dict) -> tuple[np.ndarray, np.ndarray]:
     """Cosines of lower-cased texts with the languages (each one's nearest
     centroid), and the texts' letters."""
     doc, place, counts, letters = _grams(low)
-    every = _cosines(doc, place, _weigh(doc, place, counts, len(low), model["idf"]), len(low), model["centres"])
+    every = _cosines(doc, place, _weigh(doc, place, counts, len(low), model["idf"]), len(low), model["across"])
     return np.stack([every[:, model["of"] == k].max(1) for k in range(len(model["langs"]))], axis=1), letters
 
 
@@ -232,10 +247,11 @@ def _judge(low: list[str], model: dict) -> tuple[np.ndarray, np.ndarray, np.ndar
 def predict(documents: DataFrame, model: dict) -> DataFrame:
     """doc_id, lang_pred, score, cosine, rejected for each row."""
     def run(batches):
+        ready = _ready(model)
         for batch in batches:
             at = 0
             for low in _texts(batch.column("text")):
-                best, score, cosine, rejected = _judge(low, model)
+                best, score, cosine, rejected = _judge(low, ready)
                 yield pa.RecordBatch.from_pydict({
                     "doc_id": batch.column("doc_id").slice(at, len(low)).cast(pa.int64()),
                     "lang_pred": pa.array([model["langs"][b] if b >= 0 else "und" for b in best], type=pa.string()),
@@ -252,8 +268,9 @@ def keep_identified(documents: DataFrame, sample: int = SAMPLE) -> DataFrame:
     model = _learn(documents, sample)
 
     def run(batches):
+        ready = _ready(model)
         for batch in batches:
-            rejected = [_judge(low, model)[3] for low in _texts(batch.column("text"))]
+            rejected = [_judge(low, ready)[3] for low in _texts(batch.column("text"))]
             yield batch.filter(pa.array(~np.concatenate(rejected))) if rejected else batch
 
     return documents.mapInArrow(released(run), documents.schema)
