@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import os
 import struct
+import unicodedata
 
 import numpy as np
 import pyarrow as pa
@@ -42,25 +43,83 @@ def _tokenizer(path: str):
 
 
 #: A worker remembers the ids of this many chunks, and of as many before them.
-_MEMO = 250_000
+_MEMO = 500_000
+#: Longer chunks (in bytes), which seldom come again, are not remembered.
+_LONGEST = 64
+#: Each as columns: name (a hash, sorted), at and size (its bytes in ``text``),
+#: begin and count (its ids in ``ids``); without columns if nothing is remembered.
 _memo: list[dict] = [{}, {}]
+_PACK = [struct.Struct(f"<{n}I").pack for n in range(32)]
 
-#: kinds of bytes: 1 ASCII letters, 2 digits, 3 other visible ASCII, 4 white space, 0 all else
-_KIND = np.zeros(256, dtype=np.int8)
-_KIND[33:127] = 3
-_KIND[[*range(65, 91), *range(97, 123)]] = 1
-_KIND[48:58] = 2
-_KIND[[9, 10, 13, 32]] = 4
-#: whether a piece ends between bytes of these kinds, whatever stands around them
+#: white space of kind 4
+_BLANKS = [9, 10, 13, 32]
+
+
+def _kinds() -> np.ndarray:
+    """The kind of each character below 65536: 1 letters, 2 digits, 3 other
+    visible signs, 4 common white space, 0 all else. A character that is not of
+    the same kind in Unicode 3.2 and in Python's version is of kind 0, as the
+    tokenizer may know another version."""
+    kinds = {"L": 1, "N": 2, "P": 3, "S": 3}
+    both = [[kinds.get(u.category(chr(c))[0], 0) for c in range(1 << 16)] for u in (unicodedata, unicodedata.ucd_3_2_0)]
+    out = np.where(np.equal(*both), both[0], 0).astype(np.int8)
+    out[_BLANKS] = 4
+    return out
+
+
+_KIND = _kinds()
+#: whether a piece ends between characters of these kinds, whatever stands around them
 _ENDS = np.zeros((5, 5), dtype=bool)
 _ENDS[1:4, 1:5] = ~np.eye(3, 4, dtype=bool)
+#: the sign by which a byte-level tokenizer's model knows each byte
+_SIGN = np.arange(256, dtype="<u2")
+_hidden = [*range(33), *range(127, 161), 173]
+_SIGN[_hidden] = 256 + np.arange(len(_hidden))
+
+
+def _kinds_of(buf: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """The kind of the character that each byte is of; ``edge`` tells where texts
+    begin and end."""
+    kind = np.where(buf < 128, _KIND[buf], 0).astype(np.int8)
+    for size, low, high, least in ((2, 0xC2, 0xE0, 0x80), (3, 0xE0, 0xF0, 0x800)):
+        at = np.flatnonzero((buf >= low) & (buf < high))
+        at = at[at <= len(buf) - size]
+        code = buf[at].astype(np.int64) - (0xC0 if size == 2 else 0xE0)
+        good = np.ones(len(at), dtype=bool)
+        for i in range(1, size):
+            good &= (buf[at + i] & 0xC0 == 0x80) & ~edge[at + i]
+            code = code << 6 | buf[at + i] & 0x3F
+        own = np.where(good & (code >= least), _KIND[code & 0xFFFF], 0)
+        keep = own > 0
+        for i in range(size):
+            kind[at[keep] + i] = own[keep]
+    return kind
+
+
+def _cuts(buf: np.ndarray, kind: np.ndarray, edge: np.ndarray) -> np.ndarray:
+    """Where texts are cut, ``edge`` included."""
+    cut = edge.copy()
+    if len(buf) < 2:
+        return cut
+    before, behind = kind[:-1], kind[1:]
+    # an apostrophe may belong to the letters behind it
+    cut[1:-1] |= _ENDS[before, behind] & ((buf[:-1] != 39) | (behind == 4))
+    # the last of white space before a visible sign is apart from the rest of it
+    last = (before == 4) & (behind > 0) & (behind < 4) & ~edge[1:-1]
+    cut[1:-2] |= last[1:] & (kind[:-2] == 4)
+    # and, if no space, from the sign
+    sure = edge[:-2].copy()
+    sure[1:] |= kind[:-2] > 0
+    cut[1:-1] |= last & (buf[:-1] != 32) & sure
+    return cut
+
 
 def cuts_by_kind(tokenizer) -> bool:
     """Whether the tokenizer is a byte-level one without a normalizer. Its
-    pieces hold letters, digits or other visible signs, each with white space
-    in front only, or white space: a text can be cut where these kinds change,
-    but for an apostrophe before letters, and before the white space behind
-    them."""
+    pieces hold letters, digits or other visible signs, each with one space in
+    front or none, or white space: a text can be cut where these kinds change,
+    but for an apostrophe before letters, before the white space behind them,
+    and around the last of white space, if no space, before the next."""
     import json
     made = json.loads(tokenizer.to_str())
     before = made["pre_tokenizer"] or {}
@@ -76,39 +135,89 @@ def _whole(tokenizer, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return np.array([x for ids in coded for x in ids], dtype=np.int64), np.array([len(ids) for ids in coded], dtype=np.int64)
 
 
-def _remembered(tokenizer, keys: list[bytes]) -> list[bytes]:
-    """The ids of each of the distinct chunks, as unsigned 32-bit numbers."""
+def _runs(begin: np.ndarray, count: np.ndarray) -> np.ndarray:
+    """The places of runs of ``count`` places each."""
+    upto = np.cumsum(count)
+    return np.repeat(begin - upto + count, count) + np.arange(int(upto[-1]) if len(upto) else 0)
+
+
+def _found(memo: dict, buf: np.ndarray, start: np.ndarray, size: np.ndarray, name: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which chunks the memo holds, and their rows in it."""
+    if not memo:
+        return np.zeros(len(name), dtype=bool), np.zeros(len(name), dtype=np.int64)
+    row = np.minimum(np.searchsorted(memo["name"], name), len(memo["name"]) - 1)
+    hit = (memo["name"][row] == name) & (memo["size"][row] == size)
+    at = np.flatnonzero(hit)
+    # equal names are equal chunks: checked byte by byte
+    same = buf[_runs(start[at], size[at])] == memo["text"][_runs(memo["at"][row[at]], size[at])]
+    if not same.all():
+        hit[at] = np.logical_and.reduceat(same, np.cumsum(size[at]) - size[at])
+    return hit, row
+
+
+def _with(memo: dict, more: dict) -> dict:
+    """A memo and more chunks, sorted by name."""
+    if not memo:
+        return more
+    more = more | {"at": more["at"] + len(memo["text"]), "begin": more["begin"] + len(memo["ids"])}
+    order = np.argsort(np.concatenate([memo["name"], more["name"]]), kind="stable")         # two sorted runs: merged
+    out = {}
+    for c in memo:
+        out[c] = np.concatenate([memo[c], more[c]])
+        if c not in ("text", "ids"):
+            out[c] = out[c][order]
+    return out
+
+
+def _remembered(tokenizer, buf: np.ndarray, start: np.ndarray, end: np.ndarray, name: np.ndarray,
+                single: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of the distinct chunks, sorted by name, in one row, and the number of each chunk's."""
     young, old = _memo
-    held = [young.get(k) for k in keys]
-    at = [i for i, x in enumerate(held) if x is None]
-    new = []
-    for i in at:
-        held[i] = old.get(keys[i])
-        if held[i] is None:
-            new.append(i)
-    for i, ids in zip(new, _encoded(tokenizer, [keys[i] for i in new])):
-        held[i] = ids
-    young.update((keys[i], held[i]) for i in at)
-    if len(young) > _MEMO:
-        _memo[:] = [{}, young]
-    return held
-
-
-def _encoded(tokenizer, chunks: list[bytes]) -> list[bytes]:
-    """The ids of each chunk. An ASCII word, with a space before it or none, is
-    one piece, and goes to the tokenizer's model at once: what else it does to
-    a text costs it more than that."""
-    model, out, rest = tokenizer.model.tokenize, [], []
-    for i, chunk in enumerate(chunks):
-        if chunk.isalpha():
-            ids = [t.id for t in model(chunk.decode())]
-        elif chunk[:1] == b" " and chunk[1:].isalpha():
-            ids = [t.id for t in model("\u0120" + chunk[1:].decode())]     # the sign of a space
+    size = end - start
+    known, row = _found(young, buf, start, size, name)
+    at = np.flatnonzero(~known)
+    again, row[at] = _found(old, buf, start[at], size[at], name[at])
+    again, new = at[again], at[~again]
+    raw = buf.tobytes()
+    made = _encoded(tokenizer, [raw[a:b] for a, b in zip(start[new].tolist(), end[new].tolist())], single[new].tolist())
+    known = np.flatnonzero(known)
+    count = np.zeros(len(name), dtype=np.int64)
+    count[new] = np.fromiter(map(len, made), dtype=np.int64, count=len(made)) // 4
+    for memo, some in ((young, known), (old, again)):
+        if len(some):
+            count[some] = memo["count"][row[some]]
+    begin = np.cumsum(count) - count
+    ids = np.empty(int(count.sum()), dtype="<u4")
+    ids[_runs(begin[new], count[new])] = np.frombuffer(b"".join(made), dtype="<u4")
+    for memo, some in ((young, known), (old, again)):
+        if len(some):
+            ids[_runs(begin[some], count[some])] = memo["ids"][_runs(memo["begin"][row[some]], count[some])]
+    at = at[size[at] <= _LONGEST]
+    if len(at):
+        _memo[0] = _with(young, {
+            "name": name[at], "at": np.cumsum(size[at]) - size[at], "size": size[at].astype(np.int16),
+            "begin": np.cumsum(count[at]) - count[at], "count": count[at].astype(np.int16), "text": buf[_runs(start[at], size[at])], "ids": ids[_runs(begin[at], count[at])]})
+        if len(_memo[0]["name"]) > _MEMO:
+            _memo[:] = [{}, _memo[0]]
+    return ids, count
+
+
+def _encoded(tokenizer, chunks: list[bytes], single: list[bool] | None = None) -> list[bytes]:
+    """The ids of each chunk. Those that are a ``single`` piece go to the
+    tokenizer's model at once: what else it does to a text costs it more than
+    that. If not told, these are the ASCII words, with a space before them or none."""
+    if single is None:
+        single = [(c[1:] if c[:1] == b" " else c).isalpha() for c in chunks]
+    model, out, rest = tokenizer.model.tokenize, [b""] * len(chunks), []
+    signs = _SIGN[np.frombuffer(b"".join(chunks), dtype=np.uint8)].tobytes().decode("utf-16-le")
+    end = 0
+    for i, (chunk, alone) in enumerate(zip(chunks, single)):
+        start, end = end, end + len(chunk)
+        if alone:
+            ids = [t.id for t in model(signs[start:end])]
+            out[i] = _PACK[len(ids)](*ids) if len(ids) < len(_PACK) else struct.pack(f"<{len(ids)}I", *ids)
         else:
-            out.append(b"")
             rest.append(i)
-            continue
-        out.append(struct.pack(f"<{len(ids)}I", *ids))
     for i, ids in zip(rest, _marked(tokenizer, [chunks[i] for i in rest]) if rest else []):
         out[i] = ids
     return out
@@ -128,6 +237,17 @@ def _marked(tokenizer, chunks: list[bytes]) -> list[bytes]:
     return [np.array(e.ids, dtype="<u4").tobytes() for e in coded]
 
 
+def _single(buf: np.ndarray, kind: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Which chunks are surely one piece: signs of one kind, with a space before them or none."""
+    if not len(start):
+        return np.zeros(0, dtype=bool)
+    run = np.concatenate([[0], np.cumsum(kind[1:] != kind[:-1])])
+    second = np.minimum(start + 1, end - 1)
+    led = (buf[start] == 32) & (kind[second] < 4)
+    begin = np.where(led, second, start)
+    return (run[begin] == run[end - 1]) & (kind[begin] > 0)
+
+
 def _by_chunks(tokenizer, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     """The same: texts are cut where a piece surely ends, and a chunk that
     occurs many times is tokenised once."""
@@ -135,29 +255,22 @@ def _by_chunks(tokenizer, texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     raw = buf.tobytes()
     if any(t.content.encode() in raw for t in tokenizer.get_added_tokens_decoder().values()):
         return _whole(tokenizer, texts)
-    kind = _KIND[buf]
-    cut = np.zeros(n + 1, dtype=bool)
-    # an apostrophe may belong to the letters behind it
-    cut[1:n] = _ENDS[kind[:-1], kind[1:]] & ((buf[:-1] != 39) | (kind[1:] == 4))
-    cut[texts.bounds] = True
-    cut = np.flatnonzero(cut)
+    edge = np.zeros(n + 1, dtype=bool)
+    edge[texts.bounds] = True
+    kind = _kinds_of(buf, edge)
+    cut = np.flatnonzero(_cuts(buf, kind, edge))
     start, length = cut[:-1], np.diff(cut)
     name, first, same = np.unique(texts.span_hashes(start, cut[1:]), return_index=True, return_inverse=True)
     # equal names are equal chunks: checked byte by byte
     model = start[first][same]
-    place = np.repeat(model - start, length) + np.arange(n) if n else np.zeros(0, dtype=np.int64)
-    if (length[first][same] != length).any() or (buf[np.clip(place, 0, max(n - 1, 0))] != buf).any():
+    if (length[first][same] != length).any() or (buf[np.repeat(model - start, length) + np.arange(n)] != buf).any():
         return _whole(tokenizer, texts)
-    keys = [raw[a:b] for a, b in zip(start[first].tolist(), cut[1:][first].tolist())]
-    held = _remembered(tokenizer, keys)
-    count = np.fromiter(map(len, held), dtype=np.int64, count=len(held)) // 4
-    flat = np.frombuffer(b"".join(held), dtype="<u4")
+    begin, end = start[first], cut[1:][first]
+    flat, count = _remembered(tokenizer, buf, begin, end, name, _single(buf, kind, begin, end))
     begin = np.cumsum(count) - count
     every = count[same]
-    upto = np.cumsum(every)
-    ids = flat[np.repeat(begin[same] - upto + every, every) + np.arange(int(upto[-1]) if len(upto) else 0)]
-    total = np.concatenate([[0], upto])
-    return ids, np.diff(total[np.searchsorted(cut, texts.bounds)])
+    total = np.concatenate([[0], np.cumsum(every)])
+    return flat[_runs(begin[same], every)], np.diff(total[np.searchsorted(cut, texts.bounds)])
 
 
 def tokens(documents: DataFrame, tokenizer: str, end: int = END) -> DataFrame:

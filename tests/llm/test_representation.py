@@ -204,6 +204,79 @@ def test_ascii_words_go_to_the_model_at_once(bpe, monkeypatch):
     assert set(seen) == set(others)
 
 
+def texts_of(rows):
+    """Texts of any bytes."""
+    from gridlake.llm.common import Texts
+    return Texts(np.frombuffer(b"".join(rows), dtype=np.uint8), np.cumsum([0, *map(len, rows)]))
+
+
+def test_words_of_any_letters_are_tokenised_once(bpe, monkeypatch):
+    """Words of known letters are chunks, whatever stands beside them, and go to the model at once."""
+    rng = random.Random(11)
+    words = ["\u00fcber", "Stra\u00dfe", "ni\u00f1o", "\u00e9t\u00e9", "\u0441\u043b\u043e\u0432\u043e", "\u03bb\u03cc\u03b3\u03bf\u03c2", "\u6570\u636e", "plain", "12"]
+    rows = [(rng.choice(["", "\n", "\u201c"]) + rng.choice([" ", "\n", " \u2014 "]).join(rng.choices(words, k=12))).encode() for _ in range(200)]
+    t, encoded, seen = packing._tokenizer(bpe), packing._encoded, []
+    monkeypatch.setattr(packing, "_memo", [{}, {}])
+    monkeypatch.setattr(packing, "_encoded", lambda tokenizer, chunks, *a: (seen.extend(chunks), encoded(tokenizer, chunks, *a))[1])
+    monkeypatch.setattr(packing, "_marked", lambda tokenizer, chunks: pytest.fail(f"not sent to the model: {chunks}"))
+    for half in (rows[:100], rows[100:]):
+        ids, n = packing._by_chunks(t, texts_of(half))
+        want, m = packing._whole(t, texts_of(half))
+        assert n.tolist() == m.tolist() and ids.tolist() == want.tolist()
+    assert len(seen) == len(set(seen)) <= 2 * len(words) + 4
+
+
+def test_kinds_are_those_of_the_tokenizer(bpe):
+    """Every character of a kind is cut from other kinds, and from no own one, as the tokenizer does."""
+    cut = packing._tokenizer(bpe).pre_tokenizer.pre_tokenize_str
+    for kind, others in ((1, "1 !"), (2, "a !"), (3, "a 1")):
+        known = np.flatnonzero(packing._KIND == kind)
+        signs = "".join(chr(c) for c in known if c != 39)
+        assert len(cut(signs)) == 1
+        for other in others:
+            pieces = cut("".join(c + other for c in signs) + signs[:1])
+            assert len(pieces) == len(signs) + 1 if other == " " else len(pieces) == 2 * len(signs) + 1
+    assert (packing._KIND > 0).sum() > 30_000 and not packing._KIND[[0x85, 0xA0, 0x0301, 0x2003, 0x2028, 0x3000, 0xD800, 0xFFFF]].any()
+
+
+def test_odd_signs_give_the_ids_of_whole_texts(bpe, monkeypatch):
+    rng = random.Random(21)
+    parts = [x.encode() for x in (
+        " ", "  ", "\n", "\n\n", "\r\n", "\t", " \n", "\n ", "\x0b", "\x1c", "\x85", "\xa0", "\u2003", "\u2028", "\u3000", "\u180e", "\u200b", "\u0301", "e\u0301", "\u00fc",
+        "\u00df", "\u0441\u043b", "\u6570", "\u3002", "\u201c", "\u2014", "\u00bd", "\u0663", "\u20ac", "'", "\u2019", "'s", "'ve", "'\u00e9", "ab", "I", "7", "!", "\U0001f600", "\U00020000", "\ue000")]
+    parts += [b"\xc3", b"\xa9", b"\xe2\x80", b"\xe0\x80\x80", b"\xed\xa0\x80", b"\xff", b"\xf0\x9f"]        # no UTF-8
+    t = packing._tokenizer(bpe)
+    monkeypatch.setattr(packing, "_memo", [{}, {}])
+    for whole in (len(parts) - 7, len(parts)):
+        for size in (500, 50):
+            monkeypatch.setattr(packing, "_MEMO", size)
+            for _ in range(6):
+                texts = texts_of([b"".join(rng.choices(parts[:whole], k=rng.randrange(9))) for _ in range(1500)])
+                ids, n = packing._by_chunks(t, texts)
+                want, m = packing._whole(t, texts)
+                assert n.tolist() == m.tolist() and ids.tolist() == want.tolist()
+
+
+def test_memo_tells_chunks_of_equal_names_apart(bpe, monkeypatch):
+    from gridlake.llm.common import Texts
+    t = packing._tokenizer(bpe)
+    monkeypatch.setattr(packing, "_memo", [{}, {}])
+    monkeypatch.setattr(Texts, "span_hashes", lambda self, start, end: np.arange(len(start), dtype=np.uint64))
+    for rows in ([b"one two"], [b"six two"], [b"one ten"], [b"a", b"longer"], [b"one two"]):
+        ids, n = packing._by_chunks(t, texts_of(rows))
+        want, m = packing._whole(t, texts_of(rows))
+        assert n.tolist() == m.tolist() and ids.tolist() == want.tolist()
+
+
+def test_memo_stays_small(bpe, monkeypatch):
+    """No Python object for each chunk, and no long chunks."""
+    t = packing._tokenizer(bpe)
+    monkeypatch.setattr(packing, "_memo", [{}, {}])
+    packing._by_chunks(t, texts_of([b" ".join(b"word" + bytes([97 + i // 676, 97 + i // 26 % 26, 97 + i % 26]) for i in range(9000)), b"x" * 100_000]))
+    held = packing._memo[0]
+    assert len(held["name"]) >= 9000 and sum(x.nbytes for x in held.values()) < 80 * len(held["name"])
+
+
 def test_sequences_hold_all_pieces(spark, bpe):
     rows = [(i, f"some words of text {i} " * (i % 60)) for i in range(300)]
     pieces = packing.store(packing.pack(spark.createDataFrame(rows, "doc_id long, text string").repartition(6), bpe, 256), "t-pieces")
