@@ -155,7 +155,7 @@ def test_drops_are_quoted_where_they_must_be(spark, tmp_dir):
     assert read_landing(spark, os.path.join(tmp_dir, "one"), "utility_1", columns=["v"]).count() == 4
 
 
-@pytest.mark.parametrize("name", ["refresh_failed_run"])
+@pytest.mark.parametrize("name", ["refresh_failed_run", "refresh_tables"])
 def test_query_keeps_no_landed_rows(spark, monkeypatch, name):
     import __spark_entry__ as E
     homes, real = [], E.scratch_path
